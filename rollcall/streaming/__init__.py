@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analysed application has no streaming source, sink, watermark or state:
+it reads one published table and reports on it. Nothing is built here; the
+batch operators in :mod:`rollcall.operators` and :mod:`rollcall.plans` are
+all ``DataFrame -> DataFrame`` and would apply unchanged inside a
+``foreachBatch`` if the fact table were ever fed incrementally.
+"""
