@@ -21,11 +21,13 @@ Plan, written for a lineitem table of many terabytes:
 4. Only then is ``customer`` joined: each school has at most one row per
    period, so the join cannot be skewed. ``nation`` and ``region`` are
    broadcast behind a row-count check.
-5. Six grouping sets (national, by type, by region, by region and type, by
-   LA, by LA and type) aggregate with plain sums: a school row is unique per
-   (school, period), so distinct counts become ``count(*)`` and sums of pupil
-   counts, which combine map-side. No ``count(DISTINCT)``, no Expand of the
-   raw lines.
+5. One aggregate to the finest grain (period, region, LA, school type): a
+   school row is unique per (school, period), so distinct counts become
+   ``count(*)`` and sums of pupil counts, which combine map-side. No
+   ``count(DISTINCT)``.
+6. The six grouping sets (national, by type, by region, by region and type,
+   by LA, by LA and type) roll up from that small table, so the Expand that
+   grouping sets need never touches the large rows.
 """
 
 from __future__ import annotations
@@ -185,11 +187,23 @@ def derive_fact(tables: dict[str, DataFrame]) -> DataFrame:
     """The 39-column fact table at all six grains, from the star schema."""
     schools = _schools(_pupils(_line_sums(tables["lineitem"]), tables["orders"]))
     placed = schools.join(_places(tables), "school")
+    keys = ["time_period", "region_name", "la_name", "school_type"]
 
-    def total(c: str) -> Column:
-        return F.sum(c).cast("bigint").alias(c)
+    # Finest grain (LA x type): the only aggregate over large data. A school
+    # row is unique per (school, period), so schools count with count(*).
+    finest = placed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("num_schools"),
+        F.sum("pupils").alias("enrolments"),
+        F.sum("pa_pupils").alias("enrolments_pa_10_exact"),
+        *[F.sum(m).alias(m) for m in MEASURES],
+    )
 
-    cube = placed.groupingSets(
+    def total(c: str, alias: str | None = None) -> Column:
+        return F.sum(c).cast("bigint").alias(alias or c)
+
+    # Every measure is additive, so the coarser grains roll up from the small
+    # finest-grain table: the grouping-set Expand never sees the large rows.
+    cube = finest.groupingSets(
         [
             ["time_period"],
             ["time_period", "school_type"],
@@ -198,24 +212,21 @@ def derive_fact(tables: dict[str, DataFrame]) -> DataFrame:
             ["time_period", "region_name", "la_name"],
             ["time_period", "region_name", "la_name", "school_type"],
         ],
-        "time_period",
-        "region_name",
-        "la_name",
-        "school_type",
+        *keys,
     ).agg(
         F.grouping("region_name").alias("g_region"),
         F.grouping("la_name").alias("g_la"),
         F.grouping("school_type").alias("g_type"),
-        F.count(F.lit(1)).alias("num_schools"),
-        F.sum("pupils").cast("bigint").alias("enrolments"),
-        F.sum("pa_pupils").cast("bigint").alias("enrolments_pa_10_exact"),
+        total("num_schools"),
+        total("enrolments"),
+        total("enrolments_pa_10_exact"),
         total("sess_possible"),
         total("sess_overall"),
         total("sess_authorised"),
         total("sess_unauthorised"),
-        F.sum("sess_overall").cast("bigint").alias("sess_overall_totalreasons"),
-        F.sum("sess_authorised").cast("bigint").alias("sess_auth_totalreasons"),
-        F.sum("sess_unauthorised").cast("bigint").alias("sess_unauth_totalreasons"),
+        total("sess_overall", "sess_overall_totalreasons"),
+        total("sess_authorised", "sess_auth_totalreasons"),
+        total("sess_unauthorised", "sess_unauth_totalreasons"),
         total("sess_possible_pa_10_exact"),
         total("sess_overall_pa_10_exact"),
         total("sess_authorised_pa_10_exact"),
