@@ -20,62 +20,20 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rollcall import params as P  # noqa: E402
-from rollcall.operators import catalog, catalog_size, members_exist, search_prefix  # noqa: E402
-from rollcall.plans import charts, comparison, links, places, regions  # noqa: E402
-from rollcall.session import local_session, scratch_path  # noqa: E402
-from rollcall.sources import absence, read_fact, write_fact  # noqa: E402
+from rollcall.plans import links, regions, reports  # noqa: E402
+from rollcall.session import local_session  # noqa: E402
+from rollcall.sources import absence, stage_fact  # noqa: E402
 
 
-def reports(fact):
-    """Report name -> list of result DataFrames (the six commands)."""
-    cmp = P.COMPARE
-    rates = links.region_type_rates(fact, P.LINK_YEAR)
+def bundles(fact):
+    """Report name -> its result DataFrames, with the checked parameters."""
     return {
-        "search_la": [
-            catalog_size(fact),
-            search_prefix(fact, P.PREFIXES),
-            members_exist(fact, P.PIVOT_LAS),
-            places.la_enrolment_pivot(fact, P.PIVOT_LAS),
-        ],
-        "search_type": [
-            catalog(fact, "school_type"),
-            places.school_type_authorised(fact, **P.TYPE_SEARCH),
-            places.school_type_breakdown(fact, **P.TYPE_SEARCH),
-        ],
-        "search_unauth": [
-            places.unauthorised_by(fact, P.UNAUTH_YEAR, "region"),
-            places.unauthorised_page(fact, P.UNAUTH_YEAR, "la", 1, 10),
-            places.unauthorised_page(fact, P.UNAUTH_YEAR, "la", 2, 10),
-        ],
-        "compare_la": [
-            comparison.compare_basic(fact, **cmp),
-            comparison.compare_authorised(fact, **cmp),
-            comparison.compare_unauthorised(fact, **cmp),
-            comparison.compare_verdicts(fact, **cmp),
-        ],
-        "region_chart": [
-            regions.region_overall_rounded(fact),
-            regions.region_change(fact),
-            regions.region_improved(fact),
-            regions.region_worsened(fact),
-            regions.region_best(fact),
-            regions.region_worst(fact),
-            charts.chart_region_trend(fact),
-        ],
-        "explore_link": [
-            links.top_regions_by_type(rates, 5),
-            links.highest_by_type(rates),
-            links.type_averages(rates),
-            links.type_gap(rates),
-            links.region_range_by_type(rates),
-            links.most_variable_type(rates),
-            links.consistent_regions(rates),
-            links.phase_unauth_gap(rates),
-            links.key_findings(rates),
-            charts.chart_region_type(rates),
-            charts.chart_type_auth_unauth(rates),
-            charts.chart_heatmap(rates),
-        ],
+        "search_la": reports.search_la(fact, P.PIVOT_LAS, P.PREFIXES),
+        "search_type": reports.search_type(fact, **P.TYPE_SEARCH),
+        "search_unauth": reports.search_unauth(fact, P.UNAUTH_YEAR, "la", 2, 10),
+        "compare_la": reports.compare_la(fact, **P.COMPARE),
+        "region_chart": reports.region_chart(fact),
+        "explore_link": reports.explore_link(fact, P.LINK_YEAR, 5),
     }
 
 
@@ -95,12 +53,10 @@ def main() -> None:
 
     times: dict[str, float] = {}
     actions: dict[str, int] = {}
-    target = scratch_path(spark, "bench-fact")
-    times["build_fact"], _ = timed(lambda: write_fact(absence(spark, sf_dir), target))
-    fact = read_fact(spark, target)
+    times["build_fact"], fact = timed(lambda: stage_fact(spark, absence(spark, sf_dir), "bench-fact"))
 
-    for name, frames in reports(fact).items():
-        times[name], _ = timed(lambda frames=frames: [f.collect() for f in frames])
+    for name, frames in bundles(fact).items():
+        times[name], _ = timed(lambda frames=frames: [f.collect() for f in frames.values()])
         actions[name] = len(frames)
 
     times["e2e_region_change"], _ = timed(lambda: regions.region_change(absence(spark, sf_dir)).collect())

@@ -1,7 +1,7 @@
 """Sources and sinks: the fact table's CSV and Parquet forms, and its
 derivation from the star-schema test tables."""
 
-from .fact_io import load_fact, read_fact, read_fact_csv, write_fact, write_fact_csv
+from .fact_io import load_fact, read_fact, read_fact_csv, stage_fact, write_fact, write_fact_csv
 from .star import absence, derive_fact, read_star
 
 __all__ = [
@@ -11,6 +11,7 @@ __all__ = [
     "read_fact",
     "read_fact_csv",
     "read_star",
+    "stage_fact",
     "write_fact",
     "write_fact_csv",
 ]

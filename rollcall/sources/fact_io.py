@@ -60,6 +60,19 @@ def load_fact(spark: SparkSession, parquet_path: str, csv_path: str | None = Non
     return read_fact(spark, parquet_path)
 
 
+def stage_fact(spark: SparkSession, df: DataFrame, name: str = "fact") -> DataFrame:
+    """Store ``df`` under the shared checkpoint folder and return the stored
+    table.
+
+    Cuts the lineage of a long derivation: later reports read compact,
+    partitioned Parquet, and a lost executor costs a re-read, not a re-run of
+    the joins and aggregates above it.
+    """
+    from ..session import scratch_path
+
+    return read_fact(spark, write_fact(df, scratch_path(spark, name)))
+
+
 def write_fact_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """Write the fact table as CSV with a header (the published layout)."""
     df.write.mode(mode).option("header", True).csv(path)
