@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators. All lazy; none collects or creates a session."""
 
-from .catalog import catalog, catalog_size, members_exist, search_prefix
+from .catalog import catalog, catalog_size, has_any, members_exist, search_prefix
 from .compare import compare_metrics, lower_wins
 from .filters import filter_fact, filter_members, filter_year
 from .grouped import pick, query, resolve_fields
@@ -16,6 +16,7 @@ __all__ = [
     "filter_fact",
     "filter_members",
     "filter_year",
+    "has_any",
     "has_at_most",
     "join_dimension",
     "lower_wins",

@@ -66,3 +66,11 @@ def members_exist(df: DataFrame, values: Sequence[str], column: str = "la_name")
         ).alias("pairs")
     )
     return hits.select(F.inline("pairs"))
+
+
+def has_any(df: DataFrame, column: str, values: Sequence[str]) -> bool:
+    """Whether any of ``values`` occurs in ``column`` (an action). Reads until
+    the first match: ``limit(1)`` over the pushed ``IN`` filter."""
+    if not values:
+        return False
+    return df.where(F.col(column).isin(list(values))).limit(1).count() > 0

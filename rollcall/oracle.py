@@ -251,6 +251,9 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT la_name, {unauth} FROM absence WHERE {lvl_la} AND {_years(pg['year'])} "
         f"ORDER BY absences DESC NULLS LAST, la_name LIMIT {pg['page_size']} OFFSET {(pg['page_number'] - 1) * pg['page_size']}"
     )
+    out["unauthorised_row_count"] = _with(
+        f"SELECT count(*) AS rows FROM absence WHERE {lvl_la} AND {_years(pg['year'])}"
+    )
     out["compare_basic"] = _compare([(label, c, kind) for label, c, kind in BASIC_METRICS])
     out["compare_authorised"] = _compare([(label, _pct(c), "rate") for label, c in AUTHORISED_METRICS])
     out["compare_unauthorised"] = _compare([(label, _pct(c), "rate") for label, c in UNAUTHORISED_METRICS])

@@ -22,6 +22,7 @@ from .operators import (
     filter_year,
     members_exist,
     query,
+    row_count,
     search_prefix,
 )
 from .plans import charts, comparison, links, places, regions
@@ -81,6 +82,7 @@ def queries() -> dict[str, Query]:
             "unauthorised_by_region": _on_fact(lambda df: places.unauthorised_by(df, P.UNAUTH_YEAR, "region")),
             "unauthorised_by_la": _on_fact(lambda df: places.unauthorised_by(df, P.UNAUTH_YEAR, "la")),
             "page": _on_fact(lambda df: places.unauthorised_page(df, **pg)),
+            "unauthorised_row_count": _on_fact(lambda df: row_count(places.unauthorised_by(df, pg["year"], pg["by"]))),
             "compare_basic": _on_fact(lambda df: comparison.compare_basic(df, **cmp)),
             "compare_authorised": _on_fact(lambda df: comparison.compare_authorised(df, **cmp)),
             "compare_unauthorised": _on_fact(lambda df: comparison.compare_unauthorised(df, **cmp)),

@@ -19,8 +19,8 @@ Plan, written for a lineitem table of many terabytes:
    customer with a third of all orders) collapses in the partial aggregate, so
    no task receives its raw rows.
 4. Only then is ``customer`` joined: each school has at most one row per
-   period, so the join cannot be skewed. ``nation`` and ``region`` are
-   broadcast behind a row-count check.
+   period, so the join cannot be skewed. The ``nation`` x ``region``
+   geography is broadcast into the customer scan behind a row-count check.
 5. One aggregate to the finest grain (period, region, LA, school type): a
    school row is unique per (school, period), so distinct counts become
    ``count(*)`` and sums of pupil counts, which combine map-side. No
@@ -160,15 +160,22 @@ def _schools(pupils: DataFrame) -> DataFrame:
 
 def _places(tables: dict[str, DataFrame]) -> DataFrame:
     """School -> (region, LA, school type): customer with broadcast geography."""
-    geo = join_dimension(
-        tables["nation"].select(
+    # Both geography tables are dimension-sized; their join is planned by
+    # Spark's own size estimate, and the result is broadcast into the
+    # customer scan only after a bounded row count.
+    geo = (
+        tables["nation"]
+        .select(
             F.col("n_nationkey").alias("nationkey"),
             F.col("n_name").alias("la_name"),
             F.col("n_regionkey").alias("regionkey"),
-        ),
-        tables["region"].select(F.col("r_regionkey").alias("regionkey"), F.col("r_name").alias("region_name")),
-        "regionkey",
-    ).drop("regionkey")
+        )
+        .join(
+            tables["region"].select(F.col("r_regionkey").alias("regionkey"), F.col("r_name").alias("region_name")),
+            "regionkey",
+        )
+        .drop("regionkey")
+    )
     seg = F.col("c_mktsegment")
     school_type = (
         F.when(seg.isin(*PRIMARY_SEGMENTS), F.lit("State-funded primary"))

@@ -276,3 +276,12 @@ def test_csv_markers_become_null(spark, tmp_path, make_fact):
     assert rows[0].num_schools is None and rows[1].num_schools is None
     assert rows[0].sess_overall_percent == 1.5 and rows[1].enrolments == 12
     assert rows[0].region_name is None and rows[0].extra_note == "n"
+
+
+def test_has_any(make_fact):
+    from rollcall.operators import has_any
+
+    df = make_fact([{"la_name": "A"}, {"la_name": "B"}])
+    assert has_any(df, "la_name", ["Z", "B"])
+    assert not has_any(df, "la_name", ["Z"])
+    assert not has_any(df, "la_name", [])
