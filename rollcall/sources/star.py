@@ -253,20 +253,18 @@ def derive_fact(tables: dict[str, DataFrame]) -> DataFrame:
 
     possible = F.col("sess_possible")
     possible_pa = F.nullif(F.col("sess_possible_pa_10_exact"), F.lit(0))
-    out = cube.select(
-        "*",
-        level.alias("geographic_level"),
-        F.when(F.col("g_type") == 1, F.lit("Total")).otherwise(F.col("school_type")).alias("school_type_out"),
-        rate("enrolments_pa_10_exact", F.col("enrolments")).alias("enrolments_pa_10_exact_percent"),
-        rate("sess_overall", possible).alias("sess_overall_percent"),
-        rate("sess_authorised", possible).alias("sess_authorised_percent"),
-        rate("sess_unauthorised", possible).alias("sess_unauthorised_percent"),
-        rate("sess_overall_pa_10_exact", possible_pa).alias("sess_overall_percent_pa_10_exact"),
-        rate("sess_authorised_pa_10_exact", possible_pa).alias("sess_authorised_percent_pa_10_exact"),
-        rate("sess_unauthorised_pa_10_exact", possible_pa).alias("sess_unauthorised_percent_pa_10_exact"),
-    )
-    out = out.drop("school_type").withColumnRenamed("school_type_out", "school_type")
-    return out.select(*FACT_COLUMNS)
+    computed = {
+        "geographic_level": level,
+        "school_type": F.when(F.col("g_type") == 1, F.lit("Total")).otherwise(F.col("school_type")),
+        "enrolments_pa_10_exact_percent": rate("enrolments_pa_10_exact", F.col("enrolments")),
+        "sess_overall_percent": rate("sess_overall", possible),
+        "sess_authorised_percent": rate("sess_authorised", possible),
+        "sess_unauthorised_percent": rate("sess_unauthorised", possible),
+        "sess_overall_percent_pa_10_exact": rate("sess_overall_pa_10_exact", possible_pa),
+        "sess_authorised_percent_pa_10_exact": rate("sess_authorised_pa_10_exact", possible_pa),
+        "sess_unauthorised_percent_pa_10_exact": rate("sess_unauthorised_pa_10_exact", possible_pa),
+    }
+    return cube.select(*[computed[c].alias(c) if c in computed else F.col(c) for c in FACT_COLUMNS])
 
 
 def absence(spark: SparkSession, sf_dir: str) -> DataFrame:
