@@ -3,6 +3,11 @@
 Each returns ``{result name: DataFrame}``; nothing runs until the caller acts
 on a result (one Spark action per result). Run them over a stored fact table
 (:func:`rollcall.sources.stage_fact`) so the derivation runs once.
+
+The two bundles with many results over one small intermediate (regional
+``Total`` rows: regions x periods; region x type rates: regions x 4) cache
+it when ``cache`` is set: its size is bounded by the geography, not by the
+data volume. Call ``unpersist()`` on the ``rates``/``regional`` entry when done.
 """
 
 from __future__ import annotations
@@ -11,7 +16,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from ..operators import catalog, catalog_size, members_exist, row_count, search_prefix
+from ..operators import catalog, catalog_size, filter_fact, members_exist, row_count, search_prefix
+from ..schema import REGIONAL, TOTAL
 from . import charts, comparison, links, places, regions
 
 
@@ -53,9 +59,14 @@ def compare_la(fact: DataFrame, la1: str, la2: str, year) -> dict[str, DataFrame
     }
 
 
-def region_chart(fact: DataFrame, periods: Sequence[int] | None = None) -> dict[str, DataFrame]:
+def region_chart(fact: DataFrame, periods: Sequence[int] | None = None, cache: bool = True) -> dict[str, DataFrame]:
     """Regional performance over time."""
+    regional = filter_fact(fact, geographic_level=REGIONAL, school_type=TOTAL)
+    if cache:
+        regional = regional.cache()
+    fact = regional
     return {
+        "regional": regional,
         "overall": regions.region_overall_rounded(fact, periods),
         "trends": regions.region_change(fact),
         "improved": regions.region_improved(fact),
@@ -67,9 +78,11 @@ def region_chart(fact: DataFrame, periods: Sequence[int] | None = None) -> dict[
     }
 
 
-def explore_link(fact: DataFrame, year=None, k: int = 5) -> dict[str, DataFrame]:
+def explore_link(fact: DataFrame, year=None, k: int = 5, cache: bool = True) -> dict[str, DataFrame]:
     """School type x region in one year (default: the latest period)."""
     rates = links.region_type_rates(fact, year)
+    if cache:
+        rates = rates.cache()
     return {
         "rates": rates,
         "top_regions": links.top_regions_by_type(rates, k),

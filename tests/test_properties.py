@@ -88,3 +88,21 @@ def test_paging_matches_python(spark, values, size):
     for n in range(1, len(values) // size + 2):
         got += [(r.k, r.v) for r in page(df, [F.desc("v"), F.asc("k")], n, size).collect()]
     assert got == expect
+
+
+def test_report_bundles_match_operators(spark):
+    from rollcall.plans import reports
+
+    fact = absence(spark, SF_SMALL)
+    chart = reports.region_chart(fact)
+    assert sorted(chart["trends"].collect()) == sorted(regions.region_change(fact).collect())
+    assert sorted(chart["overall"].collect()) == sorted(regions.region_overall_rounded(fact).collect())
+    chart["regional"].unpersist()
+    link = reports.explore_link(fact, 2018, 3)
+    assert sorted(link["findings"].collect()) == sorted(links.key_findings(links.region_type_rates(fact, 2018)).collect())
+    assert sorted(link["top_regions"].collect()) == sorted(
+        links.top_regions_by_type(links.region_type_rates(fact, 2018), 3).collect()
+    )
+    link["rates"].unpersist()
+    unauth = reports.search_unauth(fact, 2018, "la", 1, 5)
+    assert unauth["rows"].collect()[0].rows == places.unauthorised_by(fact, 2018, "la").count()
