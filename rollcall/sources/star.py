@@ -259,7 +259,8 @@ def derive_fact(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
     def rate(num: str, den: Column) -> Column:
-        return F.lit(100.0) * F.col(num).cast("double") / den
+        # 100 * num / den; a zero denominator gives null (not an error under ANSI).
+        return F.try_divide(F.lit(100.0) * F.col(num).cast("double"), den)
 
     possible = F.col("sess_possible")
     possible_pa = F.nullif(F.col("sess_possible_pa_10_exact"), F.lit(0))
