@@ -20,10 +20,11 @@ def pick(field: str, order: Sequence[str]) -> Column:
 
     A deterministic ``first``: where the grain leaves one row per group (the
     reports' filters ensure that) it is simply that row's value; otherwise the
-    row with the smallest ``order`` key wins instead of an arbitrary one.
+    row with the smallest ``order`` key wins instead of an arbitrary one. With
+    no ordering column left, the largest value (still deterministic).
     """
     if not order:
-        return F.first(field)
+        return F.max(field)
     return F.min_by(F.col(field), F.struct(*[F.col(c) for c in order]))
 
 
