@@ -294,3 +294,20 @@ def test_cli_runs_a_report(spark, capsys):
                  "--la1", "NATION_1", "--la2", "NATION_2", "--year", "2015"]) == 0
     out = capsys.readouterr().out
     assert "== basic" in out and "Number of Schools" in out and "== summary" in out
+
+
+def test_load_fact_modes(spark, tmp_path, make_fact):
+    from rollcall.sources import load_fact, write_fact_csv
+
+    first = make_fact([{"time_period": 201819, "geographic_level": NAT, "school_type": "Total", "enrolments": 1}])
+    second = make_fact([{"time_period": 201819, "geographic_level": NAT, "school_type": "Total", "enrolments": 2}])
+    csv1 = write_fact_csv(first, str(tmp_path / "one.csv"))
+    csv2 = write_fact_csv(second, str(tmp_path / "two.csv"))
+    target = str(tmp_path / "store")
+    assert load_fact(spark, target, csv1).collect()[0].enrolments == 1
+    # "ignore" keeps the stored table; "overwrite" replaces it; no CSV just reads.
+    assert load_fact(spark, target, csv2, mode="ignore").collect()[0].enrolments == 1
+    assert load_fact(spark, target, csv2, mode="overwrite").collect()[0].enrolments == 2
+    assert load_fact(spark, target).collect()[0].enrolments == 2
+    with pytest.raises(Exception):
+        load_fact(spark, target, csv1, mode="errorifexists")
