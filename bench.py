@@ -75,6 +75,18 @@ def timed(fn):
     return time.perf_counter() - t, out
 
 
+def guarded(times: dict, errors: dict, name: str, fn):
+    """Time ``fn`` under ``name``; a failure is recorded, not fatal, so the
+    JSON line is always printed."""
+    try:
+        times[name], out = timed(fn)
+        return out
+    except Exception as e:  # noqa: BLE001
+        times[name] = None
+        errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+        return None
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -88,31 +100,37 @@ def main() -> None:
         for build in bundles(warm).values():
             run_bundle(build)
 
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
     actions: dict[str, int] = {}
-    times["build_fact"], fact = timed(lambda: stage_fact(spark, absence(spark, sf_dir), "bench-fact"))
-
-    for name, build in bundles(fact).items():
-        times[name], actions[name] = timed(lambda build=build: run_bundle(build))
-
-    times["e2e_region_change"], _ = timed(lambda: regions.region_change(absence(spark, sf_dir)).collect())
-    times["e2e_explore_link"], _ = timed(
-        lambda: links.key_findings(links.region_type_rates(absence(spark, sf_dir), P.LINK_YEAR)).collect()
+    errors: dict[str, str] = {}
+    fact = guarded(times, errors, "build_fact", lambda: stage_fact(spark, absence(spark, sf_dir), "bench-fact"))
+    if fact is not None:
+        for name, build in bundles(fact).items():
+            n = guarded(times, errors, name, lambda build=build: run_bundle(build))
+            if n is not None:
+                actions[name] = n
+    guarded(times, errors, "e2e_region_change", lambda: regions.region_change(absence(spark, sf_dir)).collect())
+    guarded(
+        times,
+        errors,
+        "e2e_explore_link",
+        lambda: links.key_findings(links.region_type_rates(absence(spark, sf_dir), P.LINK_YEAR)).collect(),
     )
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    total = sum(times.values())
+    total = sum(v for v in times.values() if v is not None)
     print(
         json.dumps(
             {
                 "metric": "total_query_time",
                 "value": round(total, 3),
                 "unit": "sec",
-                "queries": {k: round(v, 3) for k, v in times.items()},
+                "queries": {k: (round(v, 3) if v is not None else None) for k, v in times.items()},
                 "spark_actions": actions,
                 "reference_spark_actions": reference_actions(),
                 "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                 "cpus": cpus,
+                **({"errors": errors} if errors else {}),
             }
         )
     )
