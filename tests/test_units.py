@@ -311,3 +311,36 @@ def test_load_fact_modes(spark, tmp_path, make_fact):
     assert load_fact(spark, target).collect()[0].enrolments == 2
     with pytest.raises(Exception):
         load_fact(spark, target, csv1, mode="errorifexists")
+
+
+def test_type_ties_follow_report_order_and_null_means_sort_last(spark):
+    rates = _rates(
+        spark,
+        [
+            ("A", "Special", 5.0, 3.0, 2.0),
+            ("A", "State-funded secondary", 5.0, 3.0, 2.0),
+            ("A", "State-funded primary", None, None, None),
+            ("B", "Special", 7.0, 3.0, 4.0),
+            ("B", "State-funded secondary", 7.0, 3.0, 4.0),
+            ("A", "Total", 6.0, 3.0, 3.0),
+        ],
+    )
+    gap = links.type_gap(rates).collect()[0]
+    # Equal means: the highest is the earlier type, the lowest the later one.
+    assert (gap.highest_type, gap.lowest_type, gap.gap) == ("Special", "State-funded secondary", 0.0)
+    mv = links.most_variable_type(rates).collect()[0]
+    assert mv.school_type == "Special"  # equal ranges: report order
+    order = [r.school_type for r in links.type_averages(rates).collect()]
+    assert order == ["Special", "State-funded secondary", "State-funded primary"]
+
+
+def test_region_change_sign_and_worsened(make_fact):
+    def row(region, period, rate):
+        return {"time_period": period, "geographic_level": REG, "school_type": "Total",
+                "region_name": region, "sess_overall_percent": rate}
+
+    df = make_fact([row("A", 201213, 4.0), row("A", 201314, 4.5), row("B", 201213, 5.0), row("B", 201314, 5.0)])
+    got = {r.region_name: r for r in regions.region_worsened(df).collect()}
+    assert list(got) == ["A"] and got["A"].increase == 0.5 and got["A"].first_period == 4.0
+    assert regions.region_improved(df).count() == 0
+    assert regions.region_worst(df).collect()[0].region_name == "B"
