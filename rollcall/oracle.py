@@ -125,14 +125,17 @@ def _compare(metrics: list[tuple[str, str, str]]) -> str:
         "CASE WHEN kind <> 'rate' THEN NULL WHEN value1 - value2 = 0 THEN 'same' "
         "WHEN value1 - value2 < 0 THEN 'better' WHEN value1 - value2 > 0 THEN 'worse' END AS indicator FROM m"
     )
-    return _with(select, _CMP, m)
+    return _with(select, _cmp(), m)
+
+
+def _cmp() -> str:
+    return (
+        "cmp AS (SELECT * FROM absence WHERE "
+        f"{_years(P.COMPARE['year'])} AND geographic_level = 'Local authority' AND school_type = 'Total' "
+        f"AND la_name IN {_in([P.COMPARE['la1'], P.COMPARE['la2']])})"
+    )
 
 
-_CMP = (
-    "cmp AS (SELECT * FROM absence WHERE "
-    f"{_years(P.COMPARE['year'])} AND geographic_level = 'Local authority' AND school_type = 'Total' "
-    f"AND la_name IN {_in([P.COMPARE['la1'], P.COMPARE['la2']])})"
-)
 _REGIONAL = (
     "r AS (SELECT region_name, time_period, sess_overall_percent, sess_authorised_percent, "
     "sess_unauthorised_percent FROM absence WHERE geographic_level = 'Regional' AND school_type = 'Total')"
@@ -144,12 +147,15 @@ _CHANGE = (
     "round(avg(sess_overall_percent), 4) AS avg_absence FROM r, b GROUP BY region_name)",
     "c AS (SELECT region_name, first_period, last_period, round(last_period - first_period, 4) AS change, avg_absence FROM c0)",
 )
-_RATES = (
-    "t AS (SELECT region_name, school_type, avg(sess_overall_percent) AS overall_absence_rate, "
-    "avg(sess_authorised_percent) AS authorised_absence_rate, avg(sess_unauthorised_percent) AS unauthorised_absence_rate "
-    f"FROM absence WHERE geographic_level = 'Regional' AND school_type IN {_in(SCHOOL_TYPES)} "
-    f"AND {_years(P.LINK_YEAR)} GROUP BY region_name, school_type)"
-)
+def _rates() -> str:
+    return (
+        "t AS (SELECT region_name, school_type, avg(sess_overall_percent) AS overall_absence_rate, "
+        "avg(sess_authorised_percent) AS authorised_absence_rate, avg(sess_unauthorised_percent) AS unauthorised_absence_rate "
+        f"FROM absence WHERE geographic_level = 'Regional' AND school_type IN {_in(SCHOOL_TYPES)} "
+        f"AND {_years(P.LINK_YEAR)} GROUP BY region_name, school_type)"
+    )
+
+
 _RANKED = (
     "rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY school_type ORDER BY overall_absence_rate DESC NULLS LAST, "
     "region_name) AS INTEGER) AS rank FROM t)"
@@ -182,7 +188,7 @@ def _consistent(min_types: int) -> str:
     return _with(
         "SELECT region_name, count(*) AS n_types, string_agg(school_type, ', ' ORDER BY type_order) AS school_types "
         f"FROM h GROUP BY region_name HAVING count(*) >= {min_types}",
-        _RATES,
+        _rates(),
         _RANKED,
         f"h AS (SELECT region_name, school_type, {_type_order()} AS type_order FROM rk WHERE rank = 1 AND school_type <> 'Total')",
     )
@@ -247,13 +253,13 @@ def oracle_sql() -> dict[str, str]:
     )
     out["unauthorised_by_la"] = _with(f"SELECT la_name, {unauth} FROM absence WHERE {lvl_la} AND {_years(P.UNAUTH_YEAR)}")
     pg = P.PAGE
+    key, level = ("la_name", "Local authority") if pg["by"] == "la" else ("region_name", "Regional")
+    paged = f"geographic_level = {_q(level)} AND school_type = 'Total' AND {_years(pg['year'])}"
     out["page"] = _with(
-        f"SELECT la_name, {unauth} FROM absence WHERE {lvl_la} AND {_years(pg['year'])} "
-        f"ORDER BY absences DESC NULLS LAST, la_name LIMIT {pg['page_size']} OFFSET {(pg['page_number'] - 1) * pg['page_size']}"
-    )
-    out["unauthorised_row_count"] = _with(
-        f"SELECT count(*) AS rows FROM absence WHERE {lvl_la} AND {_years(pg['year'])}"
+        f"SELECT {key}, {unauth} FROM absence WHERE {paged} ORDER BY absences DESC NULLS LAST, {key} "
+        f"LIMIT {pg['page_size']} OFFSET {(pg['page_number'] - 1) * pg['page_size']}"
     )
+    out["unauthorised_row_count"] = _with(f"SELECT count(*) AS rows FROM absence WHERE {paged}")
     out["compare_basic"] = _compare([(label, c, kind) for label, c, kind in BASIC_METRICS])
     out["compare_authorised"] = _compare([(label, _pct(c), "rate") for label, c in AUTHORISED_METRICS])
     out["compare_unauthorised"] = _compare([(label, _pct(c), "rate") for label, c in UNAUTHORISED_METRICS])
@@ -269,7 +275,7 @@ def oracle_sql() -> dict[str, str]:
         f"max(CASE WHEN la_name = {la2} THEN enrolments_pa_10_exact_percent END) AS p2, "
         f"max(CASE WHEN la_name = {la1} THEN {_main_reason()} END) AS r1, "
         f"max(CASE WHEN la_name = {la2} THEN {_main_reason()} END) AS r2 FROM cmp) v",
-        _CMP,
+        _cmp(),
     )
     out["main_absence_reason"] = _with(
         f"SELECT la_name, {_main_reason()} AS main_reason FROM absence WHERE {lvl_la} AND {_years(P.REASON_YEAR)}"
@@ -299,31 +305,31 @@ def oracle_sql() -> dict[str, str]:
         "SELECT * FROM a ORDER BY avg_absence DESC NULLS LAST, region_name LIMIT 1", _REGIONAL, avg_cte
     )
     rates_cols = "overall_absence_rate, authorised_absence_rate, unauthorised_absence_rate"
-    out["region_type_rates"] = _with("SELECT * FROM t", _RATES)
+    out["region_type_rates"] = _with("SELECT * FROM t", _rates())
     out["top_regions_by_type"] = _with(
-        f"SELECT school_type, rank, region_name, {rates_cols} FROM rk WHERE rank <= {P.TOP_K}", _RATES, _RANKED
+        f"SELECT school_type, rank, region_name, {rates_cols} FROM rk WHERE rank <= {P.TOP_K}", _rates(), _RANKED
     )
     out["highest_by_type"] = _with(
-        f"SELECT school_type, region_name, {rates_cols} FROM rk WHERE rank = 1", _RATES, _RANKED
+        f"SELECT school_type, region_name, {rates_cols} FROM rk WHERE rank = 1", _rates(), _RANKED
     )
     out["type_averages"] = _with(
         "SELECT school_type, round(overall_absence_rate, 4) AS overall_absence_rate, "
         "round(authorised_absence_rate, 4) AS authorised_absence_rate, "
         "round(unauthorised_absence_rate, 4) AS unauthorised_absence_rate, type_order FROM tm WHERE school_type <> 'Total'",
-        _RATES,
+        _rates(),
         _MEANS,
     )
     out["type_gap"] = _with(
         "SELECT (SELECT school_type FROM g ORDER BY overall_absence_rate DESC, type_order ASC LIMIT 1) AS highest_type, "
         "(SELECT school_type FROM g ORDER BY overall_absence_rate ASC, type_order DESC LIMIT 1) AS lowest_type, "
         "(SELECT round(max(overall_absence_rate) - min(overall_absence_rate), 4) FROM g) AS gap",
-        _RATES,
+        _rates(),
         _MEANS,
         "g AS (SELECT * FROM tm WHERE school_type <> 'Total' AND overall_absence_rate IS NOT NULL)",
     )
-    out["region_range_by_type"] = _with("SELECT * FROM rr", _RATES, *_RANGES)
+    out["region_range_by_type"] = _with("SELECT * FROM rr", _rates(), *_RANGES)
     out["most_variable_type"] = _with(
-        "SELECT school_type, diff AS variation FROM rr ORDER BY diff DESC, type_order ASC LIMIT 1", _RATES, *_RANGES
+        "SELECT school_type, diff AS variation FROM rr ORDER BY diff DESC, type_order ASC LIMIT 1", _rates(), *_RANGES
     )
     out["consistent_regions"] = _consistent(2)
     out["consistent_regions_min1"] = _consistent(1)
@@ -333,7 +339,7 @@ def oracle_sql() -> dict[str, str]:
         "sec > pri AS secondary_higher FROM ("
         f"SELECT coalesce(max(CASE WHEN school_type = {sec} THEN unauthorised_absence_rate END), 0.0) AS sec, "
         f"coalesce(max(CASE WHEN school_type = {pri} THEN unauthorised_absence_rate END), 0.0) AS pri FROM tm) v",
-        _RATES,
+        _rates(),
         _MEANS,
     )
     out["key_findings"] = _with(
@@ -344,7 +350,7 @@ def oracle_sql() -> dict[str, str]:
         "AS secondary_minus_primary_unauth, "
         "(SELECT round(max(CASE WHEN school_type = 'Special' THEN overall_absence_rate END), 4) FROM tm) AS special_mean_overall, "
         "(SELECT region_name FROM rk WHERE school_type = 'Total' AND rank = 1) AS worst_region_total",
-        _RATES,
+        _rates(),
         _RANKED,
         _MEANS,
         *_RANGES,
@@ -352,18 +358,18 @@ def oracle_sql() -> dict[str, str]:
     out["chart_region_trend"] = _with(
         "SELECT region_name, time_period, sess_overall_percent AS absence_rate FROM r", _REGIONAL
     )
-    out["chart_region_type"] = _with("SELECT * FROM bars", _RATES, _BARS)
+    out["chart_region_type"] = _with("SELECT * FROM bars", _rates(), _BARS)
     out["chart_type_auth_unauth"] = _with(
         "SELECT school_type, type_order, round(authorised_absence_rate, 4) AS authorised, "
         "round(unauthorised_absence_rate, 4) AS unauthorised FROM tm",
-        _RATES,
+        _rates(),
         _MEANS,
     )
     out["chart_heatmap"] = _with(
         "\nUNION ALL ".join(
             f"SELECT region_name, {_q(s)} AS school_type, \"{s}\" AS absence_rate FROM bars" for s in SCHOOL_TYPES[1:]
         ),
-        _RATES,
+        _rates(),
         _BARS,
     )
     out["load_roundtrip"] = _with("SELECT * FROM absence")
