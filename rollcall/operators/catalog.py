@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def members(df: DataFrame, column: str) -> DataFrame:
+    """Distinct non-null members of ``column`` (unsorted)."""
+    return df.select(column).where(F.col(column).isNotNull()).distinct()
+
+
 def catalog(df: DataFrame, column: str) -> DataFrame:
     """Distinct non-null members of ``column``, sorted."""
-    return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
+    return members(df, column).orderBy(column)
 
 
 def catalog_size(df: DataFrame, columns: Sequence[str] = ("la_name", "school_type", "region_name")) -> DataFrame:
@@ -35,14 +40,14 @@ def search_prefix(
     Row-wise: the prefix list is a literal array filtered per member and
     exploded, so there is no join and no shuffle beyond the catalog's distinct.
     """
-    members = catalog(df, column)
     if not prefixes:
-        return members.limit(default_rows).select(F.lit(None).cast("string").alias("prefix"), column)
+        return catalog(df, column).limit(default_rows).select(F.lit(None).cast("string").alias("prefix"), column)
     lowered = [p.strip().lower() for p in prefixes]
     name = F.lower(F.col(column))
     matching = F.filter(F.array(*[F.lit(p) for p in lowered]), lambda p: F.startswith(name, p))
     return (
-        members.select(F.explode(F.array_distinct(matching)).alias("prefix"), column)
+        members(df, column)
+        .select(F.explode(F.array_distinct(matching)).alias("prefix"), column)
         .orderBy("prefix", column)
     )
 
