@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import query
 from ..schema import SCHOOL_TYPES
-from .links import AUTH, OVERALL, UNAUTH, _type_means
+from .links import AUTH, OVERALL, UNAUTH, _type_means, type_order
 from .regions import region_rates
 
 CHART_TYPES = SCHOOL_TYPES[1:]
@@ -20,9 +20,7 @@ def chart_region_trend(df: DataFrame) -> DataFrame:
     ).orderBy("region_name", "time_period")
 
 
-def chart_region_type(rates: DataFrame) -> DataFrame:
-    """Grouped bars: one row per region, one column per school type (``Total``
-    left out), 0.0 where a region lacks a type."""
+def _region_by_type(rates: DataFrame) -> DataFrame:
     wide = query(
         rates,
         "region_name",
@@ -30,7 +28,13 @@ def chart_region_type(rates: DataFrame) -> DataFrame:
         pivot="school_type",
         pivot_values=CHART_TYPES,
     )
-    return wide.fillna(0.0, subset=CHART_TYPES).orderBy("region_name")
+    return wide.fillna(0.0, subset=CHART_TYPES)
+
+
+def chart_region_type(rates: DataFrame) -> DataFrame:
+    """Grouped bars: one row per region, one column per school type (``Total``
+    left out), 0.0 where a region lacks a type."""
+    return _region_by_type(rates).orderBy("region_name")
 
 
 def chart_type_auth_unauth(rates: DataFrame) -> DataFrame:
@@ -51,7 +55,6 @@ def chart_type_auth_unauth(rates: DataFrame) -> DataFrame:
 def chart_heatmap(rates: DataFrame) -> DataFrame:
     """Heat-map cells: (region, school type, rate) for every region and each
     non-``Total`` type, 0.0 for a missing cell. The unpivot of the bar table:
-    no join of regions with types."""
-    return chart_region_type(rates).unpivot(
-        ["region_name"], CHART_TYPES, "school_type", "absence_rate"
-    )
+    no join of regions with types. Rows in matrix order: region, then type."""
+    cells = _region_by_type(rates).unpivot(["region_name"], CHART_TYPES, "school_type", "absence_rate")
+    return cells.orderBy("region_name", type_order())
