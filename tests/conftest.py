@@ -44,3 +44,26 @@ def make_fact(spark):
         return spark.createDataFrame([fact_row(**r) for r in rows], FACT)
 
     return build
+
+
+@pytest.fixture(scope="module")
+def shared_fact(spark):
+    """Patch the registry so each data directory is derived once per module
+    (cached), then every registered query runs on that cached table. The
+    derivation itself is still compared with the oracle by ``build_fact``."""
+    import rollcall.registry as registry
+    from rollcall.sources import absence as derive
+
+    cache = {}
+
+    def memo(spark_, sf_dir):
+        if sf_dir not in cache:
+            cache[sf_dir] = derive(spark_, sf_dir).cache()
+        return cache[sf_dir]
+
+    original = registry.absence
+    registry.absence = memo
+    yield cache
+    registry.absence = original
+    for df in cache.values():
+        df.unpersist()

@@ -34,7 +34,7 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_oracle(spark, con, name):
+def test_query_matches_oracle(spark, con, shared_fact, name):
     df = QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     res = con.execute(SQL[name])

@@ -43,7 +43,7 @@ def con():
 
 
 @pytest.mark.parametrize("overrides,names", SWEEP, ids=[",".join(o) for o, _ in SWEEP])
-def test_sweep(spark, con, monkeypatch, overrides, names):
+def test_sweep(spark, con, shared_fact, monkeypatch, overrides, names):
     for key, value in overrides.items():
         monkeypatch.setattr(P, key, value)
     qs, sql = queries(), oracle_sql()
