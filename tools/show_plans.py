@@ -1,6 +1,7 @@
 """Print the physical plans of the key queries.
 
     python tools/show_plans.py [sf_dir] > /tmp/plans.txt
+    python tools/show_plans.py --md [sf_dir] > PLANS.md
 
 Size-based broadcasting is switched off so that the plans are the ones a
 large input gets (AQE off too, to show the static plan); the dimension
@@ -16,7 +17,17 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def main(argv) -> None:
-    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    args = [a for a in argv[1:] if a != "--md"]
+    if "--md" in argv:
+        import contextlib
+        import io
+
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            main([argv[0], *args])
+        print(markdown(buf.getvalue(), args[0] if args else "/root/testdata/sf0.01"))
+        return
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
     from rollcall.plans import links, places, regions
     from rollcall.session import local_session
     from rollcall.sources import absence, stage_fact
@@ -40,5 +51,68 @@ def main(argv) -> None:
     spark.stop()
 
 
+def markdown(text: str, sf_dir: str) -> str:
+    import re
+
+    sections = {s.split("\n", 1)[0]: s.split("\n", 1)[1] for s in text.split("### ")[1:]}
+
+    def find(prefix: str) -> str:
+        return next(v for k, v in sections.items() if k.startswith(prefix))
+
+    def clip(block: str, n: int = 160) -> str:
+        return "\n".join(line[:n] + (" …" if len(line) > n else "") for line in block.strip().splitlines())
+
+    def pick(block: str, pats) -> str:
+        return clip("\n".join(line for line in block.splitlines() if any(p in line for p in pats)), 170)
+
+    derivation = re.sub(r"#\d+L?", "", find("fact derivation"))
+    return f"""# Physical plans
+
+Generated by `python tools/show_plans.py --md {sf_dir}` with size-based
+broadcasting and AQE switched off, so the plans are the ones a large input
+would get. Expression ids are removed and long lines clipped.
+
+## Fact derivation (`sources/star.py`)
+
+Read bottom-up: `lineitem` (4 columns read) is partially aggregated per order
+before its shuffle; the join to `orders` reuses that partitioning (only
+`orders` is shuffled); pupils are summed per (school, period) with a partial
+aggregate before the shuffle; `customer` joins on its unique key with the
+geography broadcast after the row-count check; one aggregate reaches the
+finest grain and the `Expand` of the six grouping sets runs over that small
+table only. (With size-based broadcasting switched off, as here, the five-
+and twenty-five-row geography tables shuffle to join each other; with the
+default threshold the planner broadcasts them.)
+
+```
+{clip(derivation)}
+```
+
+## Report over the stored fact: partition pruning and pushed filters
+
+```
+{pick(find("unauthorised by LA"), ["PartitionFilters", "PushedFilters", "ReadSchema"])}
+```
+
+## Paging: `TakeOrderedAndProject`, no window, no single-partition exchange
+
+```
+{pick(find("page 2"), ["TakeOrderedAndProject", "Exchange", "Window"])}
+```
+
+## Region change: one aggregate; the two period bounds are merged into one scalar subquery
+
+```
+{pick(find("region change"), ["HashAggregate (", "Functions [3]", "Subquery:", "Exchange"])}
+```
+
+## Top k per type: `WindowGroupLimit` before and after the shuffle
+
+```
+{pick(find("top regions"), ["WindowGroupLimit", "Exchange", "Window ("])}
+```
+"""
+
+
 if __name__ == "__main__":
     main(sys.argv)
