@@ -287,15 +287,6 @@ def test_has_any(make_fact):
     assert not has_any(df, "la_name", [])
 
 
-def test_cli_runs_a_report(spark, capsys):
-    from rollcall.cli import main
-
-    assert main(["--star", "/root/testdata/sf0.001", "--rows", "3", "compare_la",
-                 "--la1", "NATION_1", "--la2", "NATION_2", "--year", "2015"]) == 0
-    out = capsys.readouterr().out
-    assert "== basic" in out and "Number of Schools" in out and "== summary" in out
-
-
 def test_load_fact_modes(spark, tmp_path, make_fact):
     from rollcall.sources import load_fact, write_fact_csv
 
