@@ -5,7 +5,8 @@
     python -m rollcall store --csv absence.csv --out /shared/fact
 
 ``--fact`` reads a stored Parquet fact table; ``--star`` derives it from the
-star-schema tables. Under ``spark-submit`` the cluster's session is used.
+star-schema tables and stores it under ``spark.checkpoint.dir`` first. Under
+``spark-submit`` the cluster's session is used.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ def build_parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = build_parser().parse_args(argv)
     from .plans import reports
-    from .sources import absence, read_fact, read_fact_csv, write_fact
+    from .sources import absence, read_fact, read_fact_csv, stage_fact, write_fact
 
     spark = SparkSession.builder.appName("rollcall").getOrCreate()
     if args.command == "store":
@@ -67,7 +68,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.fact:
         fact = read_fact(spark, args.fact)
     elif args.star:
-        fact = absence(spark, args.star)
+        # Derive once and store under the checkpoint folder; every result
+        # table of the report then reads the stored table.
+        fact = stage_fact(spark, absence(spark, args.star), "cli-fact")
     else:
         print("give --fact or --star", file=sys.stderr)
         return 2
