@@ -145,7 +145,9 @@ _CHANGE = (
     "c0 AS (SELECT region_name, round(max(CASE WHEN time_period = b.lo THEN sess_overall_percent END), 4) AS first_period, "
     "round(max(CASE WHEN time_period = b.hi THEN sess_overall_percent END), 4) AS last_period, "
     "round(avg(sess_overall_percent), 4) AS avg_absence FROM r, b GROUP BY region_name)",
-    "c AS (SELECT region_name, first_period, last_period, round(last_period - first_period, 4) AS change, avg_absence FROM c0)",
+    "c1 AS (SELECT region_name, first_period, last_period, round(last_period - first_period, 4) AS change, avg_absence FROM c0)",
+    "c AS (SELECT *, CASE WHEN change = 0 THEN 'same' WHEN change < 0 THEN 'better' WHEN change > 0 THEN 'worse' END "
+    "AS indicator FROM c1)",
 )
 def _rates() -> str:
     return (

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import period_label
+from ..functions import indicator, period_label
 from ..operators import filter_fact, query
 from ..schema import REGIONAL, TOTAL
 
@@ -51,8 +51,8 @@ def region_average(df: DataFrame) -> DataFrame:
 
 def region_change(df: DataFrame) -> DataFrame:
     """Per region: rate in the first and the last period of the data (rounded
-    to 4; null where the region lacks that period), ``change = last - first``
-    and the mean rate.
+    to 4; null where the region lacks that period), ``change = last - first``,
+    the mean rate, and ``indicator`` (``better`` when the rate fell).
 
     One aggregate over the regional rows; the period bounds are scalar
     subqueries over the same rows. Replaces a pivot, a column scan and a join.
@@ -69,7 +69,14 @@ def region_change(df: DataFrame) -> DataFrame:
             F.round(F.avg(rate), 4).alias("avg_absence"),
         )
         .withColumn("change", F.round(F.col("last_period") - F.col("first_period"), 4))
-        .select("region_name", "first_period", "last_period", "change", "avg_absence")
+        .select(
+            "region_name",
+            "first_period",
+            "last_period",
+            "change",
+            "avg_absence",
+            indicator(F.col("change"), F.lit(0.0), F.lit("rate")).alias("indicator"),
+        )
     )
 
 

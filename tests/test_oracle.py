@@ -44,5 +44,5 @@ def test_query_matches_oracle(spark, con, shared_fact, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["region_name", "first_period", "last_period", "change", "avg_absence"]
+    assert df.columns == ["region_name", "first_period", "last_period", "change", "avg_absence", "indicator"]
     assert df.count() == 5
