@@ -50,8 +50,11 @@ def search_unauth(fact: DataFrame, year, by: str = "region", page_number: int =
 
 
 def compare_la(fact: DataFrame, la1: str, la2: str, year) -> dict[str, DataFrame]:
-    """Two local authorities side by side in one year."""
+    """Two local authorities side by side in one year (arguments checked;
+    ``exists`` tells whether each place occurs at all)."""
+    comparison.check_comparison_args(la1, la2, year)
     return {
+        "exists": members_exist(fact, [la1, la2]),
         "basic": comparison.compare_basic(fact, la1, la2, year),
         "authorised": comparison.compare_authorised(fact, la1, la2, year),
         "unauthorised": comparison.compare_unauthorised(fact, la1, la2, year),
