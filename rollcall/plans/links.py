@@ -2,8 +2,8 @@
 regional ranges, consistency and the key findings.
 
 Everything derives from :func:`region_type_rates` (one row per region and
-type). The reference loops over types and regions with a job per cell; here
-each result is one grouped aggregate or one partitioned window.
+type). Instead of a loop over types and regions with a job per cell, each
+result is one grouped aggregate or one partitioned window.
 """
 
 from __future__ import annotations
