@@ -106,3 +106,52 @@ def test_report_bundles_match_operators(spark):
     link["rates"].unpersist()
     unauth = reports.search_unauth(fact, 2018, "la", 1, 5)
     assert unauth["rows"].collect()[0].rows == places.unauthorised_by(fact, 2018, "la").count()
+
+
+NAMES = st.text(alphabet="aAbB_%x", min_size=1, max_size=4)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(NAMES, min_size=1, max_size=12), st.lists(NAMES, min_size=1, max_size=3))
+def test_search_prefix_matches_brute_force(make_fact, names, prefixes):
+    from rollcall.operators import search_prefix
+
+    df = make_fact([{"la_name": n} for n in names])
+    got = {(r.prefix, r.la_name) for r in search_prefix(df, prefixes).collect()}
+    want = {(p.lower(), n) for p in prefixes for n in set(names) if n.lower().startswith(p.lower())}
+    assert got == want
+
+
+REASON_VALUES = st.one_of(st.none(), st.integers(min_value=0, max_value=3))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(REASON_VALUES, min_size=12, max_size=12), min_size=1, max_size=6))
+def test_main_reason_matches_brute_force(make_fact, rows):
+    from rollcall.functions import main_reason
+    from rollcall.schema import MAIN_REASONS
+
+    facts = [{"la_name": str(i), **{c: v for (_, c), v in zip(MAIN_REASONS, vals)}} for i, vals in enumerate(rows)]
+    got = dict(make_fact(facts).select("la_name", main_reason().alias("r")).collect())
+    for i, vals in enumerate(rows):
+        present = [(v, -j) for j, v in enumerate(vals) if v is not None]
+        want = MAIN_REASONS[-max(present)[1]][0] if present else None
+        assert got[str(i)] == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.sampled_from("gh"), st.sampled_from("pqrst"), st.integers(0, 3)), min_size=1, max_size=15),
+    st.integers(min_value=1, max_value=4),
+)
+def test_top_k_matches_brute_force(spark, rows, k):
+    from rollcall.operators import top_k_per_group
+
+    uniq = {(g, n): v for g, n, v in rows}  # one row per (group, name)
+    df = spark.createDataFrame([(g, n, v) for (g, n), v in uniq.items()], "g string, n string, v long")
+    got = {(r.g, r["rank"], r.n) for r in top_k_per_group(df, ["g"], [F.desc("v"), F.asc("n")], k).collect()}
+    want = set()
+    for g in {g for g, _ in uniq}:
+        ranked = sorted(((v, n) for (gg, n), v in uniq.items() if gg == g), key=lambda t: (-t[0], t[1]))
+        want |= {(g, i + 1, n) for i, (_, n) in enumerate(ranked[:k])}
+    assert got == want
