@@ -155,3 +155,28 @@ def test_top_k_matches_brute_force(spark, rows, k):
         ranked = sorted(((v, n) for (gg, n), v in uniq.items() if gg == g), key=lambda t: (-t[0], t[1]))
         want |= {(g, i + 1, n) for i, (_, n) in enumerate(ranked[:k])}
     assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(
+    st.tuples(st.sampled_from(["R1", "R2", "R3"]), st.sampled_from([201213, 201314, 201415])),
+    st.integers(min_value=0, max_value=20).map(lambda x: x / 4),
+    min_size=1,
+))
+def test_region_change_matches_brute_force(make_fact, cells):
+    facts = [
+        {"time_period": p, "geographic_level": "Regional", "school_type": "Total", "region_name": r,
+         "sess_overall_percent": v}
+        for (r, p), v in cells.items()
+    ]
+    got = {r.region_name: r for r in regions.region_change(make_fact(facts)).collect()}
+    lo, hi = min(p for _, p in cells), max(p for _, p in cells)
+    for region in {r for r, _ in cells}:
+        first, last = cells.get((region, lo)), cells.get((region, hi))
+        vals = [v for (r, _), v in cells.items() if r == region]
+        row = got[region]
+        assert row.first_period == first and row.last_period == last
+        assert row.change == (None if first is None or last is None else round(last - first, 4))
+        assert row.avg_absence == round(sum(vals) / len(vals), 4)
+        want = None if row.change is None else ("same" if row.change == 0 else "better" if row.change < 0 else "worse")
+        assert row.indicator == want
