@@ -2,7 +2,8 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Prints one JSON line. ``build_fact`` derives the fact table from the star
+Prints one JSON line, with wall time, Spark actions and shuffle bytes
+written (from the event log) per step. ``build_fact`` derives the fact table from the star
 schema and writes it as Parquet partitioned by geographic level (the shared
 checkpoint folder); each report then runs on the stored table, as the
 analysed application does with its Parquet cache. Each report is timed with
@@ -17,14 +18,17 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "tools"))
 
 from rollcall import params as P  # noqa: E402
 from rollcall.plans import links, regions, reports  # noqa: E402
 from rollcall.session import local_session  # noqa: E402
 from rollcall.sources import absence, stage_fact  # noqa: E402
+from shuffle_bytes import shuffle_by_job_group  # noqa: E402
 
 
 def bundles(fact):
@@ -76,8 +80,11 @@ def timed(fn):
 
 
 def guarded(times: dict, errors: dict, name: str, fn):
-    """Time ``fn`` under ``name``; a failure is recorded, not fatal, so the
-    JSON line is always printed."""
+    """Time ``fn`` under ``name`` (also its Spark job group); a failure is
+    recorded, not fatal, so the JSON line is always printed."""
+    from pyspark.sql import SparkSession
+
+    SparkSession.getActiveSession().sparkContext.setJobGroup(name, name)
     try:
         times[name], out = timed(fn)
         return out
@@ -90,7 +97,15 @@ def guarded(times: dict, errors: dict, name: str, fn):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cpus, shuffle_partitions=max(cpus * 2, 8), app="rollcall-bench")
+    # Event log in a fresh scratch folder: shuffle bytes per step, a measure
+    # that does not depend on the machine's load.
+    log_dir = tempfile.mkdtemp(prefix="rollcall-bench-events-")
+    spark = local_session(
+        cpus,
+        shuffle_partitions=max(cpus * 2, 8),
+        app="rollcall-bench",
+        extra_conf={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir},
+    )
 
     # Warm the JVM (class loading, JIT, codegen) on the smallest tables, which
     # are not the measured data: the same plan shapes, a fixed cost.
@@ -117,6 +132,11 @@ def main() -> None:
         lambda: links.key_findings(links.region_type_rates(absence(spark, sf_dir), P.LINK_YEAR)).collect(),
     )
 
+    spark.stop()
+    try:
+        shuffle = shuffle_by_job_group(log_dir)
+    except Exception:  # noqa: BLE001 - the metric is optional
+        shuffle = {}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     total = sum(v for v in times.values() if v is not None)
     print(
@@ -128,13 +148,13 @@ def main() -> None:
                 "queries": {k: (round(v, 3) if v is not None else None) for k, v in times.items()},
                 "spark_actions": actions,
                 "reference_spark_actions": reference_actions(),
+                "shuffle_bytes": {k: shuffle.get(k, 0) for k in times},
                 "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                 "cpus": cpus,
                 **({"errors": errors} if errors else {}),
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":

@@ -26,7 +26,12 @@ RECOMMENDED_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int | None = None, app: str = "rollcall") -> SparkSession:
+def local_session(
+    cores: int | str = "*",
+    shuffle_partitions: int | None = None,
+    app: str = "rollcall",
+    extra_conf: dict[str, str] | None = None,
+) -> SparkSession:
     """A local session for tests and the benchmark (UI off)."""
     parts = shuffle_partitions or (os.cpu_count() or 8)
     b = (
@@ -36,7 +41,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.driver.memory", os.environ.get("ROLLCALL_DRIVER_MEMORY", "8g"))
     )
-    for k, v in RECOMMENDED_CONF.items():
+    for k, v in {**RECOMMENDED_CONF, **(extra_conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
