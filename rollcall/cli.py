@@ -29,23 +29,23 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--rows", type=int, default=50, help="rows to print per table")
     sub = p.add_subparsers(dest="command", required=True)
 
-    s = sub.add_parser("search_la")
+    s = sub.add_parser("search_la", help="enrolments by period for chosen local authorities")
     s.add_argument("--las", required=True, help="comma-separated local authorities")
     s.add_argument("--prefixes", default="", help="comma-separated name prefixes")
-    s = sub.add_parser("search_type")
+    s = sub.add_parser("search_type", help="national authorised absence for a school type and year")
     s.add_argument("--type", required=True, dest="school_type")
     s.add_argument("--year", required=True)
-    s = sub.add_parser("search_unauth")
+    s = sub.add_parser("search_unauth", help="unauthorised absence in a year by region or LA, paged")
     s.add_argument("--year", required=True)
     s.add_argument("--by", choices=["region", "la"], default="region")
     s.add_argument("--page", type=int, default=1)
     s.add_argument("--page-size", type=int, default=10)
-    s = sub.add_parser("compare_la")
+    s = sub.add_parser("compare_la", help="two local authorities side by side in one year")
     s.add_argument("--la1", required=True)
     s.add_argument("--la2", required=True)
     s.add_argument("--year", required=True)
-    sub.add_parser("region_chart")
-    s = sub.add_parser("explore_link")
+    sub.add_parser("region_chart", help="regional absence over time: trends, best and worst")
+    s = sub.add_parser("explore_link", help="school type x region in one year")
     s.add_argument("--year", default=None)
     s.add_argument("--k", type=int, default=5)
     s = sub.add_parser("store", help="read a published CSV and store it as Parquet")
