@@ -27,6 +27,7 @@ def build_parser() -> argparse.ArgumentParser:
     src.add_argument("--fact", help="stored Parquet fact table")
     src.add_argument("--star", help="directory of star-schema Parquet tables")
     p.add_argument("--rows", type=int, default=50, help="rows to print per table")
+    p.add_argument("--explain", action="store_true", help="print each result's physical plan instead of its rows")
     sub = p.add_subparsers(dest="command", required=True)
 
     s = sub.add_parser("search_la", help="enrolments by period for chosen local authorities")
@@ -90,5 +91,8 @@ def main(argv: list[str] | None = None) -> int:
         out = reports.explore_link(fact, args.year, args.k)
     for name, df in out.items():
         print(f"== {name}")
-        df.show(args.rows, truncate=False)
+        if args.explain:
+            df.explain("formatted")
+        else:
+            df.show(args.rows, truncate=False)
     return 0

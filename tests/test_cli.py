@@ -34,3 +34,9 @@ def test_store_then_read(spark, tmp_path, capsys):
     assert main(["store", "--csv", csv, "--out", out_dir]) == 0
     assert main(["--fact", out_dir, "--rows", "3", "region_chart"]) == 0
     assert "== worst" in capsys.readouterr().out
+
+
+def test_explain_prints_plans(spark, capsys):
+    assert main(["--star", SF_SMALL, "--explain", "search_unauth", "--year", "2018", "--by", "la"]) == 0
+    out = capsys.readouterr().out
+    assert "== page" in out and "TakeOrderedAndProject" in out and "PartitionFilters" in out
