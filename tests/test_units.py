@@ -335,3 +335,17 @@ def test_region_change_sign_and_worsened(make_fact):
     assert list(got) == ["A"] and got["A"].increase == 0.5 and got["A"].first_period == 4.0
     assert regions.region_improved(df).count() == 0
     assert regions.region_worst(df).collect()[0].region_name == "B"
+
+
+def test_staged_tables_live_under_the_checkpoint_dir(spark, make_fact):
+    from rollcall.session import ensure_checkpoint_dir, scratch_path
+    from rollcall.sources import stage_fact
+
+    base = spark.sparkContext.getCheckpointDir()
+    assert base and ensure_checkpoint_dir(spark) == base
+    assert scratch_path(spark, "x").startswith(base.rstrip("/") + "/x-")
+    staged = stage_fact(spark, make_fact([{"time_period": 201819, "geographic_level": NAT, "school_type": "Total"}]))
+    from urllib.parse import urlparse
+
+    root = urlparse(base).path.rstrip("/")
+    assert staged.inputFiles() and all(urlparse(f).path.startswith(root + "/") for f in staged.inputFiles())
