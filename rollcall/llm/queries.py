@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, sharding
+from . import chat, mixing, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_classes(_table(spark, sf_dir, "documents"), width=4, distance=4, columns=["doc_id"])
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     # the contract's conversation -1, whose texts look like control strings
@@ -39,6 +43,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op5_source_mixing": op5_source_mixing,
+        "op6_simhash_near_dedup": op6_simhash_near_dedup,
         "op7_chat_formatting": op7_chat_formatting,
         "op10_sharding": op10_sharding,
     }
