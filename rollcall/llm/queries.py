@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, sharding, simhash
+from . import chat, mixing, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_documents(documents, _table(spark, sf_dir, "labels"), threshold=0.3)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -42,6 +48,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_toxicity": op4_toxicity,
         "op5_source_mixing": op5_source_mixing,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
         "op7_chat_formatting": op7_chat_formatting,
