@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, sharding, simhash, toxicity
+from . import bpe, chat, fingerprints, mixing, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoding_digest(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score_documents(documents, _table(spark, sf_dir, "labels"), threshold=0.3)
@@ -42,16 +53,22 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digest(given.unionByName(extra))
 
 
+def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=16)
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_bpe_encoding": op3_bpe_encoding,
         "op4_toxicity": op4_toxicity,
         "op5_source_mixing": op5_source_mixing,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
         "op7_chat_formatting": op7_chat_formatting,
+        "op8_imatch_fingerprints": op8_imatch_fingerprints,
         "op10_sharding": op10_sharding,
     }
 

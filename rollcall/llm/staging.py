@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +49,10 @@ def uniform(*parts: Column | int) -> Column:
     cols = [F.lit(p) if isinstance(p, int) else p for p in parts]
     top = F.shiftrightunsigned(F.xxhash64(*cols), 12)
     return (top.cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
+
+
+def worker_state() -> dict:
+    """A dictionary that lives as long as the Python worker process. (Functions
+    here are pickled by value, so their module globals last for one task.)"""
+    name = "_rollcall_worker_state"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("state", {})
