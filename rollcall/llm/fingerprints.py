@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 from .staging import shuffle_partitions
 
 TERM = re.compile(r"[^\W_]+")
-SUBSETS = 64
-#: Chance that a term is in a given subset: one in so many.
-THIN = 24
+SUBSETS = 96
+#: Chance that a term is in a given subset: one in so many, by turns. Thin
+#: subsets tell long texts apart, denser ones short texts.
+THIN = (128, 512, 2048)
 #: Document shares of the band: idf between ln(1/HIGH) and ln(1/LOW).
 LOW, HIGH = 1e-3, 0.5
 NONE = "-" * 8
@@ -63,13 +64,17 @@ class Lexicon:
     band, whatever the number of texts: that bounds what is broadcast.
     """
 
-    def __init__(self, band: list[str], seed: int = 8) -> None:
-        self.index = {t: i for i, t in enumerate(sorted(band))}
+    def __init__(self, band: list[str], seed: int = 8, draw: np.ndarray | None = None) -> None:
+        self.terms = sorted(band)
+        self.index = {t: i for i, t in enumerate(self.terms)}
+        if draw is not None:
+            self.draw = draw
+            return
         draw = np.empty((len(self.index), SUBSETS), bool)
         for t, i in self.index.items():
             # a subset is a rule on the term itself, so it does not depend on the other terms
-            raw = b"".join(hashlib.blake2b(t.encode(), digest_size=64, salt=bytes([seed, k])).digest() for k in range(SUBSETS * 2 // 64))
-            draw[i] = np.frombuffer(raw, ">u2")[:SUBSETS] % THIN == 0
+            raw = b"".join(hashlib.blake2b(t.encode(), digest_size=64, salt=bytes([seed, k])).digest() for k in range(SUBSETS // 32))
+            draw[i] = np.frombuffer(raw, ">u2") % np.resize(THIN, SUBSETS) == 0
         self.draw = draw
 
     def fingerprint(self, text: str | None) -> list[str]:
@@ -82,7 +87,7 @@ class Lexicon:
             order = np.argsort(subsets, kind="stable")
             subsets, rows = subsets[order], rows[order]
             ends = np.searchsorted(subsets, np.arange(SUBSETS), side="right")
-            names, start = list(index), 0
+            names, start = self.terms, 0
             for k, end in enumerate(ends.tolist()):
                 if end > start:
                     chosen = "\n".join([names[i] for i in hit[rows[start:end]]])
@@ -150,20 +155,21 @@ def fingerprint_documents(df: DataFrame, lexicon: Lexicon | None = None) -> Data
 
     The next document is the one with the next id; equal ids are ordered by
     text hash, null ids come first, and the last one's next is the first. A
-    null text counts as empty. A fingerprint is 64 parts of 8 hex digits
+    null text counts as empty. A fingerprint is 96 parts of 8 hex digits
     (``--------``: no term of that subset). A text without any term of the
     lexicon is fingerprinted by all its terms. Each text is shuffled once, to
     ranges of ids. An empty table gives no rows.
     """
     spark = df.sparkSession
     lexicon = lexicon or build_lexicon(df)
-    shared: Broadcast = spark.sparkContext.broadcast(lexicon)
+    shared: Broadcast = spark.sparkContext.broadcast((lexicon.terms, lexicon.draw))
 
     def sha(text: str) -> str:
         return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lex, held = shared.value, None
+        band, draw = shared.value
+        lex, held = Lexicon(band, draw=draw), None
         for rows in batches:
             out = []
             for ident, text, real, number in zip(rows["doc_id"], rows["text"], rows["real"], rows["range_no"], strict=True):
