@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, mixing, sharding, simhash, toxicity
+from . import bpe, chat, embeddings, fingerprints, lm, mixing, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a vocabulary file of the installed public tokenizers."""
     import public_tokenizers
@@ -57,21 +61,50 @@ def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=16)
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_embedding_near_dedup": op1_embedding_near_dedup,
         "op3_bpe_encoding": op3_bpe_encoding,
         "op4_toxicity": op4_toxicity,
         "op5_source_mixing": op5_source_mixing,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
         "op7_chat_formatting": op7_chat_formatting,
         "op8_imatch_fingerprints": op8_imatch_fingerprints,
+        "op9_lm_scoring": op9_lm_scoring,
         "op10_sharding": op10_sharding,
     }
 
 
+# Vectors that can link, their links, and what links reach. Where exact cosines
+# over all pairs of a label are affordable (small tables) this is the whole
+# contract of op1.
+_OP1_SQL = """
+WITH RECURSIVE able AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(embedding, x -> abs(x))) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM able a JOIN able b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+lowest AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, least(v.vec_id, coalesce(l.m, v.vec_id)) AS component_id,
+       v.vec_id = least(v.vec_id, coalesce(l.m, v.vec_id)) AS kept
+FROM embeddings v LEFT JOIN counted c ON c.a = v.vec_id LEFT JOIN lowest l ON l.a = v.vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_embedding_near_dedup": _OP1_SQL}
