@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embeddings, fingerprints, lm, mixing, sharding, simhash, toxicity
+from . import bpe, chat, embeddings, fingerprints, lm, mixing, pii, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_personal_data(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a vocabulary file of the installed public tokenizers."""
     import public_tokenizers
@@ -72,6 +76,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_embedding_near_dedup": op1_embedding_near_dedup,
+        "op2_pii_surrogates": op2_pii_surrogates,
         "op3_bpe_encoding": op3_bpe_encoding,
         "op4_toxicity": op4_toxicity,
         "op5_source_mixing": op5_source_mixing,
