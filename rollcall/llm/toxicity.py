@@ -36,13 +36,17 @@ IDENTITY_TERMS = (
 WORDS = re.compile(r"[^\W_]+")
 SENTENCE_END = re.compile(r"[.!?\n]+")
 STEMS = (4, 5, 6)
+#: Longer words count by their beginnings only.
+LONGEST_WORD = 12
 #: Words remembered per scoring task before the memo starts again.
 MEMO = 500_000
 
 
 def word_features(word: str) -> list[str]:
-    """The features one word gives: itself, and its longer-than-stem starts."""
-    return [word, *[f"{word[:n]}~" for n in STEMS if len(word) >= n]]
+    """The features one word gives: itself unless it is very long, and its
+    beginnings."""
+    starts = [f"{word[:n]}~" for n in STEMS if len(word) >= n]
+    return [word, *starts] if len(word) <= LONGEST_WORD else starts
 
 
 def features(text: str | None) -> set[str]:
@@ -223,17 +227,18 @@ def train(
     a constant.
     """
     rows = labelled.select("text", F.col("label").cast("int").alias("label")).where("label in (0, 1)")
-    counted = staged(feature_counts(rows), "toxicity-features")
+    rows = staged(rows, "toxicity-rows")
+    counted = staged(feature_counts(rows).where(F.col("n1") >= least_rows), "toxicity-features")
     totals = rows.groupBy("label").count().collect()
     n = {r["label"]: r["count"] for r in totals}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     p0, p1 = (F.col("n0") + 0.5) / (n0 + 1), (F.col("n1") + 0.5) / (n1 + 1)
     # log-likelihood gain of a rate of its own per class; ln(features) is what the best of as many
-    # chance features reaches, so a feature of one class needs more than that
+    # chance features reaches, so a feature of one class needs clearly more than that
     pool = (F.col("n0") + F.col("n1") + 1) / (n0 + n1 + 2)
     gain = F.col("n1") * F.ln(p1 / pool) + F.col("n0") * F.ln(p0 / pool)
-    chance = float(np.log(max(counted.count(), 2)))
-    marked = counted.where(F.col("n1") >= least_rows).where(p1 > least_ratio * p0).where(gain > chance)
+    chance = float(np.log(100 * max(counted.count(), 1)))
+    marked = counted.where(p1 > least_ratio * p0).where(gain > chance)
     top = marked.orderBy(gain.desc(), "feature").limit(max_features)
     # shared out over the features that a word gives
     own = F.ln(p1 / p0) / (1 + len(STEMS))
@@ -274,8 +279,10 @@ def labelled_texts(documents: DataFrame, labels: DataFrame, fold: int = 2, folds
     as text, modulo ``folds``) that ``labels`` marks toxic or not. A document
     with labels of both kinds is toxic; null labels are skipped."""
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    marks = marks.where(fold_of(F.col("doc_id"), folds) != fold)
-    return documents.select("doc_id", "text").join(marks, "doc_id").select("text", "label")
+    # both sides lose the held-out fold before the shuffle; a merge join at every size, since labels grow with documents
+    training = fold_of(F.col("doc_id"), folds) != fold
+    texts = documents.select("doc_id", "text").where(training)
+    return texts.join(marks.where(training).hint("merge"), "doc_id").select("text", "label")
 
 
 def fold_of(ident: Column, folds: int) -> Column:
