@@ -44,7 +44,7 @@ def bundles(fact):
     }
 
 
-SHARED = ("regional", "rates")  # cached inputs returned with a bundle, not results
+SHARED = ("regional", "rates")  # stored inputs returned with a bundle, not results
 
 
 def run_bundle(build) -> int:
@@ -52,9 +52,6 @@ def run_bundle(build) -> int:
     results = [f for k, f in frames.items() if k not in SHARED]
     for f in results:
         f.collect()
-    for k in SHARED:
-        if k in frames:
-            frames[k].unpersist()
     return len(results)
 
 

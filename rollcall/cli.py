@@ -45,6 +45,8 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--la1", required=True)
     s.add_argument("--la2", required=True)
     s.add_argument("--year", required=True)
+    s.add_argument("--first-year", type=int, default=None, help="earliest year to accept")
+    s.add_argument("--last-year", type=int, default=None, help="latest year to accept")
     sub.add_parser("region_chart", help="regional absence over time: trends, best and worst")
     s = sub.add_parser("explore_link", help="school type x region in one year")
     s.add_argument("--year", default=None)
@@ -59,6 +61,7 @@ def build_parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = build_parser().parse_args(argv)
     from .plans import reports
+    from .session import drop_scratch
     from .sources import absence, read_fact, read_fact_csv, stage_fact, write_fact
 
     spark = SparkSession.builder.appName("rollcall").getOrCreate()
@@ -84,7 +87,7 @@ def main(argv: list[str] | None = None) -> int:
     elif c == "search_unauth":
         out = reports.search_unauth(fact, args.year, args.by, args.page, args.page_size)
     elif c == "compare_la":
-        out = reports.compare_la(fact, args.la1, args.la2, args.year)
+        out = reports.compare_la(fact, args.la1, args.la2, args.year, args.first_year, args.last_year)
     elif c == "region_chart":
         out = reports.region_chart(fact)
     else:
@@ -94,5 +97,8 @@ def main(argv: list[str] | None = None) -> int:
         if args.explain:
             df.explain("formatted")
         else:
+            total = df.count()
             df.show(args.rows, truncate=False)
+            print(f"{min(args.rows, total)} of {total} rows")
+    drop_scratch(spark)
     return 0

@@ -62,10 +62,11 @@ def period_label(period: int | str) -> str:
 
 def indicator(value1: Column, value2: Column, kind: Column) -> Column:
     """``better``/``worse``/``same`` where ``kind`` is ``rate`` (lower is
-    better); null for counts or when a value is missing."""
-    diff = value1 - value2
+    better) or ``reverse`` (higher is better); null for counts or when a value
+    is missing."""
+    diff = F.when(kind == F.lit("reverse"), value2 - value1).otherwise(value1 - value2)
     return (
-        F.when(kind != F.lit("rate"), F.lit(None).cast("string"))
+        F.when(~kind.isin("rate", "reverse"), F.lit(None).cast("string"))
         .when(diff == 0, F.lit("same"))
         .when(diff < 0, F.lit("better"))
         .when(diff > 0, F.lit("worse"))

@@ -4,8 +4,8 @@ from .catalog import catalog, catalog_size, has_any, members_exist, search_prefi
 from .compare import compare_metrics, lower_wins
 from .filters import filter_fact, filter_members, filter_year
 from .grouped import pick, query, resolve_fields
-from .joins import has_at_most, join_dimension
-from .paging import page, row_count
+from .joins import join_dimension
+from .paging import page, page_after, row_count
 from .ranking import check_grain, top_k_per_group
 
 __all__ = [
@@ -17,11 +17,11 @@ __all__ = [
     "filter_members",
     "filter_year",
     "has_any",
-    "has_at_most",
     "join_dimension",
     "lower_wins",
     "members_exist",
     "page",
+    "page_after",
     "pick",
     "query",
     "resolve_fields",

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import indicator
 
-# A metric: (label, value expression over one fact row, kind "rate"/"count").
+# A metric: (label, value expression over one fact row, kind "rate", "reverse"
+# (higher is better) or "count").
 Metric = tuple[str, Column, str]
 
 
@@ -25,8 +26,8 @@ def compare_metrics(
 
     ``df`` holds at most one row per place (filter it to one period and one
     grain first). Values are doubles. ``indicator`` is ``better`` when the
-    first place's rate is lower, ``worse`` when higher, ``same`` when equal,
-    and null for counts or a missing value.
+    first place's rate is lower (for kind ``reverse``: higher), ``worse`` when
+    higher, ``same`` when equal, and null for counts or a missing value.
 
     One global aggregate picks each place's value (at most two input rows),
     then the metrics are exploded row-wise: no join, no per-metric job.

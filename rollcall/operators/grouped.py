@@ -15,6 +15,13 @@ def resolve_fields(fields: str | dict[str, str]) -> dict[str, str]:
     return field_set(fields) if isinstance(fields, str) else dict(fields)
 
 
+def picks(mapping: dict[str, str], order: Sequence[str]) -> Column:
+    """All source fields of ``mapping`` as one struct, taken from the first
+    row of the group by ``order``: one buffer for all fields."""
+    row = F.struct(*[F.col(f).alias(a) for f, a in mapping.items()])
+    return F.min_by(row, F.struct(*[F.col(c) for c in order]))
+
+
 def pick(field: str, order: Sequence[str]) -> Column:
     """The value of ``field`` on the first row of the group by ``order``.
 
@@ -35,6 +42,7 @@ def query(
     pivot: str | None = None,
     pivot_values: Sequence | None = None,
     order: Sequence[str] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Group ``df`` by ``group_by`` (and pivot on ``pivot``), taking each
     source field under its alias.
@@ -42,6 +50,10 @@ def query(
     Pass ``pivot_values`` whenever they are known: Spark otherwise runs an
     extra job to find them. With one field, pivot columns are named by the
     value; with several, ``<value>_<alias>``.
+
+    ``unique`` says that each group (and pivot value) has one row, as the
+    reports' filters ensure and :func:`check_grain` tests: its value is then
+    taken by a plain ``max``, which runs as a hash aggregate.
     """
     mapping = resolve_fields(fields)
     if order is None:
@@ -49,4 +61,8 @@ def query(
     grouped = df.groupBy(*group_by)
     if pivot is not None:
         grouped = grouped.pivot(pivot, list(pivot_values) if pivot_values is not None else None)
-    return grouped.agg(*[pick(f, order).alias(a) for f, a in mapping.items()])
+    if unique or not order:
+        return grouped.agg(*[F.max(f).alias(a) for f, a in mapping.items()])
+    if pivot is not None:
+        return grouped.agg(*[pick(f, order).alias(a) for f, a in mapping.items()])
+    return grouped.agg(picks(mapping, order).alias("_row")).select(*group_by, "_row.*")

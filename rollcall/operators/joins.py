@@ -1,33 +1,12 @@
-"""Join helpers with an explicit size check before any broadcast."""
+"""Joins to dimension tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A dimension side is broadcast only when it has at most this many rows.
-DEFAULT_BROADCAST_ROWS = 100_000
 
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows.
-
-    Bounded work: the count runs over ``limit(max_rows + 1)``, so a large
-    table is not read through to answer the question.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(
-    fact: DataFrame,
-    dim: DataFrame,
-    on,
-    how: str = "inner",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join a fact side to a dimension side, broadcasting the dimension only
-    when its row count is proven to be under ``max_rows``; otherwise a plain
-    join, for which the planner (and AQE at run time) picks a shuffle join."""
-    if has_at_most(dim, max_rows):
-        return fact.join(F.broadcast(dim), on, how)
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a fact side to a dimension side. No hint and no count: the
+    planner's byte estimate, and AQE's measured bytes at run time, decide
+    whether the dimension is broadcast (``spark.sql.autoBroadcastJoinThreshold``)."""
     return fact.join(dim, on, how)

@@ -149,12 +149,12 @@ _CHANGE = (
     "c AS (SELECT *, CASE WHEN change = 0 THEN 'same' WHEN change < 0 THEN 'better' WHEN change > 0 THEN 'worse' END "
     "AS indicator FROM c1)",
 )
-def _rates() -> str:
+def _rates(when: str | None = None) -> str:
     return (
         "t AS (SELECT region_name, school_type, avg(sess_overall_percent) AS overall_absence_rate, "
         "avg(sess_authorised_percent) AS authorised_absence_rate, avg(sess_unauthorised_percent) AS unauthorised_absence_rate "
         f"FROM absence WHERE geographic_level = 'Regional' AND school_type IN {_in(SCHOOL_TYPES)} "
-        f"AND {_years(P.LINK_YEAR)} GROUP BY region_name, school_type)"
+        f"AND {when or _years(P.LINK_YEAR)} GROUP BY region_name, school_type)"
     )
 
 
@@ -204,6 +204,10 @@ def oracle_sql() -> dict[str, str]:
         "SELECT time_period, geographic_level, region_name, la_name, school_type, count(*) AS n FROM absence "
         "GROUP BY time_period, geographic_level, region_name, la_name, school_type HAVING count(*) > 1"
     )
+    out["check_grain_repeats"] = _with(
+        f"SELECT {', '.join(P.GRAIN_WITHOUT_TYPE)}, count(*) AS n FROM absence "
+        f"GROUP BY {', '.join(P.GRAIN_WITHOUT_TYPE)} HAVING count(*) > 1"
+    )
     out["filter_year"] = _with(f"SELECT * FROM absence WHERE {_years(P.YEARS_FILTER)}")
     out["filter_members"] = _with(f"SELECT * FROM absence WHERE geographic_level IN {_in(P.MEMBER_LEVELS)}")
     ff = P.FILTER_FACT
@@ -257,6 +261,12 @@ def oracle_sql() -> dict[str, str]:
     pg = P.PAGE
     key, level = ("la_name", "Local authority") if pg["by"] == "la" else ("region_name", "Regional")
     paged = f"geographic_level = {_q(level)} AND school_type = 'Total' AND {_years(pg['year'])}"
+    last, last_name = P.PAGE_AFTER
+    out["page_after"] = _with(
+        f"SELECT * FROM (SELECT {key}, {unauth} FROM absence WHERE {paged}) "
+        f"WHERE absences < {last} OR (absences = {last} AND {key} > {_q(last_name)}) OR absences IS NULL "
+        f"ORDER BY absences DESC NULLS LAST, {key} LIMIT {pg['page_size']}"
+    )
     out["page"] = _with(
         f"SELECT {key}, {unauth} FROM absence WHERE {paged} ORDER BY absences DESC NULLS LAST, {key} "
         f"LIMIT {pg['page_size']} OFFSET {(pg['page_number'] - 1) * pg['page_size']}"
@@ -283,16 +293,15 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT la_name, {_main_reason()} AS main_reason FROM absence WHERE {lvl_la} AND {_years(P.REASON_YEAR)}"
     )
     out["region_rates"] = _with("SELECT * FROM r", _REGIONAL)
-    out["region_overall_pivot"] = _with(
-        "SELECT * FROM (PIVOT (SELECT region_name, time_period, sess_overall_percent FROM r) "
-        "ON time_period USING max(sess_overall_percent) GROUP BY region_name)",
-        _REGIONAL,
-    )
-    out["region_overall_rounded"] = _with(
-        "SELECT * FROM (PIVOT (SELECT region_name, CAST(time_period // 100 AS VARCHAR) AS yr, "
-        "round(sess_overall_percent, 2) AS v FROM r) ON yr USING max(v) GROUP BY region_name)",
-        _REGIONAL,
-    )
+    # A fixed column per period of the given tables: a view cannot hold a pivot
+    # on values found at run time. A further period shows up as a column that
+    # only the Spark side has.
+    by_period = [(str(y * 100 + (y + 1) % 100), str(y)) for y in P.PERIOD_YEARS]
+    rate = "max(CASE WHEN time_period = {p} THEN sess_overall_percent END)"
+    pivoted = ", ".join(f'{rate.format(p=p)} AS "{p}"' for p, _ in by_period)
+    out["region_overall_pivot"] = _with(f"SELECT region_name, {pivoted} FROM r GROUP BY region_name", _REGIONAL)
+    rounded = ", ".join(f'round({rate.format(p=p)}, 2) AS "{label}"' for p, label in by_period)
+    out["region_overall_rounded"] = _with(f"SELECT region_name, {rounded} FROM r GROUP BY region_name", _REGIONAL)
     out["region_average"] = _with(
         "SELECT region_name, round(avg(sess_overall_percent), 4) AS avg_absence FROM r GROUP BY region_name", _REGIONAL
     )
@@ -308,6 +317,10 @@ def oracle_sql() -> dict[str, str]:
     )
     rates_cols = "overall_absence_rate, authorised_absence_rate, unauthorised_absence_rate"
     out["region_type_rates"] = _with("SELECT * FROM t", _rates())
+    out["region_type_rates_latest"] = _with(
+        "SELECT * FROM t",
+        _rates("time_period = (SELECT max(time_period) FROM absence WHERE geographic_level = 'Regional')"),
+    )
     out["top_regions_by_type"] = _with(
         f"SELECT school_type, rank, region_name, {rates_cols} FROM rk WHERE rank <= {P.TOP_K}", _rates(), _RANKED
     )
@@ -375,4 +388,5 @@ def oracle_sql() -> dict[str, str]:
         _BARS,
     )
     out["load_roundtrip"] = _with("SELECT * FROM absence")
+    out["load_fact"] = _with("SELECT * FROM absence")
     return out

@@ -10,21 +10,20 @@ from ..operators import compare_metrics, filter_fact, lower_wins
 from ..schema import (
     AUTHORISED_METRICS,
     BASIC_METRICS,
-    FIRST_YEAR,
-    LAST_YEAR,
     LOCAL_AUTHORITY,
     TOTAL,
     UNAUTHORISED_METRICS,
 )
 
 
-def check_comparison_args(la1: str, la2: str, year, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> int:
-    """Two different places and a four-digit year within the covered range."""
+def check_comparison_args(la1: str, la2: str, year, first_year: int | None = None, last_year: int | None = None) -> int:
+    """Two different places and a four-digit year; with bounds given, a year
+    within them."""
     if not la1 or not la2 or la1 == la2:
         raise ValueError("give two different local authorities")
     y = year_bounds(year)[0] // 100
-    if not first_year <= y <= last_year:
-        raise ValueError(f"year must be within {first_year}-{last_year}")
+    if (first_year is not None and y < first_year) or (last_year is not None and y > last_year):
+        raise ValueError(f"year must be within {first_year or 'any'}-{last_year or 'any'}")
     return y
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..operators import filter_fact, filter_year, top_k_per_group
 from ..schema import REGIONAL, SCHOOL_TYPES, TOTAL
@@ -33,10 +34,14 @@ def region_type_rates(df: DataFrame, year=None) -> DataFrame:
     type) at regional level in ``year`` (default: the latest period present)."""
     rows = filter_fact(df, geographic_level=REGIONAL, school_type=SCHOOL_TYPES)
     if year is None:
-        latest = rows.select(F.max("time_period")).scalar()
-        rows = rows.where(F.col("time_period") == latest)
-    else:
-        rows = filter_year(rows, year)
+        # one pass: mean rates per period too, then the latest of those
+        # (regions x types x periods) rows
+        means = rows.groupBy("region_name", "school_type", "time_period").agg(
+            *[F.avg(src).alias(dst) for src, dst in RATE_NAMES.items()]
+        )
+        means = means.withColumn("latest", F.max("time_period").over(Window.partitionBy()))
+        return means.where(F.col("time_period") == F.col("latest")).select("region_name", "school_type", *RATE_NAMES.values())
+    rows = filter_year(rows, year)
     return rows.groupBy("region_name", "school_type").agg(
         *[F.avg(src).alias(dst) for src, dst in RATE_NAMES.items()]
     )

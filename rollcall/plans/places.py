@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import filter_fact, page, query
+from ..operators import filter_fact, page, page_after, query
 from ..schema import LOCAL_AUTHORITY, NATIONAL, REGIONAL, TOTAL
 
 
@@ -26,7 +26,7 @@ def la_enrolment_pivot(df: DataFrame, las: Sequence[str]) -> DataFrame:
     if not las:
         raise ValueError("give at least one local authority")
     rows = filter_fact(df, geographic_level=LOCAL_AUTHORITY, school_type=TOTAL, la_name=las)
-    return query(rows, "time_period", fields="enrolments", pivot="la_name", pivot_values=las).orderBy("time_period")
+    return query(rows, "time_period", fields="enrolments", pivot="la_name", pivot_values=las, unique=True).orderBy("time_period")
 
 
 def school_type_authorised(df: DataFrame, school_type: str, year) -> DataFrame:
@@ -39,13 +39,14 @@ def school_type_authorised(df: DataFrame, school_type: str, year) -> DataFrame:
         fields={"sess_authorised": "authorised"},
         pivot="school_type",
         pivot_values=[school_type],
+        unique=True,
     )
 
 
 def school_type_breakdown(df: DataFrame, school_type: str, year) -> DataFrame:
     """The authorised field set (12 measures) for one school type and year."""
     rows = filter_fact(df, year=year, geographic_level=NATIONAL, school_type=school_type)
-    return query(rows, "time_period", fields="authorized")
+    return query(rows, "time_period", fields="authorized", unique=True)
 
 
 _BY = {"region": (REGIONAL, "region_name"), "la": (LOCAL_AUTHORITY, "la_name")}
@@ -58,7 +59,7 @@ def unauthorised_by(df: DataFrame, year, by: str = "region") -> DataFrame:
         raise ValueError("by must be 'region' or 'la'")
     level, key = _BY[by]
     rows = filter_fact(df, year=year, geographic_level=level, school_type=TOTAL)
-    return query(rows, key, fields="unauthorized").orderBy(F.desc_nulls_last("absences"), F.asc(key))
+    return query(rows, key, fields="unauthorized", unique=True).orderBy(F.desc_nulls_last("absences"), F.asc(key))
 
 
 def unauthorised_page(df: DataFrame, year, by: str = "la", page_number: int = 1, page_size: int = 10) -> DataFrame:
@@ -68,3 +69,11 @@ def unauthorised_page(df: DataFrame, year, by: str = "la", page_number: int = 1,
         raise ValueError("by must be 'region' or 'la'")
     full = unauthorised_by(df, year, by)
     return page(full, [F.desc_nulls_last("absences"), F.asc(key)], page_number, page_size)
+
+
+def unauthorised_page_after(df: DataFrame, year, by: str = "la", after: tuple | None = None, page_size: int = 10) -> DataFrame:
+    """The ``page_size`` rows of :func:`unauthorised_by` that follow ``after``,
+    the (absences, name) of the last row seen (None: the first page)."""
+    if by not in _BY:
+        raise ValueError("by must be 'region' or 'la'")
+    return page_after(unauthorised_by(df, year, by), "absences", _BY[by][1], after, page_size)

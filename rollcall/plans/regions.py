@@ -5,12 +5,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import indicator, period_label
 from ..operators import filter_fact, query
 from ..schema import REGIONAL, TOTAL
+from ..sources.fact_io import store_small
 
 RATES = ["sess_overall_percent", "sess_authorised_percent", "sess_unauthorised_percent"]
 
@@ -23,13 +25,22 @@ def region_rates(df: DataFrame) -> DataFrame:
 
 def region_overall_pivot(df: DataFrame, periods: Sequence[int] | None = None) -> DataFrame:
     """Overall absence rate, one row per region, one column per period
-    (named by the period). Give ``periods`` when known to skip the value scan."""
+    (named by the period).
+
+    Without ``periods`` the regional rows (regions x periods) are stored under
+    ``spark.checkpoint.dir`` first, so that the search for the periods and the
+    pivot read that small table and the derivation runs once.
+    """
+    rows = region_rates(df)
+    if periods is None:
+        rows = store_small(rows, "regional-rates")
     return query(
-        region_rates(df),
+        rows,
         "region_name",
         fields={"sess_overall_percent": "overall_percent"},
         pivot="time_period",
         pivot_values=periods,
+        unique=True,
     )
 
 
@@ -54,19 +65,31 @@ def region_change(df: DataFrame) -> DataFrame:
     to 4; null where the region lacks that period), ``change = last - first``,
     the mean rate, and ``indicator`` (``better`` when the rate fell).
 
-    One aggregate over the regional rows; the period bounds are scalar
-    subqueries over the same rows. Replaces a pivot, a column scan and a join.
+    One pass over the input: each region keeps its rates by period (a map
+    bounded by the periods), and the period bounds are a window over those
+    one-row-per-region results.
     """
-    rows = region_rates(df)
-    first_p = rows.select(F.min("time_period")).scalar()
-    last_p = rows.select(F.max("time_period")).scalar()
     rate, period = F.col("sess_overall_percent"), F.col("time_period")
+    per_region = region_rates(df).groupBy("region_name").agg(
+        F.collect_list(F.struct(period.alias("p"), rate.alias("v"))).alias("rates"),
+        F.min(period).alias("lo"),
+        F.max(period).alias("hi"),
+        F.avg(rate).alias("mean"),
+    )
+    all_regions = Window.partitionBy()
+    first_p, last_p = F.min("lo").over(all_regions), F.max("hi").over(all_regions)
+
+    def rate_in(p: str) -> Column:
+        return F.array_max(F.transform(F.filter("rates", lambda r: r["p"] == F.col(p)), lambda r: r["v"]))
+
     return (
-        rows.groupBy("region_name")
-        .agg(
-            F.round(F.max(F.when(period == first_p, rate)), 4).alias("first_period"),
-            F.round(F.max(F.when(period == last_p, rate)), 4).alias("last_period"),
-            F.round(F.avg(rate), 4).alias("avg_absence"),
+        per_region.withColumn("first_p", first_p)
+        .withColumn("last_p", last_p)
+        .select(
+            "region_name",
+            F.round(rate_in("first_p"), 4).alias("first_period"),
+            F.round(rate_in("last_p"), 4).alias("last_period"),
+            F.round("mean", 4).alias("avg_absence"),
         )
         .withColumn("change", F.round(F.col("last_period") - F.col("first_period"), 4))
         .select(

@@ -1,13 +1,15 @@
 """The six reports as bundles of lazy DataFrames, one per result table.
 
-Each returns ``{result name: DataFrame}``; nothing runs until the caller acts
-on a result (one Spark action per result). Run them over a stored fact table
-(:func:`rollcall.sources.stage_fact`) so the derivation runs once.
+Each returns ``{result name: DataFrame}``, one Spark action per result. Run
+them over a stored fact table (:func:`rollcall.sources.stage_fact`) so the
+derivation runs once.
 
 The two bundles with many results over one small intermediate (regional
-``Total`` rows: regions x periods; region x type rates: regions x 4) cache
-it when ``cache`` is set: its size is bounded by the geography, not by the
-data volume. Call ``unpersist()`` on the ``rates``/``regional`` entry when done.
+``Total`` rows: regions x periods; region x type rates: regions x 4) store it
+under ``spark.checkpoint.dir`` while they are built, when ``stage`` is set:
+that job (and, in ``region_chart``, the search for the periods in that small
+table) runs at once, everything else when the caller acts on a result.
+:func:`rollcall.session.drop_scratch` removes the stored tables.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import catalog, catalog_size, filter_fact, members_exist, row_count, search_prefix
 from ..schema import REGIONAL, TOTAL
+from ..sources.fact_io import store_small
 from . import charts, comparison, links, places, regions
 
 
@@ -49,10 +52,13 @@ def search_unauth(fact: DataFrame, year, by: str = "region", page_number: int =
     }
 
 
-def compare_la(fact: DataFrame, la1: str, la2: str, year) -> dict[str, DataFrame]:
-    """Two local authorities side by side in one year (arguments checked;
-    ``exists`` tells whether each place occurs at all)."""
-    comparison.check_comparison_args(la1, la2, year)
+def compare_la(
+    fact: DataFrame, la1: str, la2: str, year, first_year: int | None = None, last_year: int | None = None
+) -> dict[str, DataFrame]:
+    """Two local authorities side by side in one year (arguments checked, the
+    year against the bounds if any are given; ``exists`` tells whether each
+    place occurs at all)."""
+    comparison.check_comparison_args(la1, la2, year, first_year, last_year)
     return {
         "exists": members_exist(fact, [la1, la2]),
         "basic": comparison.compare_basic(fact, la1, la2, year),
@@ -62,11 +68,14 @@ def compare_la(fact: DataFrame, la1: str, la2: str, year) -> dict[str, DataFrame
     }
 
 
-def region_chart(fact: DataFrame, periods: Sequence[int] | None = None, cache: bool = True) -> dict[str, DataFrame]:
+def region_chart(fact: DataFrame, periods: Sequence[int] | None = None, stage: bool = True) -> dict[str, DataFrame]:
     """Regional performance over time."""
     regional = filter_fact(fact, geographic_level=REGIONAL, school_type=TOTAL)
-    if cache:
-        regional = regional.cache()
+    if stage:
+        regional = store_small(regional, "regional")
+        if periods is None:
+            found = regional.select("time_period").where("time_period is not null").distinct().orderBy("time_period")
+            periods = [r[0] for r in found.toLocalIterator()]
     fact = regional
     return {
         "regional": regional,
@@ -81,11 +90,11 @@ def region_chart(fact: DataFrame, periods: Sequence[int] | None = None, cache: b
     }
 
 
-def explore_link(fact: DataFrame, year=None, k: int = 5, cache: bool = True) -> dict[str, DataFrame]:
+def explore_link(fact: DataFrame, year=None, k: int = 5, stage: bool = True) -> dict[str, DataFrame]:
     """School type x region in one year (default: the latest period)."""
     rates = links.region_type_rates(fact, year)
-    if cache:
-        rates = rates.cache()
+    if stage:
+        rates = store_small(rates, "region-type-rates")
     return {
         "rates": rates,
         "top_regions": links.top_regions_by_type(rates, k),

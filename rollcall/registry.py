@@ -26,27 +26,34 @@ from .operators import (
     search_prefix,
 )
 from .plans import charts, comparison, links, places, regions
-from .schema import FIELD_SETS, LOCAL_AUTHORITY, TOTAL
+from .schema import FIELD_SETS, LOCAL_AUTHORITY, NATIONAL, REGIONAL, TOTAL
 from .session import scratch_path
-from .sources import absence, read_fact, read_fact_csv, write_fact, write_fact_csv
+from .sources import absence, load_fact, read_fact, read_fact_csv, write_fact, write_fact_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _on_fact(op: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: op(absence(spark, sf_dir))
+def _on_fact(op: Callable[[DataFrame], DataFrame], year=None, levels=None, types=None) -> Query:
+    """``op`` over the fact table; year, levels and school types that the
+    report keeps anyway are handed to the derivation."""
+    years = None if year is None else [year] if isinstance(year, (int, str)) else list(year)
+    return lambda spark, sf_dir: op(absence(spark, sf_dir, years=years, levels=levels, school_types=types))
+
+
+def _on_regions(op: Callable[[DataFrame], DataFrame]) -> Query:
+    return _on_fact(op, levels=[REGIONAL], types=[TOTAL])
 
 
 def _on_rates(op: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: op(links.region_type_rates(absence(spark, sf_dir), P.LINK_YEAR))
+    return _on_fact(lambda df: op(links.region_type_rates(df, P.LINK_YEAR)), P.LINK_YEAR, [REGIONAL])
 
 
 def _fields(set_name: str) -> Query:
     def run(df: DataFrame) -> DataFrame:
         rows = filter_fact(df, year=P.FIELDS_YEAR, geographic_level=LOCAL_AUTHORITY, school_type=TOTAL)
-        return query(rows, "la_name", fields=set_name)
+        return query(rows, "la_name", fields=set_name, unique=True)
 
-    return _on_fact(run)
+    return _on_fact(run, P.FIELDS_YEAR, [LOCAL_AUTHORITY], [TOTAL])
 
 
 def load_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,13 +63,23 @@ def load_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_fact(spark, parquet_path)
 
 
+def load_fact_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load dispatch: a CSV is read and stored, then the stored table is
+    read again without it."""
+    csv_path = write_fact_csv(absence(spark, sf_dir), scratch_path(spark, "fact-csv"))
+    path = scratch_path(spark, "fact-parquet")
+    load_fact(spark, path, csv_path)
+    return load_fact(spark, path)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "build_fact": _on_fact(lambda df: df),
         "check_grain": _on_fact(check_grain),
-        "filter_year": _on_fact(lambda df: filter_year(df, P.YEARS_FILTER)),
-        "filter_members": _on_fact(lambda df: filter_members(df, "geographic_level", P.MEMBER_LEVELS)),
-        "filter_fact": _on_fact(lambda df: filter_fact(df, **P.FILTER_FACT)),
+        "check_grain_repeats": _on_fact(lambda df: check_grain(df, P.GRAIN_WITHOUT_TYPE)),
+        "filter_year": _on_fact(lambda df: filter_year(df, P.YEARS_FILTER), P.YEARS_FILTER),
+        "filter_members": _on_fact(lambda df: filter_members(df, "geographic_level", P.MEMBER_LEVELS), levels=P.MEMBER_LEVELS),
+        "filter_fact": _on_fact(lambda df: filter_fact(df, **P.FILTER_FACT), P.FILTER_FACT["year"], [LOCAL_AUTHORITY], [TOTAL]),
         "catalog_la": _on_fact(lambda df: catalog(df, "la_name")),
         "catalog_school_types": _on_fact(lambda df: catalog(df, "school_type")),
         "catalog_regions": _on_fact(lambda df: catalog(df, "region_name")),
@@ -76,27 +93,31 @@ def queries() -> dict[str, Query]:
     ts, cmp, pg = P.TYPE_SEARCH, P.COMPARE, P.PAGE
     q.update(
         {
-            "la_enrolment_pivot": _on_fact(lambda df: places.la_enrolment_pivot(df, P.PIVOT_LAS)),
-            "school_type_authorised": _on_fact(lambda df: places.school_type_authorised(df, ts["school_type"], ts["year"])),
-            "school_type_breakdown": _on_fact(lambda df: places.school_type_breakdown(df, ts["school_type"], ts["year"])),
-            "unauthorised_by_region": _on_fact(lambda df: places.unauthorised_by(df, P.UNAUTH_YEAR, "region")),
-            "unauthorised_by_la": _on_fact(lambda df: places.unauthorised_by(df, P.UNAUTH_YEAR, "la")),
-            "page": _on_fact(lambda df: places.unauthorised_page(df, **pg)),
-            "unauthorised_row_count": _on_fact(lambda df: row_count(places.unauthorised_by(df, pg["year"], pg["by"]))),
-            "compare_basic": _on_fact(lambda df: comparison.compare_basic(df, **cmp)),
-            "compare_authorised": _on_fact(lambda df: comparison.compare_authorised(df, **cmp)),
-            "compare_unauthorised": _on_fact(lambda df: comparison.compare_unauthorised(df, **cmp)),
-            "compare_verdicts": _on_fact(lambda df: comparison.compare_verdicts(df, **cmp)),
-            "main_absence_reason": _on_fact(lambda df: comparison.main_absence_reason(df, P.REASON_YEAR)),
-            "region_rates": _on_fact(regions.region_rates),
-            "region_overall_pivot": _on_fact(regions.region_overall_pivot),
-            "region_overall_rounded": _on_fact(regions.region_overall_rounded),
-            "region_average": _on_fact(regions.region_average),
-            "region_change": _on_fact(regions.region_change),
-            "region_improved": _on_fact(regions.region_improved),
-            "region_worsened": _on_fact(regions.region_worsened),
-            "region_best": _on_fact(regions.region_best),
-            "region_worst": _on_fact(regions.region_worst),
+            "la_enrolment_pivot": _on_fact(lambda df: places.la_enrolment_pivot(df, P.PIVOT_LAS), None, [LOCAL_AUTHORITY], [TOTAL]),
+            "school_type_authorised": _on_fact(lambda df: places.school_type_authorised(df, ts["school_type"], ts["year"]), ts["year"], [NATIONAL]),
+            "school_type_breakdown": _on_fact(lambda df: places.school_type_breakdown(df, ts["school_type"], ts["year"]), ts["year"], [NATIONAL]),
+            "unauthorised_by_region": _on_fact(lambda df: places.unauthorised_by(df, P.UNAUTH_YEAR, "region"), P.UNAUTH_YEAR, [REGIONAL], [TOTAL]),
+            "unauthorised_by_la": _on_fact(lambda df: places.unauthorised_by(df, P.UNAUTH_YEAR, "la"), P.UNAUTH_YEAR, [LOCAL_AUTHORITY], [TOTAL]),
+            "page_after": _on_fact(
+                lambda df: places.unauthorised_page_after(df, pg["year"], pg["by"], P.PAGE_AFTER, pg["page_size"]), pg["year"], [LOCAL_AUTHORITY], [TOTAL]
+            ),
+            "page": _on_fact(lambda df: places.unauthorised_page(df, **pg), pg["year"], [LOCAL_AUTHORITY], [TOTAL]),
+            "unauthorised_row_count": _on_fact(lambda df: row_count(places.unauthorised_by(df, pg["year"], pg["by"])), pg["year"], [LOCAL_AUTHORITY], [TOTAL]),
+            "compare_basic": _on_fact(lambda df: comparison.compare_basic(df, **cmp), cmp["year"], [LOCAL_AUTHORITY], [TOTAL]),
+            "compare_authorised": _on_fact(lambda df: comparison.compare_authorised(df, **cmp), cmp["year"], [LOCAL_AUTHORITY], [TOTAL]),
+            "compare_unauthorised": _on_fact(lambda df: comparison.compare_unauthorised(df, **cmp), cmp["year"], [LOCAL_AUTHORITY], [TOTAL]),
+            "compare_verdicts": _on_fact(lambda df: comparison.compare_verdicts(df, **cmp), cmp["year"], [LOCAL_AUTHORITY], [TOTAL]),
+            "main_absence_reason": _on_fact(lambda df: comparison.main_absence_reason(df, P.REASON_YEAR), P.REASON_YEAR, [LOCAL_AUTHORITY], [TOTAL]),
+            "region_rates": _on_regions(regions.region_rates),
+            "region_overall_pivot": _on_regions(regions.region_overall_pivot),
+            "region_overall_rounded": _on_regions(regions.region_overall_rounded),
+            "region_average": _on_regions(regions.region_average),
+            "region_change": _on_regions(regions.region_change),
+            "region_improved": _on_regions(regions.region_improved),
+            "region_worsened": _on_regions(regions.region_worsened),
+            "region_best": _on_regions(regions.region_best),
+            "region_worst": _on_regions(regions.region_worst),
+            "region_type_rates_latest": _on_fact(links.region_type_rates, levels=[REGIONAL]),
             "region_type_rates": _on_rates(lambda r: r),
             "top_regions_by_type": _on_rates(lambda r: links.top_regions_by_type(r, P.TOP_K)),
             "highest_by_type": _on_rates(links.highest_by_type),
@@ -108,11 +129,12 @@ def queries() -> dict[str, Query]:
             "consistent_regions_min1": _on_rates(lambda r: links.consistent_regions(r, 1)),
             "phase_unauth_gap": _on_rates(links.phase_unauth_gap),
             "key_findings": _on_rates(links.key_findings),
-            "chart_region_trend": _on_fact(charts.chart_region_trend),
+            "chart_region_trend": _on_regions(charts.chart_region_trend),
             "chart_region_type": _on_rates(charts.chart_region_type),
             "chart_type_auth_unauth": _on_rates(charts.chart_type_auth_unauth),
             "chart_heatmap": _on_rates(charts.chart_heatmap),
             "load_roundtrip": load_roundtrip,
+            "load_fact": load_fact_stored,
         }
     )
     return q

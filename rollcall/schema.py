@@ -121,9 +121,6 @@ UNAUTHORISED_METRICS: list[tuple[str, str]] = [
     ("No Reason Yet (%)", "sess_unauth_noyet"),
 ]
 
-# Years a comparison may ask for.
-FIRST_YEAR, LAST_YEAR = 2006, 2018
-
 # ---------------------------------------------------------------------------
 # Declared schema of the 39 columns the reports read.
 # ---------------------------------------------------------------------------

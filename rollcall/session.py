@@ -20,8 +20,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Periods are pivot values; keep the bound explicit.
-    "spark.sql.pivotMaxValues": "10000",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -49,6 +47,10 @@ def local_session(
     return spark
 
 
+#: Folders named by scratch_path and not yet dropped.
+_SCRATCH: list[str] = []
+
+
 def _classic_context(spark: SparkSession):
     """The SparkContext of a classic session; None under Spark Connect."""
     try:
@@ -61,7 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and is read, never replaced.
-    Only when it is unset (local tests) is a fresh local folder chosen.
+    Only when it is unset and the master is local (tests) is a fresh local
+    folder chosen; elsewhere a missing setting raises.
     """
     sc = _classic_context(spark)
     if sc is not None and sc.getCheckpointDir():
@@ -70,6 +73,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="rollcall-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(configured)
@@ -80,4 +85,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete every folder that :func:`scratch_path` has named in this
+    process. Call it when no result over a staged table is still to be read."""
+    sc = _classic_context(spark)
+    while _SCRATCH:
+        path = _SCRATCH.pop()
+        if sc is not None:
+            target = sc._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,20 +12,43 @@ from ..schema import FACT, FACT_COLUMNS
 
 PARTITION_COLUMN = "geographic_level"
 
-
-def read_fact_csv(spark: SparkSession, path: str, extra_columns: bool = True) -> DataFrame:
+# Cells of the published tables that stand for "no figure"
+# (not available, suppressed, not applicable, low), beside the empty cell.
+SUPPRESSION_MARKERS = ("", "x", "c", "z", "k", "u", ":", "..", ".", "-", "~", "low", "n/a", "na", "null")
+GROUPED_NUMBER = r"^[+-]?\d{1,3}(,\d{3})+(\.\d+)?$"
+
+
+def numeric_cell(name: str, kind: T.DataType, markers: Sequence[str] = SUPPRESSION_MARKERS) -> Column:
+    """The number in a text cell. A marker or an empty cell is null; thousands
+    separators and, in a count, a zero fraction are accepted (``1,234``,
+    ``12.0``); any other text raises an error that names column and value."""
+    cell = F.trim(F.col(f"`{name}`"))
+    plain = F.when(cell.rlike(GROUPED_NUMBER), F.replace(cell, F.lit(","), F.lit(""))).otherwise(cell)
+    if isinstance(kind, T.DoubleType):
+        number = plain.try_cast(kind)
+    else:
+        number = F.regexp_replace(plain, r"^([+-]?\d+)\.0*$", "$1").try_cast(kind)
+    bad = F.raise_error(F.concat(F.lit(f"column {name}: not a number or a known marker: "), cell)).cast(kind)
+    empty = cell.isNull() | F.lower(cell).isin([m.lower() for m in markers])
+    return F.when(empty, F.lit(None).cast(kind)).otherwise(F.coalesce(number, bad)).alias(name)
+
+
+def read_fact_csv(
+    spark: SparkSession, path: str, extra_columns: bool = True, markers: Sequence[str] = SUPPRESSION_MARKERS
+) -> DataFrame:
     """Read the published CSV with a header, under the declared schema.
 
-    Cells are read as text and converted with ``try_cast``: suppression
-    markers (``x``, ``c``, ``:`` …) and empty cells become null while every
-    column keeps its declared type. No inference pass over the input. Columns
-    the reports do not use are kept as text when ``extra_columns`` is set.
+    Cells are read as text and converted by :func:`numeric_cell`: only the
+    listed ``markers`` and empty cells become null. No inference pass over the
+    input. In a folder of files every header must equal the first one's: a
+    file with other or reordered columns raises an error. Columns the reports
+    do not use are kept as text when ``extra_columns`` is set.
     """
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False).csv(path)
     missing = [c for c in FACT_COLUMNS if c not in raw.columns]
     if missing:
         raise ValueError(f"CSV lacks required columns: {missing}")
-    typed = [F.trim(F.col(f"`{f.name}`")).try_cast(f.dataType).alias(f.name)
+    typed = [numeric_cell(f.name, f.dataType, markers)
              if not isinstance(f.dataType, T.StringType)
              else F.nullif(F.trim(F.col(f"`{f.name}`")), F.lit("")).alias(f.name)
              for f in FACT.fields]
@@ -87,3 +110,13 @@ def write_fact_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str
     """Write the fact table as CSV with a header (the published layout)."""
     df.write.mode(mode).option("header", True).csv(path)
     return path
+
+
+def store_small(df: DataFrame, name: str) -> DataFrame:
+    """Store a small intermediate under the shared checkpoint folder and
+    return the stored table (not partitioned; the schema is kept)."""
+    from ..session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,7 +23,7 @@ Plan, written for a lineitem table of many terabytes:
    flag) measured 60 % more shuffle bytes; see tools/shuffle_bytes.py.)
 4. Only then is ``customer`` joined: each school has at most one row per
    period, so the join cannot be skewed. The ``nation`` x ``region``
-   geography is broadcast into the customer scan behind a row-count check.
+   geography joins the customer scan; the planner broadcasts it by its bytes.
 5. One aggregate to the finest grain (period, region, LA, school type): a
    school row is unique per (school, period), so distinct counts become
    ``count(*)`` and sums of pupil counts, which combine map-side. No
@@ -35,11 +35,15 @@ Plan, written for a lineitem table of many terabytes:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import year_bounds
 from ..operators.joins import join_dimension
-from ..schema import FACT_COLUMNS
+from ..schema import FACT_COLUMNS, LEVELS, LOCAL_AUTHORITY, NATIONAL, REGIONAL, TOTAL
 
 # ---------------------------------------------------------------------------
 # Fixed values of the test-data mapping.
@@ -172,10 +176,7 @@ def _schools(pupils: DataFrame) -> DataFrame:
 
 
 def _places(tables: dict[str, DataFrame]) -> DataFrame:
-    """School -> (region, LA, school type): customer with broadcast geography."""
-    # Both geography tables are dimension-sized; their join is planned by
-    # Spark's own size estimate, and the result is broadcast into the
-    # customer scan only after a bounded row count.
+    """School -> (region, LA, school type): customer with its geography."""
     geo = (
         tables["nation"]
         .select(
@@ -203,9 +204,60 @@ def _places(tables: dict[str, DataFrame]) -> DataFrame:
     return join_dimension(cust, geo, "nationkey").drop("nationkey")
 
 
-def derive_fact(tables: dict[str, DataFrame]) -> DataFrame:
-    """The 39-column fact table at all six grains, from the star schema."""
-    schools = _schools(_pupils(_line_sums(tables["lineitem"]), tables["orders"]))
+def orders_of(orders: DataFrame, years: Sequence[int | str]) -> DataFrame:
+    """Orders whose period starts in one of ``years``: ranges of
+    ``o_orderdate``, which reach the Parquet scan."""
+    starts = [year_bounds(y)[0] // 100 - YEAR_OFFSET for y in years]
+    date = F.col("o_orderdate")
+    ranges = [(date >= F.lit(f"{y:04d}-01-01").cast("timestamp_ntz")) & (date < F.lit(f"{y + 1:04d}-01-01").cast("timestamp_ntz"))
+              for y in starts]
+    return orders.where(reduce(lambda a, b: a | b, ranges, F.lit(False)))
+
+
+# Grouping sets by (geographic level, whether school types are kept apart).
+GROUPING_SETS = {
+    (NATIONAL, False): ["time_period"],
+    (NATIONAL, True): ["time_period", "school_type"],
+    (REGIONAL, False): ["time_period", "region_name"],
+    (REGIONAL, True): ["time_period", "region_name", "school_type"],
+    (LOCAL_AUTHORITY, False): ["time_period", "region_name", "la_name"],
+    (LOCAL_AUTHORITY, True): ["time_period", "region_name", "la_name", "school_type"],
+}
+
+
+def grouping_sets(levels: Sequence[str] | None, school_types: Sequence[str] | None) -> list[list[str]]:
+    """The grouping sets that rows of the given levels and types come from."""
+    unknown = set(levels or []) - set(LEVELS)
+    if unknown:
+        raise ValueError(f"unknown geographic levels: {sorted(unknown)}")
+    return [
+        keys for (level, by_type), keys in GROUPING_SETS.items()
+        if (levels is None or level in levels)
+        and (school_types is None or (any(t != TOTAL for t in school_types) if by_type else TOTAL in school_types))
+    ]
+
+
+def derive_fact(
+    tables: dict[str, DataFrame],
+    years: Sequence[int | str] | None = None,
+    levels: Sequence[str] | None = None,
+    school_types: Sequence[str] | None = None,
+) -> DataFrame:
+    """The 39-column fact table at all six grains, from the star schema.
+
+    ``years``, ``levels`` and ``school_types`` say which rows a report needs:
+    years become a range of ``o_orderdate`` in the orders scan and a semi join
+    of lineitem before its aggregate; levels and types leave only the grouping
+    sets they come from (a set keeps all its types). ``None`` keeps all.
+    """
+    sets = grouping_sets(levels, school_types)
+    if not sets:
+        raise ValueError("no rows of the fact table are of these levels and school types")
+    lineitem, orders = tables["lineitem"], tables["orders"]
+    if years is not None:
+        orders = orders_of(orders, years)
+        lineitem = lineitem.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    schools = _schools(_pupils(_line_sums(lineitem), orders))
     placed = schools.join(_places(tables), "school")
     keys = ["time_period", "region_name", "la_name", "school_type"]
 
@@ -223,17 +275,7 @@ def derive_fact(tables: dict[str, DataFrame]) -> DataFrame:
 
     # Every measure is additive, so the coarser grains roll up from the small
     # finest-grain table: the grouping-set Expand never sees the large rows.
-    cube = finest.groupingSets(
-        [
-            ["time_period"],
-            ["time_period", "school_type"],
-            ["time_period", "region_name"],
-            ["time_period", "region_name", "school_type"],
-            ["time_period", "region_name", "la_name"],
-            ["time_period", "region_name", "la_name", "school_type"],
-        ],
-        *keys,
-    ).agg(
+    cube = finest.groupingSets(sets, *keys).agg(
         F.grouping("region_name").alias("g_region"),
         F.grouping("la_name").alias("g_la"),
         F.grouping("school_type").alias("g_type"),
@@ -281,6 +323,13 @@ def derive_fact(tables: dict[str, DataFrame]) -> DataFrame:
     return cube.select(*[computed[c].alias(c) if c in computed else F.col(c) for c in FACT_COLUMNS])
 
 
-def absence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact table derived from the star-schema Parquet files in ``sf_dir``."""
-    return derive_fact(read_star(spark, sf_dir))
+def absence(
+    spark: SparkSession,
+    sf_dir: str,
+    years: Sequence[int | str] | None = None,
+    levels: Sequence[str] | None = None,
+    school_types: Sequence[str] | None = None,
+) -> DataFrame:
+    """The fact table derived from the star-schema Parquet files in
+    ``sf_dir``; the other arguments as for :func:`derive_fact`."""
+    return derive_fact(read_star(spark, sf_dir), years, levels, school_types)

@@ -49,17 +49,18 @@ def make_fact(spark):
 @pytest.fixture(scope="module")
 def shared_fact(spark):
     """Patch the registry so each data directory is derived once per module
-    (cached), then every registered query runs on that cached table. The
+    and scope (cached), then every registered query runs on that cached table. The
     derivation itself is still compared with the oracle by ``build_fact``."""
     import rollcall.registry as registry
     from rollcall.sources import absence as derive
 
     cache = {}
 
-    def memo(spark_, sf_dir):
-        if sf_dir not in cache:
-            cache[sf_dir] = derive(spark_, sf_dir).cache()
-        return cache[sf_dir]
+    def memo(spark_, sf_dir, **scope):
+        key = (sf_dir, repr(sorted(scope.items())))
+        if key not in cache:
+            cache[key] = derive(spark_, sf_dir, **scope).cache()
+        return cache[key]
 
     original = registry.absence
     registry.absence = memo

@@ -18,10 +18,11 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 import oracle_check  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
+from rollcall import oracle, registry  # noqa: E402
 
 SF = os.environ.get("ROLLCALL_ORACLE_SF", SF_SMALL)
-SQL = E.oracle_sql()
-QUERIES = E.queries()
+SQL = oracle.oracle_sql()
+QUERIES = registry.queries()
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +38,7 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, shared_fact, name):
     df = QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    res = con.execute(SQL[name])
+    res = oracle_check.run_oracle(con, SQL[name])
     ok, exact, msg = oracle_check.compare(df.columns, rows, [d[0] for d in res.description], res.fetchall())
     assert ok, msg
 
