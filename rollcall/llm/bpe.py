@@ -33,7 +33,7 @@ MEAN_CHUNK = 512  # one cut per so many bytes, about
 NEAR = 64  # a cut moves at most so many bytes to white space
 BLOCK = 1 << 16  # bytes hashed at a time
 CHUNKS_KEPT = 40_000
-WORDS_KEPT = 500_000
+WORDS_KEPT = 400_000
 _SPACE = re.compile(r"[ \t-\r]+")
 _SPACES = b" \t\n\x0b\x0c\r"  # iterates as byte values
 _P = 0x9E3779B97F4A7C15 | 1
@@ -107,18 +107,20 @@ class ChunkEncoder:
         spec["truncation"] = spec["padding"] = None
         self.tokenizer = Tokenizer.from_str(json.dumps(spec))
         self.chunker = Chunker(mean, near)
-        self.chunks: dict[bytes, list[int]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.chunks: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.encoded_chunks = 0
         self.repairs = 0
         self.by_word = _splits_at_space(spec)
         plain = spec.get("decoder") is None
-        self.names = _token_strings(self.tokenizer) if plain else None
+        self.names = _token_strings(self.tokenizer) if plain and self.by_word else None
 
     def plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _chunk(self, raw: bytes) -> list[int]:
+    def _chunk(self, raw: bytes) -> bytes:
+        """The ids of a chunk, as packed 32-bit numbers."""
         key = raw.strip(_SPACES)
         got = self.chunks.get(key)
         if got is None:
@@ -129,19 +131,27 @@ class ChunkEncoder:
             self.chunks[key] = got
         return got
 
-    def _by_words(self, text: str) -> list[int]:
-        words, known = _SPACE.split(text), self.words
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) + len(new) > WORDS_KEPT:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[w] = tuple(e.ids)
-        out: list[int] = []
-        for w in words:
-            out.extend(known[w])
-        return out
+    def _by_words(self, text: str) -> bytes:
+        words = _SPACE.split(text)
+        try:
+            return b"".join(map(self.words.__getitem__, words))
+        except KeyError:
+            self._learn(set(words))
+            return b"".join(map(self.words.__getitem__, words))
+
+    def _learn(self, words: set[str]) -> None:
+        """Put the ids of ``words`` into the store. When it is full, it becomes
+        the old one, from which words in use are taken over."""
+        if len(self.words) + len(words) > WORDS_KEPT:
+            self.old, self.words = self.words, {w: self.words[w] for w in words if w in self.words}
+        known, old = self.words, self.old
+        new = [w for w in words if w not in known]
+        known |= {w: old[w] for w in new if w in old}
+        split = {w: _parts(w) for w in new if w not in known}
+        pieces = [x for x in {x for p in split.values() for x in p} if x not in known]
+        for x, e in zip(pieces, self.tokenizer.encode_batch(pieces, add_special_tokens=False), strict=True):
+            known[x] = old[x] if x in old else np.array(e.ids, np.int32).tobytes()
+        known |= {w: b"".join([known[x] for x in p]) for w, p in split.items()}
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
@@ -149,18 +159,18 @@ class ChunkEncoder:
         if not self.by_word:  # no places known where parts are independent
             return self.plain(text)
         raw = text.encode("utf-8", "replace")
-        out: list[int] = []
+        out = bytearray()
         last = before = 0
         for cut in self.chunker.cuts(raw):
             right = self._chunk(raw[last:cut])
             if last and raw[last] not in _SPACES and raw[last - 1] not in _SPACES:
                 out = self._repaired(raw, before, last, cut, out, right)
             else:
-                out.extend(right)
+                out += right
             before, last = last, cut
-        return out
+        return np.frombuffer(bytes(out), np.int32).tolist()
 
-    def _repaired(self, raw: bytes, start: int, cut: int, end: int, left: list[int], right: list[int]) -> list[int]:
+    def _repaired(self, raw: bytes, start: int, cut: int, end: int, left: bytearray, right: bytes) -> bytearray:
         """Tokens across the join at ``cut``, which parts a word: encode a
         window from white space before it to white space after it, and widen
         it until the rest of both sides agrees with what they hold."""
@@ -172,7 +182,8 @@ class ChunkEncoder:
             drop, skip = self._by_words(raw[a:cut].decode("utf-8")), self._by_words(raw[cut:b].decode("utf-8"))
             kept = len(left) - len(drop)
             if (left[kept:] == drop and right[: len(skip)] == skip) or (a == start and b == end):
-                return left[:kept] + self.plain(raw[a:b].decode("utf-8")) + right[len(skip) :]
+                middle = np.array(self.plain(raw[a:b].decode("utf-8")), np.int32).tobytes()
+                return left[:kept] + middle + right[len(skip) :]
 
     def decode(self, ids: list[int]) -> str:
         if self.names is not None:
@@ -180,21 +191,38 @@ class ChunkEncoder:
         return self.tokenizer.decode(ids, skip_special_tokens=False)
 
 
-def _token_strings(tokenizer) -> dict[int, str]:
-    return {i: t for t, i in tokenizer.get_vocab(with_added_tokens=True).items()}
+def _parts(word: str) -> list[str]:
+    """A word as pieces that many words share, with the same tokens in a row:
+    end punctuation behind a letter is a pre-token of its own, and letters are
+    lower-cased by the tokenizer anyway."""
+    stem = word.rstrip(".,;:!?")
+    if not stem or not stem[-1].lower().isalpha():  # (some capitals become a letter and a mark)
+        return [word]
+    low = stem.lower() if stem.isascii() and stem.isalpha() else stem
+    return [low, word[len(stem) :]] if len(stem) < len(word) else [low]
+
+
+def _token_strings(tokenizer) -> list[str]:
+    names = tokenizer.get_vocab(with_added_tokens=True)
+    out = [""] * (max(names.values()) + 1)
+    for name, i in names.items():
+        out[i] = name
+    return out
 
 
 def _splits_at_space(spec: dict) -> bool:
     """True where the tokenizer drops white space between pre-tokens, so that
     the parts around ASCII white space are independent. Known for a Split that
-    removes all but the matches of a pattern which matches no white space."""
+    removes all but the matches of a pattern which matches no white space (after
+lower-casing, which :func:`_parts` relies on)."""
     pre = spec.get("pre_tokenizer") or {}
     first = (pre.get("pretokenizers") or [pre])[0]
     pattern = (first.get("pattern") or {}).get("Regex", "")
     plain = pattern.replace(r"[^\s\p{L}\p{N}]+", "")
     added_alone = all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] and not _SPACE.search(t["content"])
                       for t in spec.get("added_tokens", []))
-    return (first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert"))
+    lower = "Lowercase" in json.dumps(spec.get("normalizer") or {})
+    return (lower and first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert"))
             and r"\s" not in plain and r"\S" not in plain and "." not in plain and " " not in plain and added_alone)
 
 
