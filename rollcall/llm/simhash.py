@@ -79,6 +79,8 @@ def segments(distance: int) -> list[tuple[int, int]]:
 
 def _local_links(a: np.ndarray, b: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning stars (member, smallest member) of the links between a and b."""
+    if not len(a) or not len(b):
+        return a[:0], b[:0]
     both = np.unique(np.concatenate([a, b]))
     ia, ib = np.searchsorted(both, a), np.searchsorted(both, b)
     bits = a.view(np.uint64)[:, None] ^ b.view(np.uint64)[None, :]
