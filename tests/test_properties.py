@@ -61,6 +61,11 @@ def test_pages_concatenate_to_whole(spark):
     for n in range(1, len(whole) // 7 + 2):
         pages += [tuple(r) for r in places.unauthorised_page(fact, 2018, "la", n, 7).collect()]
     assert pages == whole
+    keyed, after = [], None
+    while rows := places.unauthorised_page_after(fact, 2018, "la", after, 7).collect():
+        keyed += [tuple(r) for r in rows]
+        after = (rows[-1].absences, rows[-1].la_name)
+    assert keyed == whole
 
 
 def test_pivot_long_round_trip(spark):
@@ -97,13 +102,11 @@ def test_report_bundles_match_operators(spark):
     chart = reports.region_chart(fact)
     assert sorted(chart["trends"].collect()) == sorted(regions.region_change(fact).collect())
     assert sorted(chart["overall"].collect()) == sorted(regions.region_overall_rounded(fact).collect())
-    chart["regional"].unpersist()
     link = reports.explore_link(fact, 2018, 3)
     assert sorted(link["findings"].collect()) == sorted(links.key_findings(links.region_type_rates(fact, 2018)).collect())
     assert sorted(link["top_regions"].collect()) == sorted(
         links.top_regions_by_type(links.region_type_rates(fact, 2018), 3).collect()
     )
-    link["rates"].unpersist()
     unauth = reports.search_unauth(fact, 2018, "la", 1, 5)
     assert unauth["rows"].collect()[0].rows == places.unauthorised_by(fact, 2018, "la").count()
 

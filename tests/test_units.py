@@ -73,12 +73,14 @@ def test_comparison_kinds(spark, make_fact):
         ("unauth", F.col("sess_unauthorised_percent"), "rate"),
         ("schools", F.col("num_schools"), "count"),
         ("missing", F.when(F.col("la_name") == "Q", F.lit(1.0)), "rate"),
+        ("higher_is_better", F.col("sess_unauthorised_percent"), "reverse"),
     ]
     rows = {r.metric: r for r in compare_metrics(df, "la_name", "P", "Q", metrics).collect()}
     assert rows["overall"].indicator == "better"
     assert rows["auth"].indicator == "same"
     assert rows["unauth"].indicator == "worse"
     assert rows["schools"].indicator is None and rows["schools"].diff == 1.0
+    assert rows["higher_is_better"].indicator == "better"
     assert rows["missing"].diff is None and rows["missing"].indicator is None
 
 
@@ -101,7 +103,7 @@ def test_comparison_args_checked(make_fact):
     with pytest.raises(ValueError):
         comparison.compare_basic(df, "P", "P", 2015)
     with pytest.raises(ValueError):
-        comparison.compare_basic(df, "P", "Q", 2030)
+        comparison.compare_basic(df, "P", "Q", 2030, last_year=2018)
     with pytest.raises(ValueError):
         comparison.compare_basic(df, "P", "Q", "20x5")
 
@@ -349,3 +351,153 @@ def test_staged_tables_live_under_the_checkpoint_dir(spark, make_fact):
 
     root = urlparse(base).path.rstrip("/")
     assert staged.inputFiles() and all(urlparse(f).path.startswith(root + "/") for f in staged.inputFiles())
+
+
+def _csv(path, columns, *rows):
+    path.write_text(",".join(columns) + "\n" + "".join(",".join(r[c] for c in columns) + "\n" for r in rows))
+
+
+def _csv_row(**values):
+    from rollcall.schema import FACT_COLUMNS
+
+    row = {c: "1" for c in FACT_COLUMNS}
+    row.update({"time_period": "201819", "geographic_level": "National", "school_type": "Total", "region_name": "", "la_name": ""})
+    return {**row, **values}
+
+
+@pytest.mark.parametrize("cell,value", [("12.0", 12), ('"1,234"', 1234), (":", None), ("C", None), ("low", None), ("-7", -7)])
+def test_csv_count_cells(spark, tmp_path, cell, value):
+    from rollcall.schema import FACT_COLUMNS
+    from rollcall.sources import read_fact_csv
+
+    _csv(tmp_path / "f.csv", FACT_COLUMNS, _csv_row(num_schools=cell))
+    assert [r.num_schools for r in read_fact_csv(spark, str(tmp_path / "f.csv")).collect()] == [value]
+
+
+@pytest.mark.parametrize("column,cell", [("num_schools", "oops"), ("num_schools", "12.5"), ("sess_overall_percent", "4.5%")])
+def test_csv_unknown_cells_raise(spark, tmp_path, column, cell):
+    from rollcall.schema import FACT_COLUMNS
+    from rollcall.sources import read_fact_csv
+
+    _csv(tmp_path / "f.csv", FACT_COLUMNS, _csv_row(**{column: cell}))
+    with pytest.raises(Exception, match=f"column {column}.*{cell}"):
+        read_fact_csv(spark, str(tmp_path / "f.csv")).collect()
+
+
+def test_csv_files_with_other_column_order_raise(spark, tmp_path):
+    from rollcall.schema import FACT_COLUMNS
+    from rollcall.sources import read_fact_csv
+
+    swapped = list(FACT_COLUMNS)
+    i, j = swapped.index("sess_possible"), swapped.index("sess_overall")
+    swapped[i], swapped[j] = swapped[j], swapped[i]
+    folder = tmp_path / "many"
+    folder.mkdir()
+    _csv(folder / "a.csv", FACT_COLUMNS, _csv_row(sess_possible="10", sess_overall="3"))
+    _csv(folder / "b.csv", FACT_COLUMNS, _csv_row(sess_possible="20", sess_overall="4"))
+    df = read_fact_csv(spark, str(folder))
+    assert sorted((r.sess_possible, r.sess_overall) for r in df.collect()) == [(10, 3), (20, 4)]
+    _csv(folder / "c.csv", swapped, _csv_row(sess_possible="30", sess_overall="5"))
+    with pytest.raises(Exception, match="header"):
+        read_fact_csv(spark, str(folder)).collect()
+
+
+def test_comparison_year_comes_from_data_or_caller(make_fact):
+    from rollcall.plans import reports
+
+    rows = [{"time_period": 201920, "geographic_level": LA, "school_type": "Total", "la_name": n, "num_schools": i}
+            for i, n in enumerate("PQ")]
+    df = make_fact(rows)
+    basic = reports.compare_la(df, "P", "Q", 2019)["basic"].collect()
+    assert (basic[0].value1, basic[0].value2) == (0.0, 1.0)
+    with pytest.raises(ValueError, match="2006-2018"):
+        reports.compare_la(df, "P", "Q", 2019, first_year=2006, last_year=2018)
+
+
+def test_grain_check_finds_repeats(make_fact):
+    df = make_fact([{"time_period": 201819, "school_type": t} for t in ("Total", "Special", "Special")])
+    assert [(r.school_type, r.n) for r in check_grain(df).collect()] == [("Special", 2)]
+
+
+def test_query_unique_and_first_row_agree_on_unique_groups(make_fact):
+    df = make_fact([{"la_name": "A", "time_period": 1, "enrolments": 5}, {"la_name": "B", "time_period": 1, "enrolments": None}])
+    args = {"fields": {"enrolments": "e", "num_schools": "n"}}
+    assert sorted(query(df, "la_name", **args).collect()) == sorted(query(df, "la_name", unique=True, **args).collect())
+
+
+def test_derivation_scopes(spark):
+    from rollcall.schema import TOTAL
+    from rollcall.sources import absence
+
+    from .conftest import SF_SMALL
+
+    whole = absence(spark, SF_SMALL)
+    part = absence(spark, SF_SMALL, years=[2014, 2016], levels=[REG], school_types=[TOTAL])
+    want = filter_fact(whole, year=[2014, 2016], geographic_level=REG, school_type=TOTAL)
+    assert part.count() == want.count() > 0 and part.exceptAll(want).count() == 0
+    with pytest.raises(ValueError):
+        absence(spark, SF_SMALL, levels=["Planet"])
+
+
+def test_checkpoint_folder_must_be_set_off_local_masters(spark, monkeypatch):
+    from rollcall import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_scratch_folders_are_dropped(spark):
+    import os
+
+    from rollcall import session
+    from rollcall.sources.fact_io import store_small
+
+    kept = list(session._SCRATCH)
+    session._SCRATCH.clear()
+    try:
+        df = store_small(spark.range(3).toDF("n"), "gone")
+        assert df.count() == 3
+        path = session._SCRATCH[0].replace("file:", "")
+        assert os.path.isdir(path)
+        session.drop_scratch(spark)
+        assert not os.path.exists(path) and not session._SCRATCH
+    finally:
+        session._SCRATCH[:] = kept
+
+
+def test_fixed_labels_by_value():
+    """Literal values, so that a wrong mapping cannot agree with itself."""
+    from rollcall import schema
+
+    assert schema.FIELD_SETS["unauthorized"] == {
+        "sess_unauthorised": "absences", "sess_unauth_late": "late", "sess_unauth_holiday": "holiday", "sess_unauth_other": "other",
+        "sess_unauth_totalreasons": "total_reasons", "sess_unauthorised_pa_10_exact": "pa"}
+    assert schema.FIELD_SETS["overall_percent"] == {
+        "sess_overall_percent": "absences_percent", "sess_overall_percent_pa_10_exact": "pa_percent"}
+    assert [c for _, c in schema.MAIN_REASONS] == [
+        "sess_auth_illness", "sess_auth_appointments", "sess_auth_religious", "sess_auth_study", "sess_auth_traveller",
+        "sess_auth_holiday", "sess_auth_excluded", "sess_auth_other", "sess_unauth_holiday", "sess_unauth_late",
+        "sess_unauth_other", "sess_unauth_noyet"]
+    assert schema.BASIC_METRICS[3:] == [
+        ("Overall Absence Rate (%)", "sess_overall_percent", "rate"), ("Authorised Absence Rate (%)", "sess_authorised_percent", "rate"),
+        ("Unauthorised Absence Rate (%)", "sess_unauthorised_percent", "rate"),
+        ("Persistent Absentees (%)", "enrolments_pa_10_exact_percent", "rate")]
+    assert [c for _, c in schema.UNAUTHORISED_METRICS] == [
+        "sess_unauth_holiday", "sess_unauth_late", "sess_unauth_other", "sess_unauth_noyet"]
