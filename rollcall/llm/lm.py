@@ -6,7 +6,7 @@ often the context was seen (by powers of two) and come from
 expectation-maximisation on held-out counts: each training token is scored by
 the counts without itself.
 
-Documents are packed into blocks of some million tokens. A block asks once for
+Documents are packed into blocks of about a million tokens. A block asks once for
 the corpus counts of its distinct words and bigrams: the requests (sorted
 64-bit hashes with the block's own training counts) are shuffled by hash
 range, added up there, and the totals go back to the blocks. So a frequent
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from .staging import staged
 
-BLOCK_TOKENS = 3_000_000
-BLOCK_DOCS = 20_000
+BLOCK_TOKENS = 1_000_000
+BLOCK_DOCS = 8_000
 #: Requested n-grams of a hash range, on average (at most twice as many).
 RANGE_KEYS = 400_000
 BUCKETS = 40  # context-frequency buckets: 0, 1, 2-3, 4-7, ...
