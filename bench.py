@@ -28,7 +28,7 @@ from rollcall import params as P  # noqa: E402
 from rollcall.plans import links, regions, reports  # noqa: E402
 from rollcall.session import local_session  # noqa: E402
 from rollcall.sources import absence, stage_fact  # noqa: E402
-from shuffle_bytes import shuffle_by_job_group  # noqa: E402
+from shuffle_bytes import actions_by_job_group, shuffle_by_job_group  # noqa: E402
 
 
 def bundles(fact):
@@ -132,6 +132,8 @@ def main() -> None:
     spark.stop()
     try:
         shuffle = shuffle_by_job_group(log_dir)
+        counted = actions_by_job_group(log_dir)
+        actions = {k: counted.get(k, 0) for k in actions}  # eager work counts too
     except Exception:  # noqa: BLE001 - the metric is optional
         shuffle = {}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
