@@ -278,11 +278,9 @@ def replace_personal_data(df: DataFrame, key: bytes = b"rollcall", text_column:
         return pd.DataFrame(out, columns=["text", "n"])
 
     joined = df.withColumn(digest, F.md5(text)).join(lists, digest, "left")
-    # texts without entities do not pass through Python a second time
-    none = F.struct(text.alias("text"), F.lit(0).cast("bigint").alias("n"))
-    new = free_name(df, "replaced")
-    have = joined.where(F.col(work).isNotNull()).withColumn(new, replaced(text, F.col(work)))
-    rest = joined.where(F.col(work).isNull()).withColumn(new, none)
-    cols = [F.col(f"{new}.text").alias(c) if c == text_column else F.col(f"`{c}`") for c in df.columns]
-    pick = [*cols, F.col(f"{new}.n").alias("n_entities")]
-    return have.select(*pick).unionAll(rest.select(*pick))
+    # a text without entities goes round Python as a null
+    found, new = F.col(work).isNotNull(), free_name(df, "replaced")
+    joined = joined.withColumn(new, replaced(F.when(found, text), F.col(work)))
+    made = F.when(found, F.col(f"{new}.text")).otherwise(text)
+    cols = [made.alias(c) if c == text_column else F.col(f"`{c}`") for c in df.columns]
+    return joined.select(*cols, F.col(f"{new}.n").alias("n_entities"))
