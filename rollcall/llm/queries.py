@@ -95,8 +95,8 @@ _OP1_SQL = """
 WITH RECURSIVE able AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND list_sum(list_transform(embedding, x -> abs(x))) > 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b
   FROM able a JOIN able b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
