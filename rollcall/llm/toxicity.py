@@ -119,22 +119,23 @@ def fit_logistic(
     l2: float,
     counterfactual: float,
     steps: int,
+    n0: int,
+    n1: int,
 ) -> ToxicityModel:
     """Accelerated gradient descent on: mean log loss + ``counterfactual`` *
     mean squared logit change of the pairs + half ``l2`` * sum of squared
     distances of the weights from ``evidence`` (each feature's own log ratio,
     so that a word counts even where others always stood beside it).
-    Classes weigh alike."""
+    Classes weigh alike; ``n0`` and ``n1`` count the training rows of either
+    label, of which ``rows`` may be a sample, and give the bias its prior."""
     if not len(rows) or len(set(labels.tolist())) < 2:
-        share = float(np.mean(labels)) if len(rows) else 0.0
-        return ToxicityModel({}, float(np.log((share * len(rows) + 0.5) / ((1 - share) * len(rows) + 0.5))) if len(rows) else -3.0)
+        return ToxicityModel({}, float(np.log((n1 + 0.5) / (n0 + 0.5))) if n0 + n1 else -3.0)
     index = {f: i for i, f in enumerate(vocabulary)}
     r, c = _design(rows, index)
     pr, pc = _design([a for a, _ in pairs], index)
     qr, qc = _design([b for _, b in pairs], index)
     n, m, k = len(rows), len(vocabulary), len(pairs)
     weight = np.where(labels == 1, n / (2 * labels.sum()), n / (2 * (n - labels.sum()))) / n
-    mean = float(labels.mean())
 
     def gradient(w: np.ndarray, b: float) -> tuple[np.ndarray, float]:
         z = np.bincount(r, w[c], minlength=n) + b
@@ -173,8 +174,8 @@ def fit_logistic(
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
         v, vb = new + (t - 1) / t_next * (new - w), new_b + (t - 1) / t_next * (new_b - b)
         w, b, t = new, new_b, t_next
-    # the classes weighed alike; three quarters of the way back to their true shares
-    prior = float(np.log(mean / (1 - mean)))
+    # the classes weighed alike; three quarters of the way back to their shares of all training rows
+    prior = float(np.log(n1 / n0))
     return ToxicityModel({vocabulary[i]: float(w[i]) for i in np.flatnonzero(w)}, b + 0.75 * prior)
 
 
@@ -271,7 +272,7 @@ def train(
     got.sort(key=lambda r: (r["label"], r["found"]))
     return fit_logistic(
         [set(r["found"]) for r in got], np.array([r["label"] for r in got], float),
-        [(set(a), set(b)) for r in got for a, b in r["swaps"]], vocabulary, evidence, l2, counterfactual, steps)
+        [(set(a), set(b)) for r in got for a, b in r["swaps"]], vocabulary, evidence, l2, counterfactual, steps, n0, n1)
 
 
 def labelled_texts(documents: DataFrame, labels: DataFrame, fold: int = 2, folds: int = 4) -> DataFrame:

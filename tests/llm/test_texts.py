@@ -139,6 +139,15 @@ def test_counterfactual_penalty_shrinks_the_identity_weight(spark):
     assert change[1] < 0.5 * change[0]
 
 
+def test_prior_is_of_all_rows_whatever_the_sample(spark):
+    # no word marks a class, so the bias is the prior alone
+    rows = [(f"text {i} alike", int(i % 10 == 0)) for i in range(200)]
+    labelled = spark.createDataFrame(rows, "text string, label int")
+    for most in (5, 50, 6_000):
+        model = toxicity.train(labelled, max_rows_per_label=most)
+        assert model.bias == pytest.approx(0.75 * math.log(20 / 180), abs=1e-6)
+
+
 def test_toxicity_without_labels(spark):
     df = table(spark, [(1, "some text"), (2, None)])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
