@@ -228,7 +228,8 @@ def train(
     a constant.
     """
     rows = labelled.select("text", F.col("label").cast("int").alias("label")).where("label in (0, 1)")
-    rows = staged(rows, "toxicity-rows")
+    order = F.xxhash64("text", F.lit(seed))
+    rows = staged(rows.withColumn("o", order), "toxicity-rows")
     counted = staged(feature_counts(rows).where(F.col("n1") >= least_rows), "toxicity-features")
     totals = rows.groupBy("label").count().collect()
     n = {r["label"]: r["count"] for r in totals}
@@ -244,7 +245,6 @@ def train(
     # shared out over the features that a word gives
     own = F.ln(p1 / p0) / (1 + len(STEMS))
     ratio = {r[0]: r[1] for r in top.select("feature", own.alias("own")).collect()}
-    order = F.xxhash64("text", F.lit(seed))
     wanted = set(ratio) | {t for kind in identity_terms for t in kind}
     terms = {t: tuple(kind) for kind in identity_terms for t in kind}
     vocabulary = sorted(set(ratio) | {f for t in terms for f in word_features(t) if f in wanted})
@@ -260,12 +260,11 @@ def train(
 
     sample = None
     for label in (0, 1):
-        own = rows.where(F.col("label") == label).select("label", "text", order.alias("o")).dropDuplicates(["o"])
-        total = n.get(label, 0)
-        share = min(1.0, 1.2 * max_rows_per_label / max(total, 1) + 1e-3)
-        if share < 1:  # rows past this hash are not among the first; spares the sort
-            own = own.where(F.col("o") < int(-(2**63) + share * 2**64))
-        own = own.orderBy("o").limit(max_rows_per_label)
+        own = rows.where(F.col("label") == label)
+        # the last hash of the first distinct ones: only texts up to it are shuffled, copies once a task
+        first = own.select("o").distinct().orderBy("o").limit(max_rows_per_label)
+        last = first.agg(F.max("o")).first()[0]
+        own = own.where(F.col("o") <= F.lit(last).cast("long")).select("label", "text", "o").dropDuplicates(["o"])
         sample = own if sample is None else sample.unionAll(own)
     got = sample.select("text", "label").mapInPandas(
         encode, "label int, found array<string>, swaps array<array<array<string>>>").collect()

@@ -148,6 +148,18 @@ def test_prior_is_of_all_rows_whatever_the_sample(spark):
         assert model.bias == pytest.approx(0.75 * math.log(20 / 180), abs=1e-6)
 
 
+def test_sample_has_as_many_distinct_texts_as_asked(spark, monkeypatch):
+    # 40 distinct texts of either label among 40,000 rows
+    labelled = spark.range(40_000).select(
+        F.concat(F.lit("text "), (F.col("id") % 80).cast("string")).alias("text"), (F.col("id") % 2).cast("int").alias("label"))
+    sizes = []
+    plain = toxicity.fit_logistic
+    monkeypatch.setattr(toxicity, "fit_logistic", lambda rows, labels, *a: sizes.append(Counter(labels.tolist())) or plain(rows, labels, *a))
+    for most in (10, 40, 100):
+        toxicity.train(labelled, max_rows_per_label=most)
+    assert sizes == [{0.0: k, 1.0: k} for k in (10, 40, 40)]
+
+
 def test_toxicity_without_labels(spark):
     df = table(spark, [(1, "some text"), (2, None)])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
