@@ -4,7 +4,8 @@ Terms whose document frequency lies in a band form the lexicon. Each of the
 randomised lexicons is a fixed pseudo-random subset of it; a text's
 fingerprint is, per subset, a hash of its sorted distinct terms in that subset.
 Two texts that differ in few terms agree on the subsets that hold none of
-those terms.
+those terms. Every term of the band is in some subset, so texts agree on all of
+them only if they have the same terms of the band.
 """
 
 from __future__ import annotations
@@ -25,9 +26,15 @@ from .staging import shuffle_partitions
 
 TERM = re.compile(r"[^\W_]+")
 SUBSETS = 96
-#: Chance that a term is in a given subset: one in so many, by turns. Thin
-#: subsets tell long texts apart, denser ones short texts.
+#: The first subsets come in pairs: a random half of the band and the other
+#: half. So every term of the band is in half of them.
+DENSE = 16
+#: Chance that a term is in a given subset of the others: one in so many, by
+#: turns. Thin subsets tell long texts apart, denser ones short texts.
 THIN = (128, 512, 2048)
+#: A text with fewer terms of the band, or with a smaller share of its distinct
+#: terms in the band, is fingerprinted by all its terms.
+FEW, LEAST_SHARE = 8, 0.5
 #: Document shares of the band: idf between ln(1/HIGH) and ln(1/LOW).
 LOW, HIGH = 1e-3, 0.5
 NONE = "-" * 8
@@ -74,7 +81,10 @@ class Lexicon:
         for t, i in self.index.items():
             # a subset is a rule on the term itself, so it does not depend on the other terms
             raw = b"".join(hashlib.blake2b(t.encode(), digest_size=64, salt=bytes([seed, k])).digest() for k in range(SUBSETS // 32))
-            draw[i] = np.frombuffer(raw, ">u2") % np.resize(THIN, SUBSETS) == 0
+            u = np.frombuffer(raw, ">u2")
+            draw[i] = u % np.resize(THIN, SUBSETS) == 0
+            draw[i, :DENSE] = u[:DENSE] & 1
+            draw[i, 1:DENSE:2] = ~draw[i, :DENSE:2]
         self.draw = draw
 
     def fingerprint(self, text: str | None) -> list[str]:
@@ -82,7 +92,8 @@ class Lexicon:
         index = self.index
         hit = np.array(sorted([index[t] for t in found if t in index]), np.int64)
         out = [NONE] * SUBSETS
-        if len(hit):
+        few = len(hit) < max(FEW, LEAST_SHARE * len(found))
+        if not few:
             rows, subsets = np.nonzero(self.draw[hit])
             order = np.argsort(subsets, kind="stable")
             subsets, rows = subsets[order], rows[order]
@@ -93,8 +104,8 @@ class Lexicon:
                     chosen = "\n".join([names[i] for i in hit[rows[start:end]]])
                     out[k] = xxhash.xxh32_hexdigest(chosen, k)
                 start = end
-        if all(x == NONE for x in out):
-            # no term of the lexicon: the sorted distinct terms as a whole
+        else:
+            # too few terms of the lexicon: the sorted distinct terms as a whole
             whole = xxhash.xxh64_hexdigest("\n".join(sorted(found)))
             out = [xxhash.xxh32_hexdigest(whole, k) for k in range(SUBSETS)]
         return out
@@ -156,8 +167,9 @@ def fingerprint_documents(df: DataFrame, lexicon: Lexicon | None = None) -> Data
     The next document is the one with the next id; equal ids are ordered by
     text hash, null ids come first, and the last one's next is the first. A
     null text counts as empty. A fingerprint is 96 parts of 8 hex digits
-    (``--------``: no term of that subset). A text without any term of the
-    lexicon is fingerprinted by all its terms. Each text is shuffled once, to
+    (``--------``: no term of that subset). A text with fewer than ``FEW``
+    terms of the lexicon, or with less than ``LEAST_SHARE`` of its terms there,
+    is fingerprinted by all its terms. Each text is shuffled once, to
     ranges of ids. An empty table gives no rows.
     """
     spark = df.sparkSession

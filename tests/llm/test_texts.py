@@ -246,6 +246,22 @@ def test_fingerprints_match_brute_force(spark):
     assert len(odd) == 4
 
 
+def test_every_term_counts_in_some_fingerprint():
+    band = [f"term{i}" for i in range(2000)]
+    lexicon = fingerprints.Lexicon(band)
+    assert lexicon.draw.any(axis=1).all()
+    text = " ".join(band[:60])
+    mine = lexicon.fingerprint(text)
+    for t in band[:60]:  # an edit of any one term shows, and most subsets still agree
+        changed = lexicon.fingerprint(text.replace(t + " ", "other ", 1) if t != band[59] else text[: -len(t)])
+        assert mine != changed and fingerprints.likeness(mine, changed) > 0.3
+    # one shared term of the band does not make texts alike
+    a, b = (lexicon.fingerprint("term7 " + " ".join(f"{k}rare{i}" for i in range(20))) for k in "ab")
+    assert a != b and fingerprints.likeness(a, b) == 0
+    a, b = (lexicon.fingerprint(" ".join(band[:10]) + " " + " ".join(f"{k}rare{i}" for i in range(40))) for k in "ab")
+    assert a != b
+
+
 def test_language_model_matches_brute_force(spark, monkeypatch):
     monkeypatch.setattr(lm, "BLOCK_DOCS", 17)
     monkeypatch.setattr(lm, "RANGE_KEYS", 50)
