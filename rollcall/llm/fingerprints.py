@@ -2,7 +2,7 @@
 
 Terms whose document frequency lies in a band form the lexicon. Each of the
 randomised lexicons is a fixed pseudo-random subset of it; a text's
-fingerprint is, per subset, a hash of its sorted distinct terms in that subset.
+fingerprint is, per subset, a hash of its sorted distinct terms' hashes in it.
 Two texts that differ in few terms agree on the subsets that hold none of
 those terms. Every term of the band is in some subset, so texts agree on all of
 them only if they have the same terms of the band.
@@ -74,6 +74,7 @@ class Lexicon:
     def __init__(self, band: list[str], seed: int = 8, draw: np.ndarray | None = None) -> None:
         self.terms = sorted(band)
         self.index = {t: i for i, t in enumerate(self.terms)}
+        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.terms), np.uint64, len(self.terms))
         if draw is not None:
             self.draw = draw
             return
@@ -94,16 +95,14 @@ class Lexicon:
         out = [NONE] * SUBSETS
         few = len(hit) < max(FEW, LEAST_SHARE * len(found))
         if not few:
-            rows, subsets = np.nonzero(self.draw[hit])
-            order = np.argsort(subsets, kind="stable")
-            subsets, rows = subsets[order], rows[order]
-            ends = np.searchsorted(subsets, np.arange(SUBSETS), side="right")
-            names, start = self.terms, 0
-            for k, end in enumerate(ends.tolist()):
-                if end > start:
-                    chosen = "\n".join([names[i] for i in hit[rows[start:end]]])
-                    out[k] = xxhash.xxh32_hexdigest(chosen, k)
-                start = end
+            chosen = np.ascontiguousarray(self.draw[hit].T)
+            rows = np.nonzero(chosen)[1]
+            # the terms of a subset by their hashes, in order of the terms
+            raw, start = self.hashes[hit[rows]].tobytes(), 0
+            for k, n in enumerate(chosen.sum(axis=1).tolist()):
+                if n:
+                    out[k] = xxhash.xxh32_hexdigest(raw[start : start + 8 * n], k)
+                start += 8 * n
         else:
             # too few terms of the lexicon: the sorted distinct terms as a whole
             whole = xxhash.xxh64_hexdigest("\n".join(sorted(found)))
