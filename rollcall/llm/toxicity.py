@@ -1,9 +1,11 @@
 """Toxicity: a counterfactually regularised linear classifier.
 
-A text is a set of features: its words and the beginnings of its words (4, 5
-and 6 letters, which catch inflected forms). Spark counts in how many labelled
-texts of either class each feature occurs, over all training rows, and keeps
-the features that mark toxic texts more clearly than chance would. A logistic model over
+A text is a set of features: its words, the beginnings of its words (4, 5
+and 6 letters, which catch inflected forms) and, in scripts without spaces
+between words, all runs of two and three characters. Spark counts in how many
+labelled texts of either class each feature occurs, over all training rows, and
+keeps the features that mark toxic texts more clearly than chance would. (Clean
+texts are counted second, and only for the features that can still pass.) A logistic model over
 them is fitted on a bounded sample of training rows with a ridge penalty, plus,
 for each sentence of them that names a group, the squared change of its logit
 when the identity term is swapped for another one.
@@ -17,6 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,17 +39,23 @@ IDENTITY_TERMS = (
 WORDS = re.compile(r"[^\W_]+")
 SENTENCE_END = re.compile(r"[.!?\n]+")
 STEMS = (4, 5, 6)
-#: Longer words count by their beginnings only.
-LONGEST_WORD = 12
+#: Thai, Lao, Tibetan, Myanmar, Khmer, Kana and Han.
+UNSPACED = re.compile(r"[\u0e00-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]{2,}")
+GRAMS = (2, 3)
+#: The name of a longer word's feature ends in a hash.
+LONG_WORD = 40
+#: Bits of the hash by which clean texts' features are sifted.
+SIEVE_BITS = 24
 #: Words remembered per scoring task before the memo starts again.
 MEMO = 500_000
 
 
 def word_features(word: str) -> list[str]:
-    """The features one word gives: itself unless it is very long, and its
-    beginnings."""
-    starts = [f"{word[:n]}~" for n in STEMS if len(word) >= n]
-    return [word, *starts] if len(word) <= LONGEST_WORD else starts
+    """The features one word gives: itself, its beginnings, and the short runs
+    of its characters where the script has no spaces between words."""
+    whole = word if len(word) <= LONG_WORD else f"{word[:8]}#{xxhash.xxh64_hexdigest(word.encode('utf-8', 'surrogatepass'))}"
+    grams = {f"~{run[i : i + n]}" for run in UNSPACED.findall(word) for n in GRAMS for i in range(len(run) - n + 1)}
+    return [whole, *[f"{word[:n]}~" for n in STEMS if len(word) >= n], *grams]
 
 
 def features(text: str | None) -> set[str]:
@@ -179,26 +188,60 @@ def fit_logistic(
     return ToxicityModel({vocabulary[i]: float(w[i]) for i in np.flatnonzero(w)}, b + 0.75 * prior)
 
 
-def feature_counts(labelled: DataFrame) -> DataFrame:
+def sieve(counted: DataFrame) -> bytes:
+    """A bit for each hash of ``SIEVE_BITS``: whether a feature of ``counted``
+    has it."""
+    h = F.xxhash64("feature").bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
+    parts = counted.groupBy(F.shiftright(h, 15).alias("at")).agg(F.bitmap_construct_agg(h.bitwiseAND(F.lit(32767))).alias("bits"))
+    out = bytearray(1 << SIEVE_BITS - 3)
+    for r in parts.collect():
+        out[r["at"] * 4096 : (r["at"] + 1) * 4096] = r["bits"]
+    return bytes(out)
+
+
+def feature_counts(labelled: DataFrame, sifted: bytes | None = None) -> DataFrame:
     """``feature, n0, n1``: in how many texts of each label it occurs. Counts
-    combine within a task before the shuffle."""
+    combine within a task before the shuffle. With ``sifted``, features whose
+    bit is not set there are left out (some others stay)."""
+    shared = None if sifted is None else labelled.sparkSession.sparkContext.broadcast(sifted)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, list[int]] = {}
+        memo: dict[str, tuple[str, ...]] = {}
+        bits = b"" if shared is None else shared.value
 
         def out() -> pd.DataFrame:
             table = pd.DataFrame.from_dict(seen, orient="index", columns=["n0", "n1"])
             return table.rename_axis("feature").reset_index().astype({"feature": str})
 
+        def passes(feature: str) -> bool:
+            h = xxhash.xxh64_intdigest(feature.encode("utf-8", "surrogatepass"), 42) & (1 << SIEVE_BITS) - 1
+            return bool(bits[h >> 3] >> (h & 7) & 1)
+
+        def wanted(text: str | None) -> set[str]:
+            found: set[str] = set()
+            for w in set(WORDS.findall((text or "").lower())):
+                known = memo.get(w)
+                if known is None:
+                    known = tuple(f for f in word_features(w) if passes(f))
+                    if len(w) <= LONG_WORD:
+                        if len(memo) >= MEMO:
+                            memo.clear()
+                        memo[w] = known
+                if known:
+                    found.update(known)
+            return found
+
+        find = wanted if bits else features
         for rows in batches:
             for text, label in zip(rows["text"], rows["label"], strict=True):
-                for f in features(text):
+                for f in find(text):
                     if (pair := seen.get(f)) is None:
                         pair = seen[f] = [0, 0]
                     pair[int(label)] += 1
-            if len(seen) >= MEMO:
-                yield out()
-                seen.clear()
+                if len(seen) >= MEMO:
+                    yield out()
+                    seen.clear()
         if seen:
             yield out()
 
@@ -230,7 +273,7 @@ def train(
     rows = labelled.select("text", F.col("label").cast("int").alias("label")).where("label in (0, 1)")
     order = F.xxhash64("text", F.lit(seed))
     rows = staged(rows.withColumn("o", order), "toxicity-rows")
-    counted = staged(feature_counts(rows).where(F.col("n1") >= least_rows), "toxicity-features")
+    toxic = staged(feature_counts(rows.where("label = 1")).where(F.col("n1") >= least_rows), "toxicity-features")
     totals = rows.groupBy("label").count().collect()
     n = {r["label"]: r["count"] for r in totals}
     n0, n1 = n.get(0, 0), n.get(1, 0)
@@ -239,7 +282,11 @@ def train(
     # chance features reaches, so a feature of one class needs clearly more than that
     pool = (F.col("n0") + F.col("n1") + 1) / (n0 + n1 + 2)
     gain = F.col("n1") * F.ln(p1 / pool) + F.col("n0") * F.ln(p0 / pool)
-    chance = float(np.log(100 * max(counted.count(), 1)))
+    chance = float(np.log(100 * max(toxic.count(), 1)))
+    # the gain is largest for a feature of no clean text; a feature that fails even so needs no counts there
+    able = toxic.where(F.col("n1") * F.ln(p1 / ((F.col("n1") + 1) / (n0 + n1 + 2))) > chance)
+    both = able.unionAll(feature_counts(rows.where("label = 0"), sieve(able)))
+    counted = both.groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where("n1 > 0")
     marked = counted.where(p1 > least_ratio * p0).where(gain > chance)
     top = marked.orderBy(gain.desc(), "feature").limit(max_features)
     # shared out over the features that a word gives

@@ -160,6 +160,36 @@ def test_sample_has_as_many_distinct_texts_as_asked(spark, monkeypatch):
     assert sizes == [{0.0: k, 1.0: k} for k in (10, 40, 40)]
 
 
+def test_long_words_and_unspaced_texts_count(spark):
+    rng = random.Random(7)
+    tail = ["".join(rng.choice("abcdefgh") for _ in range(8)) for _ in range(200)]
+    rude, long, calm = "motherfucking" + "x" * 3, "mother" + "y" * 60, "motherhoodforever"
+    rows = [(f"{rng.choice(tail)} {rude if i % 3 else long} 今天天气很好{rng.choice('一二三四五六七八')}你是白痴吗真的很讨厌啊啊", 1) for i in range(60)]
+    rows += [(f"{rng.choice(tail)} {calm} 今天天气很好{rng.choice('一二三四五六七八')}我们去公园散步真的很喜欢啊", 0) for i in range(240)]
+    labelled = spark.createDataFrame(rows, "text string, label int")
+    import pandas as pd
+
+    score = toxicity.train(labelled).scorer()
+    texts = [rude, long, calm, "哈哈哈哈哈哈这个人是白痴吧哈哈哈哈", "哈哈哈哈哈哈这个人去公园吧哈哈哈哈", ""]
+    bad, worse, good, hidden, plain, empty = next(score(iter([pd.Series(texts)])))
+    assert min(bad, worse, hidden) > 1.5 * empty and max(good, plain) < 1.01 * empty
+
+
+def test_sifted_counts_equal_plain_counts(spark):
+    rows = [(t + " extraordinarilylongword" * (y and i % 2), y) for i, t, y in toxic_corpus(200)]
+    labelled = spark.createDataFrame(rows, "text string, label int")
+    want = {0: Counter(), 1: Counter()}
+    for t, y in rows:
+        want[y].update(toxicity.features(t))
+    every = toxicity.feature_counts(labelled)
+    assert {(r.feature, r.n0, r.n1) for r in every.collect()} == {(f, want[0][f], want[1][f]) for f in want[0] | want[1]}
+    some = every.where("n1 >= 5")
+    kept = {r.feature for r in some.collect()}
+    got = {r.feature: r.n0 for r in toxicity.feature_counts(labelled.where("label = 0"), toxicity.sieve(some)).collect()}
+    assert {f: n for f, n in got.items() if f in kept} == {f: want[0][f] for f in kept if want[0][f]}
+    assert len(set(got) - kept) <= 2
+
+
 def test_toxicity_without_labels(spark):
     df = table(spark, [(1, "some text"), (2, None)])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
