@@ -122,6 +122,7 @@ def _design(rows: list[set[str]], index: dict[str, int]) -> tuple[np.ndarray, np
 def fit_logistic(
     rows: list[set[str]],
     labels: np.ndarray,
+    offsets: np.ndarray,
     pairs: list[tuple[set[str], set[str]]],
     vocabulary: Sequence[str],
     evidence: np.ndarray,
@@ -136,7 +137,8 @@ def fit_logistic(
     distances of the weights from ``evidence`` (each feature's own log ratio,
     so that a word counts even where others always stood beside it).
     Classes weigh alike; ``n0`` and ``n1`` count the training rows of either
-    label, of which ``rows`` may be a sample, and give the bias its prior."""
+    label, of which ``rows`` may be a sample, and give the bias its prior.
+    ``offsets`` is what features outside ``vocabulary`` add to each row."""
     if not len(rows) or len(set(labels.tolist())) < 2:
         return ToxicityModel({}, float(np.log((n1 + 0.5) / (n0 + 0.5))) if n0 + n1 else -3.0)
     index = {f: i for i, f in enumerate(vocabulary)}
@@ -147,7 +149,7 @@ def fit_logistic(
     weight = np.where(labels == 1, n / (2 * labels.sum()), n / (2 * (n - labels.sum()))) / n
 
     def gradient(w: np.ndarray, b: float) -> tuple[np.ndarray, float]:
-        z = np.bincount(r, w[c], minlength=n) + b
+        z = np.bincount(r, w[c], minlength=n) + b + offsets
         e = weight * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels)
         g = np.bincount(c, e[r], minlength=m)
         if k:
@@ -266,8 +268,9 @@ def train(
 
     Feature counts cover every row. The fit itself uses at most
     ``max_rows_per_label`` rows of each label, chosen by a hash of the text
-    (equal texts count once there), and ``max_features`` features: both are
-    bounds of the driver's memory. Without rows of both labels the model is
+    (equal texts count once there), and changes the weights of the best
+    ``max_features`` features: both are bounds of the driver's memory. The other
+    features that mark toxic texts weigh by their log ratios. Without rows of both labels the model is
     a constant.
     """
     rows = labelled.select("text", F.col("label").cast("int").alias("label")).where("label in (0, 1)")
@@ -288,22 +291,25 @@ def train(
     both = able.unionAll(feature_counts(rows.where("label = 0"), sieve(able)))
     counted = both.groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where("n1 > 0")
     marked = counted.where(p1 > least_ratio * p0).where(gain > chance)
-    top = marked.orderBy(gain.desc(), "feature").limit(max_features)
     # shared out over the features that a word gives
     own = F.ln(p1 / p0) / (1 + len(STEMS))
-    ratio = {r[0]: r[1] for r in top.select("feature", own.alias("own")).collect()}
+    ranked = sorted(marked.select("feature", own.alias("own"), gain.alias("gain")).collect(), key=lambda r: (-r["gain"], r["feature"]))
+    ratio = {r["feature"]: r["own"] for r in ranked}
     wanted = set(ratio) | {t for kind in identity_terms for t in kind}
     terms = {t: tuple(kind) for kind in identity_terms for t in kind}
-    vocabulary = sorted(set(ratio) | {f for t in terms for f in word_features(t) if f in wanted})
-
+    refitted = {r["feature"] for r in ranked[:max_features]}
+    vocabulary = sorted(refitted | {f for t in terms for f in word_features(t) if f in wanted})
     evidence = np.array([ratio.get(f, 0.0) for f in vocabulary])
+    rest = {f: ratio[f] for f in set(ratio).difference(vocabulary)}
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = set(vocabulary)
         for part in batches:
-            found = [sorted(features(t) & known) for t in part["text"]]
+            every = [features(t) for t in part["text"]]
+            found = [sorted(x & known) for x in every]
+            others = [sum(rest[f] for f in sorted(x & rest.keys())) for x in every]
             both = [[[sorted(a & known), sorted(b & known)] for a, b in swapped(t or "", terms)] for t in part["text"]]
-            yield pd.DataFrame({"label": part["label"], "found": found, "swaps": both})
+            yield pd.DataFrame({"label": part["label"], "found": found, "others": np.array(others, float), "swaps": both})
 
     sample = None
     for label in (0, 1):
@@ -314,11 +320,12 @@ def train(
         own = own.where(F.col("o") <= F.lit(last).cast("long")).select("label", "text", "o").dropDuplicates(["o"])
         sample = own if sample is None else sample.unionAll(own)
     got = sample.select("text", "label").mapInPandas(
-        encode, "label int, found array<string>, swaps array<array<array<string>>>").collect()
-    got.sort(key=lambda r: (r["label"], r["found"]))
-    return fit_logistic(
-        [set(r["found"]) for r in got], np.array([r["label"] for r in got], float),
+        encode, "label int, found array<string>, others double, swaps array<array<array<string>>>").collect()
+    got.sort(key=lambda r: (r["label"], r["found"], r["others"]))
+    model = fit_logistic(
+        [set(r["found"]) for r in got], np.array([r["label"] for r in got], float), np.array([r["others"] for r in got], float),
         [(set(a), set(b)) for r in got for a, b in r["swaps"]], vocabulary, evidence, l2, counterfactual, steps, n0, n1)
+    return ToxicityModel(rest | model.weights, model.bias)
 
 
 def labelled_texts(documents: DataFrame, labels: DataFrame, fold: int = 2, folds: int = 4) -> DataFrame:

@@ -190,6 +190,16 @@ def test_sifted_counts_equal_plain_counts(spark):
     assert len(set(got) - kept) <= 2
 
 
+def test_features_outside_the_fit_still_weigh(spark):
+    rows = [(f"text {i % 7} {('vermin', 'scumbag', 'vile')[i % 3] if i % 4 == 0 else 'calm'}", int(i % 4 == 0)) for i in range(360)]
+    labelled = spark.createDataFrame(rows, "text string, label int")
+    import pandas as pd
+
+    score = toxicity.train(labelled, max_features=1).scorer()
+    *rude, calm = next(score(iter([pd.Series(["vermin", "scumbag", "vile", "calm"])])))
+    assert min(rude) > 1.5 * calm
+
+
 def test_toxicity_without_labels(spark):
     df = table(spark, [(1, "some text"), (2, None)])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
