@@ -150,7 +150,7 @@ class Block:
         totals = []
         for kind in (0, 1):
             own = sorted((p["range"], p["totals"]) for p in parts if p["kind"] == kind)
-            got = np.concatenate([_unpack(raw, np.uint32) for _, raw in own]).astype(np.float64)
+            got = np.concatenate([_unpack(raw, np.uint64) for _, raw in own]).astype(np.float64)
             back = np.empty(self.sizes[kind])
             back[self.order[kind]] = got
             totals.append(back)
@@ -185,7 +185,7 @@ def corpus_counts(blocks: DataFrame, bits: int) -> DataFrame:
         totals = np.bincount(which, counts, minlength=len(distinct))
         start_key = np.uint64(xxhash.xxh64_intdigest(START))
         types = int((totals[distinct != start_key] > 0).sum()) if rows["kind"].iat[0] == 0 else int((totals > 0).sum())
-        mine = totals[which].astype(np.uint32)
+        mine = totals[which].astype(np.uint64)
         ends = np.cumsum([len(k) for k in keys])
         return pd.DataFrame({
             "block": rows["block"], "kind": rows["kind"], "range": rows["range"],

@@ -349,6 +349,18 @@ def test_language_model_matches_brute_force(spark, monkeypatch):
     assert lm.score_documents(table(spark, rows).limit(0)).count() == 0
 
 
+def test_corpus_counts_beyond_32_bits(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK_DOCS", 1)
+    many = 3_000_000_000
+    monkeypatch.setattr(lm.Block, "training_counts", lambda self, kind: lm.np.full(self.sizes[kind], many))
+    blocks = lm.pack_blocks(table(spark, [(0, "one two"), (1, "one two")]).coalesce(1), 2, 7).cache()
+    totals = lm.corpus_counts(blocks, 0).collect()
+    for row in blocks.toPandas().itertuples(index=False):
+        b = lm.Block(row)
+        b.set_totals([r for r in totals if r["block"] == row.block])
+        assert {*b.word_count, *b.context_count, *b.pair_count} == {2.0 * many}
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as pipe
 
