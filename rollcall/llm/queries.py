@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, centroids, chat, embeddings, fingerprints, lm, mixing, pii, sharding, simhash, toxicity
+from . import audit, bpe, centroids, chat, embeddings, fingerprints, lm, mixing, pii, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +77,10 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"), k=16, rounds=3, seed=1, dim=64, scale=64.0)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), part_column="source")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_embedding_near_dedup": op1_embedding_near_dedup,
@@ -90,6 +94,7 @@ def queries() -> dict[str, Query]:
         "op9_lm_scoring": op9_lm_scoring,
         "op10_sharding": op10_sharding,
         "op11_centroid_clustering": op11_centroid_clustering,
+        "op12_filter_audit": op12_filter_audit,
     }
 
 
@@ -150,5 +155,47 @@ FROM found{rounds} f JOIN centroid{rounds} z ON z.c = f.c
 """
 
 
+# Every order's filters applied to the documents of each part, told apart by
+# what they fail.
+_OP12_SQL = r"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first_id FROM docs GROUP BY text),
+words AS (SELECT doc_id, part, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+failed AS MATERIALIZED (
+  SELECT d.doc_id, d.part,
+         CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * len(regexp_replace(d.text, '[^A-Z]+', '', 'g')) > 5 * len(d.text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(d.text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN d.doc_id > f.first_id THEN 'E' ELSE '' END AS fails
+  FROM words d JOIN firsts f ON f.text = d.text),
+known AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+counted AS MATERIALIZED (
+  SELECT part, fails, count(*) AS n, sum(coalesce(k.good, 0)) AS good, sum(coalesce(k.toxic, 0)) AS toxic
+  FROM failed f LEFT JOIN known k ON k.doc_id = f.doc_id GROUP BY part, fails),
+orders(o) AS (
+  SELECT '' UNION ALL
+  SELECT o || l FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(l) WHERE NOT contains(o, l)),
+steps AS (
+  SELECT o, s AS step, o[s] AS f, CASE WHEN s = 1 THEN '-' ELSE o[1:s - 1] END AS before
+  FROM orders, range(1, 6) r(s) WHERE len(o) = 5),
+done AS MATERIALIZED (
+  SELECT c.part, s.o, s.step, s.f,
+         sum(CASE WHEN NOT contains(fails, f) AND NOT regexp_matches(fails, '[' || before || ']') THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN contains(fails, f) AND NOT regexp_matches(fails, '[' || before || ']') THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN contains(fails, f) AND regexp_matches(fails, '[' || before || ']') THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN contains(fails, f) AND NOT regexp_matches(fails, '[' || before || ']') THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN contains(fails, f) AND NOT regexp_matches(fails, '[' || before || ']') THEN toxic ELSE 0 END) AS toxic_lost
+  FROM counted c CROSS JOIN steps s GROUP BY c.part, s.o, s.step, s.f)
+SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM done
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embedding_near_dedup": _OP1_SQL, "op11_centroid_clustering": _op11_sql()}
+    return {"op1_embedding_near_dedup": _OP1_SQL, "op11_centroid_clustering": _op11_sql(), "op12_filter_audit": _OP12_SQL}
