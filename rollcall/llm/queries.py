@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, bpe, centroids, chat, embeddings, fingerprints, lm, mixing, pii, sharding, simhash, toxicity
+from . import audit, bpe, centroids, chat, embeddings, fingerprints, lm, mixing, pii, sharding, simhash, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +81,11 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), part_column="source")
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return tokens.token_digest(tokens.stored_tokens(documents, tokenizer_path("byte_bpe_50k.json"), end_id=2))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_embedding_near_dedup": op1_embedding_near_dedup,
@@ -95,6 +100,7 @@ def queries() -> dict[str, Query]:
         "op10_sharding": op10_sharding,
         "op11_centroid_clustering": op11_centroid_clustering,
         "op12_filter_audit": op12_filter_audit,
+        "op13_token_files": op13_token_files,
     }
 
 
