@@ -26,9 +26,12 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - used as pa.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,17 +42,18 @@ WORDS_KEPT = 400_000
 LONGEST_WORD = 64  # characters; longer words are encoded each time
 #: Words given to the tokenizer as one string.
 TOGETHER = 500
-#: Tokens after which a batch of rows is handed to Spark.
-BATCH_TOKENS = 1 << 20
+#: Bytes of text that are encoded and handed to Spark together.
+BATCH_BYTES = 1 << 20
 #: Parts up to which their table is broadcast (24 bytes a row).
 PARTS_BROADCAST = 1_000_000
 
 TOKENS_SCHEMA = "doc_id long, part int, start long, n_tokens long, tokens array<int>"
 PARTS_SCHEMA = "part int, first_id long, last_id long, n_docs long, n_tokens long, part_start long"
 
-# a space that is white space next to white space; (U+180E was white space in older tables)
-_ODD = re.compile("^ | [\\s᠎]|[\\s᠎] | $")
-_CUT = re.compile("(?<=[^\\s᠎]) (?=[^\\s᠎])")
+_WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace() or c == 0x180E]  # (U+180E was white space in older tables)
+_ODD = ["  ", *(f for c in _WHITE if c != " " for f in (" " + c, c + " "))]  # spaces where a pre-token need not begin
+_ODD_ASCII = [f for f in _ODD if f.isascii()]
+_CUT = re.compile(f"(?<![{''.join(_WHITE)}]) (?![{''.join(_WHITE)}])(?<!^ )(?!$)")
 _MARKS = ".,;:!?"
 
 
@@ -75,68 +79,90 @@ class WordEncoder:
         for name, i in vocabulary.items():
             self.opens[i] = name.startswith("Ġ")
 
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind) for e in found]
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
 
     def _after_space(self, words: list[str]) -> dict[str, bytes]:
         """Tokens of each word with a space before it; no word has one in it."""
         groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
         out = {}
-        for group, ids in zip(groups, self._whole([" " + " ".join(g) for g in groups]), strict=True):
-            at = np.flatnonzero(self.opens[ids])
+        for group, raw in zip(groups, self._whole([" " + " ".join(g) for g in groups]), strict=True):
+            at = np.flatnonzero(self.opens[np.frombuffer(raw, self.kind)])
             if len(at) != len(group) or at[0]:
                 raise ValueError("a word's tokens do not begin with its space")
-            raw, edges = ids.tobytes(), [*(at * self.kind.itemsize).tolist(), ids.nbytes]
+            edges = [*(at * self.kind.itemsize).tolist(), len(raw)]
             out |= {w: raw[a:b] for w, a, b in zip(group, edges[:-1], edges[1:], strict=True)}
         return out
 
-    def _learn(self, words: set[str]) -> None:
-        """Put the tokens of ``words`` into the store. When it is full, it
-        becomes the old one, from which words in use are taken over."""
+    def _tokens(self, words: set[str]) -> dict[str, bytes]:
+        """Tokens of ``words``, each with a space before it. Words of usual
+        length go into the store. When it is full, it becomes the old one,
+        from which words in use are taken over."""
         if len(self.known) + len(words) > self.words_kept:
-            self.old, self.known = self.known, {w: self.known[w] for w in words if w in self.known}
-        known, old = self.known, self.old
+            self.old, self.known = self.known, {}
+        known, old, made = self.known, self.old, {}
+        new, parted = {}, []
         for w in words:
-            if w not in known and w in old:
-                known[w] = old[w]
-        split = {w: _stem(w) for w in words if w not in known}
-        plain = sorted({s for s, _ in split.values() if s not in known and " " not in s})
-        known |= self._after_space(plain)
-        spaced = [s for s in {s for s, _ in split.values()} if " " in s]
-        known |= {s: i.tobytes() for s, i in zip(spaced, self._whole([" " + s for s in spaced]), strict=True)}
-        ends = sorted({e for _, e in split.values() if e})
-        marks = dict(zip(ends, [i.tobytes() for i in self._whole(ends)], strict=True)) | {"": b""}
-        known |= {w: known[s] + marks[e] for w, (s, e) in split.items()}
+            got = old.get(w)
+            if got is not None:
+                made[w] = got
+                continue
+            stem = w.rstrip(_MARKS)
+            # marks behind a letter are a pre-token of their own
+            if len(stem) < len(w) and stem and stem[-1] < "\u0250" and stem[-1].isalpha():
+                parted.append((w, stem))
+                got = known.get(stem) or old.get(stem)
+                if got is not None:
+                    made[stem] = got
+                    continue
+                w = stem
+            new[w] = None
+        made |= self._after_space([w for w in new if " " not in w])
+        spaced = [w for w in new if " " in w]
+        made |= dict(zip(spaced, self._whole([" " + w for w in spaced]), strict=True))
+        ends = list({w[len(s) :] for w, s in parted})
+        marks = dict(zip(ends, self._whole(ends), strict=True))
+        for w, stem in parted:
+            made[w] = made[stem] + marks[w[len(stem) :]]
+        known |= {w: t for w, t in made.items() if len(w) <= LONGEST_WORD}
+        return made
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The tokens of each text, as packed unsigned integers."""
+        if not self.by_word:
+            return self._whole([t or "" for t in texts])
+        get = self.known.get
+        new: set[str] = set()
+        rows = []
+        for text in texts:
+            if not text:
+                rows.append(([""], [b""], []))
+                continue
+            words = _CUT.split(text) if _spaces_meet(text) else text.split(" ")
+            found = list(map(get, words))
+            found[0] = b""  # the first word has no space before it
+            at = list(compress(range(len(words)), map(is_, found, repeat(None)))) if None in found else []
+            new.update([words[i] for i in at])
+            rows.append((words, found, at))
+        made = self._tokens(new) if new else {}
+        firsts = list({words[0] for words, _, _ in rows})
+        first = dict(zip(firsts, self._whole(firsts), strict=True))
+        out = []
+        for words, found, at in rows:
+            for i in at:
+                found[i] = made[words[i]]
+            found[0] = first[words[0]]
+            out.append(b"".join(found))
+        return out
 
     def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.empty(0, self.kind)
-        if not self.by_word:
-            return self._whole([text])[0]
-        words = _CUT.split(text) if _ODD.search(text) else text.split(" ")
-        first = self._whole([words[0]])[0].tobytes()
-        del words[0]
-        try:
-            return np.frombuffer(first + b"".join(map(self.known.__getitem__, words)), self.kind)
-        except KeyError:
-            pass
-        new = set(words)
-        long = [w for w in new if len(w) > LONGEST_WORD]
-        new.difference_update(long)
-        self._learn(new)
-        once = dict(zip(long, [i.tobytes() for i in self._whole([" " + w for w in long])], strict=True))
-        get = self.known.__getitem__
-        return np.frombuffer(first + b"".join([once[w] if w in once else get(w) for w in words]), self.kind)
-
-
-def _stem(word: str) -> tuple[str, str]:
-    """A word as its stem and the marks behind a letter, which are a pre-token
-    of their own."""
-    stem = word.rstrip(_MARKS)
-    if stem and stem[-1] < "ɐ" and stem[-1].isalpha():
-        return stem, word[len(stem) :]
-    return word, ""
+        return np.frombuffer(self.encode_all([text])[0], self.kind)
+
+
+def _spaces_meet(text: str) -> bool:
+    """True where some space is at an end of the text or next to white space."""
+    return text[0] == " " or text[-1] == " " or any(map(text.__contains__, _ODD_ASCII if text.isascii() else _ODD))
 
 
 def _parts_at_space(spec: dict) -> bool:
@@ -171,35 +197,31 @@ def encode_in_order(ordered: DataFrame, tokenizer_path: str, end_id: int | None)
         # one encoder a worker process: later tasks go on with the words that it knows
         name = f"tokens-{zlib.crc32(spec.encode())}-{len(spec)}"
         encoder = worker_state().get(name) or worker_state().setdefault(name, WordEncoder(spec))
-        end = np.array([] if end_id is None else [end_id], np.int32)
+        end = b"" if end_id is None else np.array([end_id], encoder.kind).tobytes()
         position = 0
         for batch in batches:
-            ids, parts, texts = batch.column(0), batch.column(1), batch.column(2)
-            begin, held, lengths, size = 0, [], [], 0
-
-            def rows(stop: int) -> pa.RecordBatch:
-                edges = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])  # noqa: B023
-                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.concatenate(held), pa.int32()))  # noqa: B023
-                columns = [ids.slice(begin, stop - begin), parts.slice(begin, stop - begin), pa.array(position + edges[:-1]),  # noqa: B023
-                           pa.array(np.diff(edges)), lists]
-                return pa.RecordBatch.from_arrays(columns, schema=schema)
-
-            for i, text in enumerate(texts):
-                tokens = np.concatenate([encoder.encode(text.as_py()).astype(np.int32), end])
-                held.append(tokens)
-                lengths.append(len(tokens))
-                size += len(tokens)
-                if size >= BATCH_TOKENS:
-                    yield rows(i + 1)
-                    position += size
-                    begin, held, lengths, size = i + 1, [], [], 0
-            if lengths:
-                yield rows(batch.num_rows)
-                position += size
+            texts = batch.column(2)
+            for begin, stop in _groups(texts):
+                made = [m + end for m in encoder.encode_all(texts.slice(begin, stop - begin).to_pylist())]
+                edges = np.cumsum([0, *[len(m) // encoder.kind.itemsize for m in made]], dtype=np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.frombuffer(b"".join(made), encoder.kind).astype(np.int32)))
+                columns = [*(batch.column(c).slice(begin, stop - begin) for c in (0, 1)), pa.array(position + edges[:-1]), pa.array(np.diff(edges)), lists]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                position += int(edges[-1])
 
     return ordered.select("doc_id", F.spark_partition_id().alias("part"), "text").mapInArrow(run, TOKENS_SCHEMA)
 
 
+def _groups(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Rows in groups of about ``BATCH_BYTES`` of text."""
+    size = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0), np.int64))
+    begin = 0
+    while begin < len(texts):
+        stop = int(np.searchsorted(size, (size[begin - 1] if begin else 0) + BATCH_BYTES)) + 1
+        yield begin, min(stop, len(texts))
+        begin = stop
+
+
 def file_options(encoding: str, vocabulary: int, row_group_bytes: int, page_rows: int) -> dict[str, str]:
     """Options of Spark's Parquet writer for a token store."""
     if encoding not in ("dictionary", "delta"):
