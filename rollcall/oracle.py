@@ -210,11 +210,10 @@ def oracle_sql() -> dict[str, str]:
     )
     out["filter_year"] = _with(f"SELECT * FROM absence WHERE {_years(P.YEARS_FILTER)}")
     out["filter_members"] = _with(f"SELECT * FROM absence WHERE geographic_level IN {_in(P.MEMBER_LEVELS)}")
-    ff = P.FILTER_FACT
-    out["filter_fact"] = _with(
-        f"SELECT * FROM absence WHERE {_years(ff['year'])} AND geographic_level = {_q(ff['geographic_level'])} "
-        f"AND school_type = {_q(ff['school_type'])} AND region_name = {_q(ff['region_name'])} AND la_name IN {_in(ff['la_name'])}"
-    )
+    ff = dict(P.FILTER_FACT)
+    kept = [_years(ff.pop("year"))] if "year" in ff else []
+    kept += [f"{c} IN {_in([v] if isinstance(v, str) else v)}" for c, v in ff.items()]
+    out["filter_fact"] = _with(f"SELECT * FROM absence WHERE {' AND '.join(kept)}")
     for name, col in [("catalog_la", "la_name"), ("catalog_school_types", "school_type"), ("catalog_regions", "region_name")]:
         out[name] = _with(f"SELECT DISTINCT {col} FROM absence WHERE {col} IS NOT NULL")
     out["catalog_size"] = _with(

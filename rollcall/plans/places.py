@@ -52,28 +52,29 @@ def school_type_breakdown(df: DataFrame, school_type: str, year) -> DataFrame:
 _BY = {"region": (REGIONAL, "region_name"), "la": (LOCAL_AUTHORITY, "la_name")}
 
 
+def level_of(by: str) -> str:
+    """The geographic level that a report by ``by`` reads."""
+    if by not in _BY:
+        raise ValueError("by must be 'region' or 'la'")
+    return _BY[by][0]
+
+
 def unauthorised_by(df: DataFrame, year, by: str = "region") -> DataFrame:
     """Unauthorised absence field set for one year, by region or by LA, most
     absences first (ties by name)."""
-    if by not in _BY:
-        raise ValueError("by must be 'region' or 'la'")
-    level, key = _BY[by]
+    level, key = level_of(by), _BY[by][1]
     rows = filter_fact(df, year=year, geographic_level=level, school_type=TOTAL)
     return query(rows, key, fields="unauthorized", unique=True).orderBy(F.desc_nulls_last("absences"), F.asc(key))
 
 
 def unauthorised_page(df: DataFrame, year, by: str = "la", page_number: int = 1, page_size: int = 10) -> DataFrame:
     """One page of :func:`unauthorised_by`, in the same order."""
-    key = _BY[by][1] if by in _BY else None
-    if key is None:
-        raise ValueError("by must be 'region' or 'la'")
     full = unauthorised_by(df, year, by)
-    return page(full, [F.desc_nulls_last("absences"), F.asc(key)], page_number, page_size)
+    return page(full, [F.desc_nulls_last("absences"), F.asc(_BY[by][1])], page_number, page_size)
 
 
 def unauthorised_page_after(df: DataFrame, year, by: str = "la", after: tuple | None = None, page_size: int = 10) -> DataFrame:
     """The ``page_size`` rows of :func:`unauthorised_by` that follow ``after``,
     the (absences, name) of the last row seen (None: the first page)."""
-    if by not in _BY:
-        raise ValueError("by must be 'region' or 'la'")
+    level_of(by)
     return page_after(unauthorised_by(df, year, by), "absences", _BY[by][1], after, page_size)

@@ -40,6 +40,23 @@ def _on_fact(op: Callable[[DataFrame], DataFrame], year=None, levels=None, types
     return lambda spark, sf_dir: op(absence(spark, sf_dir, years=years, levels=levels, school_types=types))
 
 
+def _on_filtered(op: Callable[[DataFrame], DataFrame], filters: dict) -> Query:
+    """``op`` over the rows that :func:`filter_fact` keeps of ``filters``; the
+    derivation gets its scope from the same filters."""
+
+    def scope(name: str) -> list | None:
+        value = filters.get(name)
+        return None if value is None else [value] if isinstance(value, (int, str)) else list(value)
+
+    return _on_fact(lambda df: op(filter_fact(df, **filters)), scope("year"), scope("geographic_level"), scope("school_type"))
+
+
+def _on_unauthorised(op: Callable[..., DataFrame], **arguments) -> Query:
+    """``op`` for the page parameters' year and places, over rows of their level."""
+    year, by = P.PAGE["year"], P.PAGE["by"]
+    return _on_fact(lambda df: op(df, year, by, **arguments), year, [places.level_of(by)], [TOTAL])
+
+
 def _on_regions(op: Callable[[DataFrame], DataFrame]) -> Query:
     return _on_fact(op, levels=[REGIONAL], types=[TOTAL])
 
@@ -79,7 +96,7 @@ def queries() -> dict[str, Query]:
         "check_grain_repeats": _on_fact(lambda df: check_grain(df, P.GRAIN_WITHOUT_TYPE)),
         "filter_year": _on_fact(lambda df: filter_year(df, P.YEARS_FILTER), P.YEARS_FILTER),
         "filter_members": _on_fact(lambda df: filter_members(df, "geographic_level", P.MEMBER_LEVELS), levels=P.MEMBER_LEVELS),
-        "filter_fact": _on_fact(lambda df: filter_fact(df, **P.FILTER_FACT), P.FILTER_FACT["year"], [LOCAL_AUTHORITY], [TOTAL]),
+        "filter_fact": _on_filtered(lambda df: df, P.FILTER_FACT),
         "catalog_la": _on_fact(lambda df: catalog(df, "la_name")),
         "catalog_school_types": _on_fact(lambda df: catalog(df, "school_type")),
         "catalog_regions": _on_fact(lambda df: catalog(df, "region_name")),
@@ -98,11 +115,9 @@ def queries() -> dict[str, Query]:
             "school_type_breakdown": _on_fact(lambda df: places.school_type_breakdown(df, ts["school_type"], ts["year"]), ts["year"], [NATIONAL]),
             "unauthorised_by_region": _on_fact(lambda df: places.unauthorised_by(df, P.UNAUTH_YEAR, "region"), P.UNAUTH_YEAR, [REGIONAL], [TOTAL]),
             "unauthorised_by_la": _on_fact(lambda df: places.unauthorised_by(df, P.UNAUTH_YEAR, "la"), P.UNAUTH_YEAR, [LOCAL_AUTHORITY], [TOTAL]),
-            "page_after": _on_fact(
-                lambda df: places.unauthorised_page_after(df, pg["year"], pg["by"], P.PAGE_AFTER, pg["page_size"]), pg["year"], [LOCAL_AUTHORITY], [TOTAL]
-            ),
-            "page": _on_fact(lambda df: places.unauthorised_page(df, **pg), pg["year"], [LOCAL_AUTHORITY], [TOTAL]),
-            "unauthorised_row_count": _on_fact(lambda df: row_count(places.unauthorised_by(df, pg["year"], pg["by"])), pg["year"], [LOCAL_AUTHORITY], [TOTAL]),
+            "page_after": _on_unauthorised(places.unauthorised_page_after, after=P.PAGE_AFTER, page_size=pg["page_size"]),
+            "page": _on_unauthorised(places.unauthorised_page, page_number=pg["page_number"], page_size=pg["page_size"]),
+            "unauthorised_row_count": _on_unauthorised(lambda df, year, by: row_count(places.unauthorised_by(df, year, by))),
             "compare_basic": _on_fact(lambda df: comparison.compare_basic(df, **cmp), cmp["year"], [LOCAL_AUTHORITY], [TOTAL]),
             "compare_authorised": _on_fact(lambda df: comparison.compare_authorised(df, **cmp), cmp["year"], [LOCAL_AUTHORITY], [TOTAL]),
             "compare_unauthorised": _on_fact(lambda df: comparison.compare_unauthorised(df, **cmp), cmp["year"], [LOCAL_AUTHORITY], [TOTAL]),

@@ -246,18 +246,17 @@ def derive_fact(
     """The 39-column fact table at all six grains, from the star schema.
 
     ``years``, ``levels`` and ``school_types`` say which rows a report needs:
-    years become a range of ``o_orderdate`` in the orders scan and a semi join
-    of lineitem before its aggregate; levels and types leave only the grouping
-    sets they come from (a set keeps all its types). ``None`` keeps all.
+    years become a range of ``o_orderdate`` in the orders scan, and the join
+    keeps their per-order sums (lines are never shuffled before they are added
+    up, so an order of any size is one row per map task); levels and types
+    leave only the grouping sets they come from (a set keeps all its types).
+    ``None`` keeps all.
     """
     sets = grouping_sets(levels, school_types)
     if not sets:
         raise ValueError("no rows of the fact table are of these levels and school types")
-    lineitem, orders = tables["lineitem"], tables["orders"]
-    if years is not None:
-        orders = orders_of(orders, years)
-        lineitem = lineitem.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
-    schools = _schools(_pupils(_line_sums(lineitem), orders))
+    orders = tables["orders"] if years is None else orders_of(tables["orders"], years)
+    schools = _schools(_pupils(_line_sums(tables["lineitem"]), orders))
     placed = schools.join(_places(tables), "school")
     keys = ["time_period", "region_name", "la_name", "school_type"]
 

@@ -31,6 +31,11 @@ SWEEP = [
     ({"PIVOT_LAS": ["NATION_23", "NATION_3", "NOWHERE"]}, ["la_enrolment_pivot"]),
     ({"PAGE": {"year": 2014, "by": "la", "page_number": 3, "page_size": 10}}, ["page", "unauthorised_row_count"]),
     ({"PAGE": {"year": 2014, "by": "region", "page_number": 2, "page_size": 2}}, ["page", "unauthorised_row_count"]),
+    ({"PAGE": {"year": 2016, "by": "region", "page_number": 1, "page_size": 3}, "PAGE_AFTER": (1804, "AFRICA")}, ["page_after"]),
+    ({"PAGE": {"year": 2016, "by": "la", "page_number": 1, "page_size": 4}, "PAGE_AFTER": (200, "NATION_3")}, ["page_after"]),
+    ({"FILTER_FACT": {"year": 2015, "geographic_level": "Regional", "school_type": "Special", "region_name": ["ASIA", "EUROPE"]}}, ["filter_fact"]),
+    ({"FILTER_FACT": {"year": [2014, 2016], "geographic_level": ["National", "Regional"], "school_type": ["Total", "Special"]}}, ["filter_fact"]),
+    ({"FILTER_FACT": {"geographic_level": "National"}}, ["filter_fact"]),
     ({"TYPE_SEARCH": {"school_type": "State-funded primary", "year": 2013}},
      ["school_type_authorised", "school_type_breakdown"]),
     ({"REASON_YEAR": 2012, "FIELDS_YEAR": 2014}, ["main_absence_reason", "fields_unauthorized_percent"]),
@@ -53,3 +58,5 @@ def test_sweep(spark, con, shared_fact, monkeypatch, overrides, names):
         res = con.execute(sql[name])
         ok, exact, msg = oracle_check.compare(df.columns, rows, [d[0] for d in res.description], res.fetchall())
         assert ok, (name, msg)
+        if name in ("page", "page_after", "filter_fact"):
+            assert rows, name
