@@ -200,6 +200,12 @@ def oracle_sql() -> dict[str, str]:
     lvl_la = "geographic_level = 'Local authority' AND school_type = 'Total'"
     out: dict[str, str] = {}
     out["build_fact"] = _with("SELECT * FROM absence")
+    for name in ("fact_by_periods", "fact_of_stored_star", "fact_of_increments"):
+        out[name] = out["build_fact"]
+    out["fact_one_per_key"] = _with(
+        "SELECT geographic_level, count(*) AS stored, CASE WHEN geographic_level = 'Regional' THEN count(*) ELSE 0 END AS kept_out "
+        "FROM absence GROUP BY geographic_level"
+    )
     out["check_grain"] = _with(
         "SELECT time_period, geographic_level, region_name, la_name, school_type, count(*) AS n FROM absence "
         "GROUP BY time_period, geographic_level, region_name, la_name, school_type HAVING count(*) > 1"
@@ -257,6 +263,7 @@ def oracle_sql() -> dict[str, str]:
         f"AND school_type = 'Total' AND {_years(P.UNAUTH_YEAR)}"
     )
     out["unauthorised_by_la"] = _with(f"SELECT la_name, {unauth} FROM absence WHERE {lvl_la} AND {_years(P.UNAUTH_YEAR)}")
+    out["year_of_stored_star"] = out["unauthorised_by_la"]
     pg = P.PAGE
     key, level = ("la_name", "Local authority") if pg["by"] == "la" else ("region_name", "Regional")
     paged = f"geographic_level = {_q(level)} AND school_type = 'Total' AND {_years(pg['year'])}"

@@ -26,3 +26,5 @@ GRAIN_WITHOUT_TYPE = ["time_period", "geographic_level", "region_name", "la_name
 PAGE_AFTER = (1885, "NATION_15")
 # Start years of the periods in the given tables (oracle columns only).
 PERIOD_YEARS = [2012, 2013, 2014, 2015, 2016, 2017, 2018]
+# The year that is loaded a second time into a stored table.
+RELOADED_YEAR = 2016

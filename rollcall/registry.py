@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import params as P
 from .operators import (
@@ -26,9 +27,9 @@ from .operators import (
     search_prefix,
 )
 from .plans import charts, comparison, links, places, regions
-from .schema import FIELD_SETS, LOCAL_AUTHORITY, NATIONAL, REGIONAL, TOTAL
+from .schema import FIELD_SETS, GRAIN, LOCAL_AUTHORITY, NATIONAL, REGIONAL, TOTAL
 from .session import scratch_path
-from .sources import absence, load_fact, read_fact, read_fact_csv, write_fact, write_fact_csv
+from .sources import absence, derive_fact, increment, load_fact, periods, read_fact, read_fact_csv, read_star, star_store, write_fact, write_fact_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +90,63 @@ def load_fact_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_fact(spark, path)
 
 
+def _later(key: str) -> Column:
+    """About a third of the keys, by their hash."""
+    return F.coalesce(F.pmod(F.xxhash64(key), F.lit(3)) == 0, F.lit(False))
+
+
+def fact_by_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table stored, then one year derived and loaded again, twice."""
+    table = scratch_path(spark, "fact-periods")
+    periods.replace_periods(spark, absence(spark, sf_dir), table)
+    for _ in range(2):
+        again = absence(spark, sf_dir, years=[P.RELOADED_YEAR])
+        periods.replace_periods(spark, again, table, [P.RELOADED_YEAR * 100 + (P.RELOADED_YEAR + 1) % 100])
+    return periods.read_periods(spark, table)
+
+
+def fact_one_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in which every row of one level comes twice, stored with one
+    row per key; the rows kept out are read back and counted per level."""
+    table = scratch_path(spark, "fact-keys")
+    fact = absence(spark, sf_dir)
+    twice = fact.unionByName(fact.where(F.col("geographic_level") == REGIONAL))
+    periods.replace_periods(spark, twice, table, grain=GRAIN)
+    stored = periods.read_periods(spark, table).groupBy("geographic_level").agg(F.count(F.lit(1)).alias("stored"))
+    out = periods.quarantined(spark, table).groupBy("geographic_level").agg(F.sum("copies").alias("kept_out"))
+    return stored.join(out, "geographic_level", "left").select("geographic_level", "stored", F.coalesce("kept_out", F.lit(0)).alias("kept_out"))
+
+
+def _stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    path = star_store.store_star(read_star(spark, sf_dir), scratch_path(spark, "star"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return star_store.open_star(spark, path)
+
+
+def fact_of_stored_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derivation over lines and orders stored by order key."""
+    return derive_fact(_stored_star(spark, sf_dir))
+
+
+def year_of_stored_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A single-year report over them."""
+    fact = derive_fact(_stored_star(spark, sf_dir), [P.UNAUTH_YEAR], [LOCAL_AUTHORITY], [TOTAL])
+    return places.unauthorised_by(fact, P.UNAUTH_YEAR, "la")
+
+
+def fact_of_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star merged in three loads: two thirds of the orders with two
+    thirds of their lines; the other orders with all of theirs; the late lines."""
+    tables = read_star(spark, sf_dir)
+    path = scratch_path(spark, "fact-sums")
+    orders, lines = tables["orders"], spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    late_order, late_line = _later("o_orderkey"), F.coalesce(F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(3)) == 0, F.lit(False))
+    second = _later("l_orderkey")
+    increment.create(tables | {"orders": orders.where(~late_order), "lineitem": lines.where(~second & ~late_line)}, path)
+    increment.add(spark, path, lines.where(second), orders.where(late_order))
+    increment.add(spark, path, lines.where(~second & late_line), orders.limit(0))
+    return increment.fact(spark, path, tables)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "build_fact": _on_fact(lambda df: df),
@@ -150,6 +208,11 @@ def queries() -> dict[str, Query]:
             "chart_heatmap": _on_rates(charts.chart_heatmap),
             "load_roundtrip": load_roundtrip,
             "load_fact": load_fact_stored,
+            "fact_by_periods": fact_by_periods,
+            "fact_one_per_key": fact_one_per_key,
+            "fact_of_stored_star": fact_of_stored_star,
+            "year_of_stored_star": year_of_stored_star,
+            "fact_of_increments": fact_of_increments,
         }
     )
     return q

@@ -1,17 +1,21 @@
 """Sources and sinks: the fact table's CSV and Parquet forms, and its
 derivation from the star-schema test tables."""
 
+from . import increment, periods, star_store
 from .fact_io import load_fact, read_fact, read_fact_csv, stage_fact, write_fact, write_fact_csv
 from .star import absence, derive_fact, read_star
 
 __all__ = [
     "absence",
     "derive_fact",
+    "increment",
     "load_fact",
+    "periods",
     "read_fact",
     "read_fact_csv",
     "read_star",
     "stage_fact",
+    "star_store",
     "write_fact",
     "write_fact_csv",
 ]

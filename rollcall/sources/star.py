@@ -90,28 +90,43 @@ def read_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.schema(STAR_SCHEMAS[t]).parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
 
 
-def _line_sums(lineitem: DataFrame) -> DataFrame:
-    """One row per order: sessions by (flag, line status) plus the totals the
-    persistent-absence test compares. Only four columns are read."""
-    q = F.col("l_quantity").cast("bigint")
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+def compact_lines(lineitem: DataFrame) -> DataFrame:
+    """Lines added up per (order, flag, status): all that the derivation uses
+    of them, additive over any parts of the lines. Only four columns are read."""
+    q = F.col("l_quantity")
+    return lineitem.groupBy(F.col("l_orderkey").alias("orderkey"), F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).agg(
+        F.sum(q.cast("bigint")).alias("sessions"), F.sum(q).alias("quantity"), F.count(F.lit(1)).alias("n_lines"))
 
+
+def _sums(key: Column, flag: Column, status: Column, sessions: Column, quantity: Column, rows: DataFrame) -> DataFrame:
     def part(f: str, s: str) -> Column:
-        return F.sum(F.when((flag == f) & (status == s), q).otherwise(F.lit(0))).alias(f"q_{f}{s}")
+        return F.sum(F.when((flag == f) & (status == s), sessions).otherwise(F.lit(0))).alias(f"q_{f}{s}")
 
-    absent_qty = F.when(flag.isin("A", "R"), F.col("l_quantity")).otherwise(F.lit(0.0))
-    return lineitem.groupBy(F.col("l_orderkey").alias("orderkey")).agg(
-        F.sum(q).alias("q_all"),
+    absent_qty = F.when(flag.isin("A", "R"), quantity).otherwise(F.lit(0.0))
+    return rows.groupBy(key.alias("orderkey")).agg(
+        F.sum(sessions).alias("q_all"),
         part("A", "F"),
         part("A", "O"),
         part("R", "F"),
         part("R", "O"),
         F.sum(absent_qty).alias("qty_absent"),
-        F.sum("l_quantity").alias("qty_all"),
+        F.sum(quantity).alias("qty_all"),
     )
 
 
-def _pupils(lines: DataFrame, orders: DataFrame) -> DataFrame:
+def _line_sums(lineitem: DataFrame) -> DataFrame:
+    """One row per order: sessions by (flag, line status) plus the totals the
+    persistent-absence test compares. Only four columns are read."""
+    q = F.col("l_quantity")
+    return _sums(F.col("l_orderkey"), F.col("l_returnflag"), F.col("l_linestatus"), q.cast("bigint"), q, lineitem)
+
+
+def compact_sums(lines: DataFrame) -> DataFrame:
+    """As :func:`_line_sums`, of :func:`compact_lines`."""
+    return _sums(*[F.col(c) for c in ("orderkey", "flag", "status", "sessions", "quantity")], lines)
+
+
+def pupils(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per pupil (order) with period, school and all session measures."""
     o = orders.select(
         F.col("o_orderkey").alias("orderkey"),
@@ -166,7 +181,7 @@ MEASURES = [
 ]
 
 
-def _schools(pupils: DataFrame) -> DataFrame:
+def schools(pupils: DataFrame) -> DataFrame:
     """One row per (school, period): pupil counts and session sums."""
     return pupils.groupBy("school", "time_period").agg(
         F.count(F.lit(1)).alias("pupils"),
@@ -252,11 +267,23 @@ def derive_fact(
     leave only the grouping sets they come from (a set keeps all its types).
     ``None`` keeps all.
     """
+    orders = tables["orders"] if years is None else orders_of(tables["orders"], years)
+    # a stored star (star_store) has lines added up and bucketed by order
+    lines = compact_sums(tables["lines"]) if "lines" in tables else _line_sums(tables["lineitem"])
+    return fact_of_schools(schools(pupils(lines, orders)), tables, levels, school_types)
+
+
+def fact_of_schools(
+    schools: DataFrame,
+    tables: dict[str, DataFrame],
+    levels: Sequence[str] | None = None,
+    school_types: Sequence[str] | None = None,
+) -> DataFrame:
+    """The fact table from one row per (school, period), with the places of
+    the schools from ``tables``."""
     sets = grouping_sets(levels, school_types)
     if not sets:
         raise ValueError("no rows of the fact table are of these levels and school types")
-    orders = tables["orders"] if years is None else orders_of(tables["orders"], years)
-    schools = _schools(_pupils(_line_sums(tables["lineitem"]), orders))
     placed = schools.join(_places(tables), "school")
     keys = ["time_period", "region_name", "la_name", "school_type"]
 
