@@ -8,12 +8,15 @@ estimates ``<o, q>`` without bias, and its error is at most
 chance that falls with ``exp(-epsilon**2 / 2)``. A pair whose bound stays
 below the threshold is dropped; only the others are computed exactly.
 
-Which pairs are estimated at all: the sign bits of several rotations are cut
-into bands, and vectors of one label meet where a band agrees. Bits differ
-with chance angle / pi, so the number of bands follows from the chance that a
-pair at the threshold may be missed. Buckets too large for a task are cut into
-tiles. A pair is counted in the first band on which it agrees. A bucket returns
-link counts and a spanning star per local class, never its pairs.
+Which pairs are looked at: the sign bits of several rotations are cut into
+bands, and vectors of one label meet where a band agrees. Bits differ with
+chance angle / pi, so the number of bands follows from the chance that a pair
+at the threshold may be missed. A pair is counted in the first band on which it
+agrees. Only ids and bits travel to their bands, packed; there the share of
+differing bits, which estimates the angle, and its Chernoff bound tell which
+vectors may have a partner. Their vectors alone are fetched, for the estimate
+above and the exact product. Buckets too large for a task are cut into tiles. A
+bucket returns link counts and a spanning star per local class, never its pairs.
 """
 
 from __future__ import annotations
@@ -27,14 +30,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .staging import staged
+from .staging import discard, join_groups, staged, worker_state
 
-#: Vectors on each side of a tile.
-TILE = 2048
+#: Vectors on each side of a tile, about.
+TILE = 4096
 #: Expected vectors of one label and bucket if codes were spread evenly.
-PER_BUCKET = 32
-#: Buckets that one group of a task holds: 2 ** SHARED_BITS.
+PER_BUCKET = 256
+#: Buckets that one cell holds: 2 ** SHARED_BITS.
 SHARED_BITS = 4
+#: Vectors of a cell that travel as one row.
+UNIT = 512
+#: One node in so many counts towards the size of its cells, which only says
+#: into how many tiles a cell is cut.
+SIZED = 16
+#: Rows of a block of the pair matrices.
+BLOCK = 1024
+CELL = ["label", "dim", "band", "prefix"]
 
 
 def rotations(dim: int, bits: int, seed: int) -> np.ndarray:
@@ -62,34 +73,149 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & ~F.coalesce(bad, F.lit(True)) & (F.coalesce(norm, F.lit(0.0)) > 0)
 
 
+def _rotation(dim: int, bits: int, seed: int) -> np.ndarray:
+    """:func:`rotations`, made once a worker process."""
+    known = worker_state()
+    name = ("rotation", dim, bits, seed)
+    if name not in known:
+        known[name] = rotations(dim, bits, seed)
+    return known[name]
+
+
+def most_differing(bits: int, threshold: float, miss: float) -> int:
+    """The number of differing bits that a pair at the threshold exceeds with a
+    chance of at most ``miss`` (Chernoff)."""
+    p = max(math.acos(min(1.0, threshold)) / math.pi, 1e-9)
+    for h in range(math.ceil(bits * p), bits):
+        q = max(h / bits, 1e-12)
+        apart = q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0.0)
+        if q > p and math.exp(-bits * apart) <= miss:
+            return h
+    return bits
+
+
+def _unit(vectors) -> np.ndarray:
+    x = np.stack(vectors).astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _codes(nodes: DataFrame, width: int, bands: int, seed: int) -> DataFrame:
-    """``nodes`` plus ``keys`` (per band), ``code`` and ``factor``."""
+    """``nodes`` plus ``dim``, ``bits`` (of all bands), ``code`` and ``factor``."""
 
     def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[int, np.ndarray] = {}
         for rows in batches:
             dims = rows["vector"].map(len)
             for dim, part in rows.groupby(dims, sort=False):
-                turn = known.setdefault(dim, rotations(dim, width * bands, seed))
-                x = np.stack(part["vector"].to_numpy()).astype(np.float64)
-                x /= np.abs(x).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
-                turned = x @ turn
-                bits = turned[:, : width * bands] > 0
-                keys = bits.reshape(len(x), bands, width) @ (1 << np.arange(width, dtype=np.int64))
+                turned = _unit(part["vector"].to_numpy()) @ _rotation(dim, width * bands, seed)
                 first = turned[:, :dim]
                 yield part.assign(
-                    keys=list(keys.astype(np.int32)),
+                    dim=dim,
+                    bits=[b.tobytes() for b in np.packbits(turned[:, : width * bands] > 0, axis=1)],
                     code=[b.tobytes() for b in np.packbits(first > 0, axis=1)],
                     factor=np.abs(first).sum(axis=1) / math.sqrt(dim),
                 )
 
-    schema = "node long, label int, copies long, vector array<float>, keys array<int>, code binary, factor double"
+    schema = "node long, label string, copies long, vector array<double>, dim int, bits binary, code binary, factor double"
     return nodes.select("node", "label", "copies", "vector").mapInPandas(code, schema)
 
 
+def _band_keys(bits: list[bytes] | np.ndarray, width: int, bands: int) -> np.ndarray:
+    raw = np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1)
+    return np.unpackbits(raw, axis=1, count=width * bands).reshape(len(raw), bands, width) @ (1 << np.arange(width, dtype=np.int32))
+
+
+def _packed(width: int, bands: int) -> np.dtype:
+    return np.dtype([("node", "<i8"), ("key", "<i4"), ("bits", f"V{-(-width * bands // 8)}")])
+
+
+def _units(coded: DataFrame, width: int, bands: int) -> DataFrame:
+    """Per band the ids and bits of the vectors of a cell, some rows a cell."""
+    kind = _packed(width, bands)
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if not len(rows):
+                continue
+            keys = _band_keys(list(rows["bits"]), width, bands)
+            (label, names), dim = pd.factorize(rows["label"]), rows["dim"].to_numpy()
+            one = np.empty(len(rows), kind)
+            one["node"], one["bits"] = rows["node"].to_numpy(), np.frombuffer(b"".join(rows["bits"]), kind["bits"])
+            for band in range(bands):
+                one["key"], prefix = keys[:, band], keys[:, band] >> SHARED_BITS
+                order = np.lexsort((prefix, dim, label))
+                cell = np.stack([label[order], dim[order], prefix[order]])
+                new = np.flatnonzero(np.r_[True, (cell[:, 1:] != cell[:, :-1]).any(axis=0)])
+                edges = [x for s, e in zip(new.tolist(), [*new[1:].tolist(), len(order)], strict=True) for x in range(s, e, UNIT)]
+                raw, ends = one[order].tobytes(), [*edges[1:], len(order)]
+                yield pd.DataFrame({
+                    "label": np.asarray(names, object)[cell[0, edges]], "dim": cell[1, edges], "band": band, "prefix": cell[2, edges],
+                    "n": np.subtract(ends, edges), "unit": [raw[s * kind.itemsize : e * kind.itemsize] for s, e in zip(edges, ends, strict=True)]})
+
+    return coded.select("node", "label", "dim", "bits").mapInPandas(pack, "label string, dim int, band int, prefix int, n long, unit binary")
+
+
+def _promising(coded: DataFrame, width: int, bands: int, threshold: float, miss: float) -> DataFrame:
+    """Vectors whose bits leave room for a partner in a tile of a cell: ``CELL,
+    i, j, chunk, node``."""
+    kind, total = _packed(width, bands), width * bands
+    limit = most_differing(total, threshold, miss)
+    some = coded.where(F.pmod(F.xxhash64("node"), F.lit(SIZED)) == 0)
+    sizes = _units(some, width, bands).groupBy(*CELL).agg((F.sum("n") * SIZED).alias("size")).where(F.col("size") > 2 * TILE)
+    large = staged(sizes.select(*CELL, F.ceil(F.col("size") / TILE).cast("int").alias("chunks")), "vector-large")
+    units = _units(coded, width, bands).join(large, CELL, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    units = units.withColumn("chunk", F.pmod(F.xxhash64("unit"), F.col("chunks")).cast("int"))
+    units = units.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    units = units.select(*CELL, "chunk", "unit", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+
+    def look(rows: pd.DataFrame) -> pd.DataFrame:
+        band, i, j = int(rows["band"].iat[0]), rows["i"].iat[0], rows["j"].iat[0]
+        own = np.concatenate([np.frombuffer(u, kind) for u in rows["unit"]])
+        chunk = np.repeat(rows["chunk"].to_numpy(), [len(u) // kind.itemsize for u in rows["unit"]])
+        order = np.argsort(own["key"], kind="stable")
+        own, chunk = own[order], chunk[order]
+        starts = np.flatnonzero(np.r_[True, np.diff(own["key"]) != 0])
+        found = []
+        for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(own)], strict=True):
+            if e - s < 2:
+                continue
+            here = own[s:e]
+            raw = np.frombuffer(here["bits"].tobytes(), np.uint8).reshape(len(here), -1)
+            signs = 2 * np.unpackbits(raw, axis=1, count=total).astype(np.float32) - 1
+            keys = _band_keys([b.tobytes() for b in here["bits"]], width, bands)
+            left = np.flatnonzero(chunk[s:e] == i)
+            right = left if i == j else np.flatnonzero(chunk[s:e] == j)
+            may = np.zeros(e - s, bool)
+            for at in range(0, len(left), BLOCK):
+                a = left[at : at + BLOCK]
+                near = signs[a] @ signs[right].T >= total - 2 * limit
+                if i == j:
+                    near &= right[None, :] > a[:, None]
+                p, q = np.nonzero(near)
+                p, q = a[p], right[q]
+                first = np.ones(len(p), bool)
+                for b in range(band):  # pairs that agree on an earlier band are counted there
+                    first &= keys[p, b] != keys[q, b]
+                may[p[first]] = may[q[first]] = True
+            found += [(n, c) for n, c in zip(here["node"][may].tolist(), chunk[s:e][may].tolist(), strict=True)]
+        out = pd.DataFrame(found, columns=["node", "chunk"]).astype({"node": "int64", "chunk": "int32"})
+        return out.assign(**{c: rows[c].iat[0] for c in (*CELL, "i", "j")})
+
+    return units.groupBy(*CELL, "i", "j").applyInPandas(look, "node long, chunk int, label string, dim int, band int, prefix int, i int, j int")
+
+
 def _links_in(a: dict, b: dict, same: bool, band: int, turn: np.ndarray, threshold: float, epsilon: float):
     """Index pairs (into a, into b) that link and first agree on ``band``."""
+    keep = [np.empty((2, 0), np.int64)]
+    for start in range(0, len(a["node"]), BLOCK):
+        part = {k: v[start : start + BLOCK] for k, v in a.items()}
+        keep.append(_links_of(part, b, start if same else None, band, turn, threshold, epsilon) + [[start], [0]])
+    return np.concatenate(keep, axis=1)
+
+
+def _links_of(a: dict, b: dict, start: int | None, band: int, turn: np.ndarray, threshold: float, epsilon: float):
+    """As :func:`_links_in` for a block of rows (``start``: where it begins
+    in ``b``, if both are the same vectors)."""
     dim = turn.shape[0]
     spread = math.sqrt(1 - threshold**2) * min(1.0, epsilon / math.sqrt(max(1, dim - 1)))
     maybe = None
@@ -99,9 +225,8 @@ def _links_in(a: dict, b: dict, same: bool, band: int, turn: np.ndarray, thresho
         near = estimate >= floor
         near = near.T if flip else near
         maybe = near if maybe is None else maybe & near
-        if same:
-            maybe = np.triu(maybe, 1)
-            break
+    if start is not None:
+        maybe &= np.arange(len(b["node"]))[None, :] > (start + np.arange(len(a["node"])))[:, None]
     i, j = np.nonzero(maybe)
     keep = [np.empty((2, 0), np.int64)]
     for s in range(0, len(i), 100_000):
@@ -134,25 +259,19 @@ def vector_links(nodes: DataFrame, threshold: float = 0.98, epsilon: float = 6.0
     largest = nodes.groupBy("label", F.size("vector").alias("d")).count().agg(F.max("count")).first()[0] or 0
     width, bands = band_plan(largest, threshold, miss)
     coded = staged(_codes(nodes, width, bands, seed), "vector-codes")
-    place = ["label", "dim", "band", "key"]
-    keyed = coded.select("label", F.size("vector").alias("dim"), "node", F.posexplode("keys").alias("band", "key"))
-    sizes = keyed.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > TILE)
-    large = staged(sizes.select(*place, F.ceil(F.col("n") / TILE).cast("int").alias("chunks")), "vector-large")
-    rows = coded.select("*", F.size("vector").alias("dim"), F.posexplode("keys").alias("band", "key"))
-    rows = rows.join(large, place, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("*", F.shiftright("key", SHARED_BITS).alias("prefix"),
-                       F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")).drop("chunks", "other")
+    wanted = staged(_promising(coded, width, bands, threshold, miss / 100), "vector-wanted")
+    rows = wanted.join(coded.select("label", "dim", "node", "copies", "vector", "bits", "code", "factor"), ["label", "dim", "node"])
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         band, dim = int(rows["band"].iat[0]), int(rows["dim"].iat[0])
         i, j = rows["i"].iat[0], rows["j"].iat[0]
-        rows = rows.sort_values(["key", "node"], kind="stable")
-        turn = rotations(dim, dim, seed)
-        x = np.stack(rows["vector"].to_numpy()).astype(np.float64)
-        x /= np.abs(x).max(axis=1, keepdims=True)
-        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        keys = _band_keys(list(rows["bits"]), width, bands)
+        # (of vectors that share an id, those of this cell)
+        order = np.lexsort((rows["node"].to_numpy(), keys[:, band]))
+        order = order[keys[order, band] >> SHARED_BITS == rows["prefix"].iat[0]]
+        rows, keys = rows.iloc[order], keys[order]
+        turn = _rotation(dim, dim, seed)
+        unit = _unit(rows["vector"].to_numpy())
         codes = np.frombuffer(b"".join(rows["code"]), np.uint8).reshape(len(rows), -1)
         signs = np.unpackbits(codes, axis=1, count=dim).astype(np.float32)
         data = {
@@ -160,12 +279,12 @@ def vector_links(nodes: DataFrame, threshold: float = 0.98, epsilon: float = 6.0
             "turned": (unit @ turn).astype(np.float32),
             "signs": (2 * signs - 1) / np.float32(math.sqrt(dim)),
             "factor": rows["factor"].to_numpy(),
-            "keys": np.stack(rows["keys"].to_numpy()),
+            "keys": keys,
             "node": rows["node"].to_numpy(),
             "copies": rows["copies"].to_numpy(),
             "chunk": rows["chunk"].to_numpy(),
         }
-        key = rows["key"].to_numpy()
+        key = keys[:, band]
         starts = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
         out = []
         for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], strict=True):
@@ -184,7 +303,7 @@ def vector_links(nodes: DataFrame, threshold: float = 0.98, epsilon: float = 6.0
             out.append(pd.DataFrame({"node": both, "links": links.astype(np.int64), "root": _stars(both, li, ri)}))
         return pd.concat(out) if out else pd.DataFrame({"node": [], "links": [], "root": []}).astype("int64")
 
-    return rows.groupBy("label", "dim", "band", "prefix", "i", "j").applyInPandas(compare, "node long, links long, root long")
+    return rows.groupBy(*CELL, "i", "j").applyInPandas(compare, "node long, links long, root long")
 
 
 def near_duplicate_vectors(
@@ -206,22 +325,27 @@ def near_duplicate_vectors(
     """
     rows = df.select(
         F.col(f"`{id_column}`").cast("bigint").alias("vec_id"),
-        F.col(f"`{vector_column}`").cast("array<float>").alias("vector"),
-        F.col(f"`{label_column}`").cast("int").alias("label"),
+        F.col(f"`{vector_column}`").cast("array<double>").alias("vector"),
+        F.col(f"`{label_column}`").cast("string").alias("label"),  # whatever its type
     )
     able = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & _usable(F.col("vector"))
-    same = ["label", "vector"]
-    nodes = rows.where(able).groupBy(*same).agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
-    nodes = staged(nodes, "vectors")
+    grouped = rows.where(able).groupBy("label", "vector").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
+    # a vector by two hashes: rows find their group without moving it
+    marks = [F.xxhash64(F.lit(i), "vector").alias(f"h{i}") for i in (1, 2)]
+    nodes = staged(grouped.select("*", *marks), "vectors")
     found = staged(vector_links(nodes, threshold, **params), "vector-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected_components(found, "node", "root").withColumnRenamed("root", "class")
     ranked = (
-        nodes.join(links, "node", "left").join(roots, "node", "left")
-        .select(*same, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        nodes.select("label", "h1", "h2", "node", "copies").join(links, "node", "left").join(roots, "node", "left")
+        .select("label", "h1", "h2", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                 F.coalesce("class", "node").alias("component_id"))
     )
-    linked = rows.where(able).join(ranked, same).select("vec_id", "n_links", "component_id")
+    ranked = staged(ranked, "vector-classes")
+    discard(nodes)
+    discard(found)
+    same = ["label", "h1", "h2"]
+    linked = join_groups(rows.where(able).select("vec_id", "label", *marks), ranked, same, "copies").select("vec_id", "n_links", "component_id")
     alone = rows.where(~able).select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))
     return linked.unionAll(alone).withColumn("kept", kept)

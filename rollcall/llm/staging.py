@@ -51,6 +51,30 @@ def uniform(*parts: Column | int) -> Column:
     return (top.cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
+#: A group is large if it has more than this share of all rows.
+LARGE_SHARE = 1e-3
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """``rows`` with the columns of ``groups``, which has one row per value of
+    ``keys`` (no nulls) and in ``size`` the number of ``rows`` that share it.
+
+    Groups with more than ``LARGE_SHARE`` of all rows (at most 1 / share of
+    them) are broadcast and their rows stay where they are; only the others are
+    dealt by key. So no group, however large, meets in one task.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    values = [c for c in groups.columns if c not in keys]
+    large, rest, away = (free_name(rows, n) for n in ("group_large", "group_rest", "group_away"))
+    many = F.col(size) > max(1000, total * LARGE_SHARE)
+    found = rows.join(F.broadcast(groups.where(many).select(*keys, F.struct(*values).alias(large))), keys, "left")
+    # rows that have their group already look for a key that is nobody's
+    found = found.withColumn(away, F.when(F.col(large).isNotNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1)))
+    others = groups.where(~many).select(*keys, F.lit(-1).cast("bigint").alias(away), F.struct(*values).alias(rest))
+    out = found.join(others, [*keys, away], "left")
+    return out.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.coalesce(F.col(f"{large}.{v}"), F.col(f"{rest}.{v}")).alias(v) for v in values])
+
+
 def worker_state() -> dict:
     """A dictionary that lives as long as the Python worker process. (Functions
     here are pickled by value, so their module globals last for one task.)"""

@@ -154,6 +154,8 @@ def test_vectors_match_brute_force(spark, monkeypatch):
     want = {(i, links[i], root[i], root[i] == i) for i in range(len(rows))} | {(None, 0, None, False)}
     for tile in (2048, 4):
         monkeypatch.setattr(embeddings, "TILE", tile)
+        monkeypatch.setattr(embeddings, "SIZED", 1 if tile < 9 else 16)
+        monkeypatch.setattr(embeddings, "UNIT", 3 if tile < 9 else 512)
         got = embeddings.near_duplicate_vectors(df).collect()
         assert len(got) == df.count() and {tuple(r) for r in got} == want
     assert embeddings.near_duplicate_vectors(df.limit(0)).count() == 0
@@ -176,3 +178,35 @@ def test_bounds_hold(spark):
     assert abs((estimate - true).mean()) < 0.003
     bound = np.sqrt(1 / factor**2 - 1) * np.sqrt(1 - true**2) * 6 / math.sqrt(dim - 1)
     assert (np.abs(estimate - true) <= bound + 1e-9).all()
+
+
+def test_few_pairs_at_the_threshold_differ_in_more_bits():
+    rng = np.random.default_rng(5)
+    bits = 128
+    limit = embeddings.most_differing(bits, 0.98, 1e-6)
+    a = rng.standard_normal((20_000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    other = rng.standard_normal((20_000, 64))
+    other -= (a * other).sum(axis=1, keepdims=True) * a
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    b = 0.98 * a + math.sqrt(1 - 0.98**2) * other
+    turn = embeddings.rotations(64, bits, 1)
+    differing = ((a @ turn > 0) != (b @ turn > 0)).sum(axis=1)
+    assert differing.max() <= limit and ((a[:-1] @ turn > 0) != (a[1:] @ turn > 0)).sum(axis=1).min() > limit
+
+
+def test_label_of_any_type_and_double_precision(spark):
+    near = math.cos(math.acos(0.98) + 1e-9)  # beyond single precision of the threshold
+    rows = [(1, [1.0, 0.0], "a"), (2, [near, math.sqrt(1 - near**2)], "a"), (3, [1.0, 0.0], "b"), (4, [0.99, math.sqrt(1 - 0.99**2)], "b")]
+    got = embeddings.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()
+    assert {tuple(r) for r in got} == {(1, 0, 1, True), (2, 0, 2, True), (3, 1, 3, True), (4, 1, 3, False)}
+
+
+def test_join_groups_keeps_large_groups_in_place(spark):
+    from rollcall.llm.staging import join_groups
+
+    rows = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 50).alias("k"), F.lit(1).alias("group_large"))
+    groups = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
+    got = join_groups(rows, groups, ["k"], "n")
+    want = rows.join(groups, "k").select("id", "k", "group_large", "n", "top")
+    assert got.columns == want.columns and got.exceptAll(want).count() == 0 and got.count() == 9000
