@@ -12,7 +12,7 @@ the format can be read back exactly.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,44 @@ from pyspark.sql import functions as F
 from .staging import free_name
 
 HEAD, HEAD_END, PART, END = "<s:", ">", "<+>", "</s>"
+#: Pieces whose offsets are added up one after the other, and code points of a
+#: cut of the formatted text: work grows with the turns, not with their square.
+RUN, CUT = 256, 4096
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, where ``value`` is worked out once, however often and
+    deep in other lambdas it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _spans(sizes: Column) -> Column:
+    """``start, end`` of the loss bodies, from the pieces' ``lead, body, tail``
+    lengths: per run of pieces, from where the runs before it end."""
+
+    def run_spans(run: Column, start: Column) -> Column:
+        return F.aggregate(
+            run,
+            F.struct(start.alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans")),
+            lambda acc, x: F.struct(
+                (acc["at"] + x["lead"] + x["body"] + x["tail"]).alias("at"),
+                F.when(x["loss"], F.concat(acc["spans"], F.array(F.struct(
+                    (acc["at"] + x["lead"]).alias("start"), (acc["at"] + x["lead"] + x["body"]).alias("end"),
+                )))).otherwise(acc["spans"]).alias("spans"),
+            ),
+            lambda acc: acc["spans"],
+        )
+
+    def of_runs(runs: Column) -> Column:
+        lengths = F.transform(runs, lambda r: F.aggregate(r, F.lit(0).cast("bigint"), lambda n, x: n + x["lead"] + x["body"] + x["tail"]))
+        starts = F.aggregate(lengths, F.array(F.lit(0).cast("bigint")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+        return F.flatten(F.zip_with(runs, F.slice(starts, 1, F.size(runs)), run_spans))
+
+    def of_sizes(all_sizes: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(all_sizes), F.lit(1)), F.lit(RUN))
+        return _let(F.transform(firsts, lambda i: F.slice(all_sizes, i, RUN)), of_runs)
+
+    return _let(sizes, of_sizes)
 
 
 def escape(text: Column) -> Column:
@@ -73,21 +111,10 @@ def format_conversations(df: DataFrame, loss_roles: Sequence[str] = ("assistant"
         .withColumn("turns_after", F.concat(F.slice(roles, 2, F.size(roles)), none))
         .select("conv_id", pieces.alias("p"))
     )
-    # running offsets: each piece starts where the lengths before it end
-    walk = F.aggregate(
-        "p",
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["lead"]) + F.length(x["body"]) + F.length(x["tail"])).alias("at"),
-            F.when(x["loss"], F.concat(acc["spans"], F.array(F.struct(
-                (acc["at"] + F.length(x["lead"])).alias("start"),
-                (acc["at"] + F.length(x["lead"]) + F.length(x["body"])).alias("end"),
-            )))).otherwise(acc["spans"]).alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
+    sizes = F.transform("p", lambda x: F.struct(
+        *[F.length(x[c]).cast("bigint").alias(c) for c in ("lead", "body", "tail")], x["loss"].alias("loss")))
     whole = F.array_join(F.transform("p", lambda x: F.concat(x["lead"], x["body"], x["tail"])), "")
-    return grouped.select("conv_id", whole.alias("formatted"), walk.alias("loss_spans"))
+    return grouped.select("conv_id", whole.alias("formatted"), _spans(sizes).alias("loss_spans"))
 
 
 def read_turns(formatted: Column) -> Column:
@@ -105,8 +132,15 @@ def read_turns(formatted: Column) -> Column:
 
 def loss_text(formatted: Column, spans: Column) -> Column:
     """All text under the loss mask, unescaped, with nothing between."""
-    part = lambda s: F.substring(formatted, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
-    return unescape(F.array_join(F.transform(spans, part), ""))
+
+    def part(cuts: Column, s: Column) -> Column:
+        first = F.floor(s["start"] / CUT).cast("int")
+        last = F.floor(F.greatest(s["end"] - 1, s["start"]) / CUT).cast("int")
+        near = F.array_join(F.slice(cuts, first + 1, last - first + 1), "")
+        return F.substring(near, (s["start"] - first * CUT + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
+
+    cuts = F.split(formatted, f"(?s)(?<=\\G.{{{CUT}}})", -1)
+    return _let(cuts, lambda c: unescape(F.array_join(F.transform(spans, lambda s: part(c, s)), "")))
 
 
 def conversation_digest(df: DataFrame) -> DataFrame:
