@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .staging import staged, uniform
+from .staging import free_name, join_groups, staged, uniform
 
 #: Fractions folded in one group of the reduction tree.
 FAN_IN = 64
@@ -209,16 +209,28 @@ def mix_sources(
 def repeat_rows(df: DataFrame, mixed: DataFrame) -> DataFrame:
     """The rows of ``df``, each as often as ``mixed`` (of the same rows) says.
 
-    Equal rows are matched one to one by a row number; every column of ``df``
-    is kept.
+    Rows that are equal in ``doc_id, source, text`` share the copies of all of
+    them as evenly as can be; every column of ``df`` is kept. Only such rows'
+    hashes and places are numbered, first within a partition and then over the
+    partitions' counts, so a row that fills a third of the table is in no one
+    task. ``df`` is read more than once and must have its rows in the same
+    places each time, as a stored table has.
     """
-    key = [F.xxhash64("doc_id", "source", "text").alias("row_hash"), F.struct("*").alias("row")]
-    same = Window.partitionBy("row_hash").orderBy("copies")
-    ours = Window.partitionBy("row_hash").orderBy(F.xxhash64("row"))
-    counts = mixed.select("row_hash", "copies").withColumn("k", F.row_number().over(same)).where("copies > 0")
-    rows = df.select(*key).withColumn("k", F.row_number().over(ours))
-    return (
-        rows.join(counts, ["row_hash", "k"])
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select("row.*")
-    )
+    names = [free_name(df, n) for n in ("row_hash", "row_place", "row_total", "row_equals", "row_number")]
+    key, place, total, equals, number = names
+    sums = mixed.groupBy(F.col("row_hash").alias(key)).agg(F.sum("copies").alias(total), F.count(F.lit(1)).alias(equals))
+    rows = df.withColumn(key, F.xxhash64("doc_id", "source", "text")).withColumn(place, F.monotonically_increasing_id())
+    rows = join_groups(rows, sums.where(F.col(total) > 0), [key], equals).where(F.col(total) > 0)
+    many = rows.where(F.col(equals) > 1).select(key, place).withColumn("part", F.shiftright(place, 33))
+    inside = many.withColumn("k", F.row_number().over(Window.partitionBy(key, "part").orderBy(place)))
+    before = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = many.groupBy(key, "part").agg(F.count(F.lit(1)).alias("n")).select(
+        key, "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    numbers = inside.join(offsets, [key, "part"]).select(key, place, (F.col("offset") + F.col("k")).alias(number))
+    shared = rows.where(F.col(equals) > 1).join(numbers, [key, place])
+    share = F.floor(F.col(total) / F.col(equals))
+    copies = share + F.when(F.col(number) <= F.col(total) - share * F.col(equals), F.lit(1)).otherwise(F.lit(0))
+    out = rows.where(F.col(equals) == 1).select(*[F.col(f"`{c}`") for c in df.columns], F.col(total).alias(number)).unionAll(
+        shared.select(*[F.col(f"`{c}`") for c in df.columns], copies.alias(number)))
+    out = out.where(F.col(number) > 0).withColumn(place, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(number).cast("bigint"))))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])

@@ -152,3 +152,35 @@ def test_conversations_read_back(spark):
         assert got[r.conv_id].formatted_chars == len(r.formatted)
         for span in r.loss_spans:
             assert "<" not in r.formatted[span.start : span.end]
+
+
+def test_a_row_that_fills_a_third_of_the_table_is_repeated(spark):
+    rows = [(i, f"some words {i}", "a", 1) for i in range(800)] + [(5000, "the very same words", "a", 2)] * 400 + [(5001, "another pair", "b", i) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, row_place int").repartition(5)
+    from rollcall.llm.staging import staged
+
+    df = staged(df, "test-third")
+    mixed = staged(mixing.mix_sources(df), "test-mixed")
+    out = mixing.repeat_rows(df, mixed)
+    assert out.columns == df.columns
+    want = {r[0]: r[1] for r in mixed.groupBy("doc_id").sum("copies").collect()}
+    got = {r[0]: r[1] for r in out.groupBy("doc_id").count().collect()}
+    assert got == {k: v for k, v in want.items() if v}
+    kinds = [r[0] for r in out.where("doc_id = 5001").groupBy("row_place").count().select("count").collect()]
+    assert not kinds or max(kinds) - (min(kinds) if len(kinds) == 3 else 0) <= 1  # shared as evenly as can be
+
+
+def test_long_conversations_cost_in_proportion(spark):
+    import time
+
+    def seconds(n):
+        df = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+                                   F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.repeat(F.lit("words <&> "), 12).alias("text"))
+        start = time.time()
+        row = chat.conversation_digest(df).collect()[0]
+        assert row.n_turns == n and row.loss_chars == n // 2 * 120
+        return time.time() - start
+
+    seconds(2000)
+    small, large = min(seconds(4000) for _ in range(2)), seconds(32_000)
+    assert large < 30 * small + 5  # eight times the turns; far from 64 times
