@@ -32,8 +32,9 @@ DENSE = 16
 #: Chance that a term is in a given subset of the others: one in so many, by
 #: turns. Thin subsets tell long texts apart, denser ones short texts.
 THIN = (128, 512, 2048)
-#: A text with fewer terms of the band, or with a smaller share of its distinct
-#: terms in the band, is fingerprinted by all its terms.
+#: For a text with fewer terms of the band, or with a smaller share of its
+#: distinct terms in the band, the subsets are drawn from all terms, and all of
+#: them are halves: thin ones would hold a single term of a short text.
 FEW, LEAST_SHARE = 8, 0.5
 #: Document shares of the band: idf between ln(1/HIGH) and ln(1/LOW).
 LOW, HIGH = 1e-3, 0.5
@@ -75,38 +76,47 @@ class Lexicon:
         self.terms = sorted(band)
         self.index = {t: i for i, t in enumerate(self.terms)}
         self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.terms), np.uint64, len(self.terms))
+        self.seed = seed
+        self.outside: dict[str, np.ndarray] = {}
         if draw is not None:
             self.draw = draw
             return
-        draw = np.empty((len(self.index), SUBSETS), bool)
-        for t, i in self.index.items():
-            # a subset is a rule on the term itself, so it does not depend on the other terms
-            raw = b"".join(hashlib.blake2b(t.encode(), digest_size=64, salt=bytes([seed, k])).digest() for k in range(SUBSETS // 32))
+        self.draw = np.array([self.rule(t)[0] for t in self.terms], bool).reshape(-1, SUBSETS)
+
+    def rule(self, term: str) -> tuple[np.ndarray, np.ndarray]:
+        """The subsets that ``term`` is in, and those if all were halves: rules
+        on the term itself, which depend on no other term nor on the lexicon."""
+        found = self.outside.get(term)
+        if found is None:
+            raw = b"".join(hashlib.blake2b(term.encode(), digest_size=64, salt=bytes([self.seed, k])).digest() for k in range(SUBSETS // 32))
             u = np.frombuffer(raw, ">u2")
-            draw[i] = u % np.resize(THIN, SUBSETS) == 0
-            draw[i, :DENSE] = u[:DENSE] & 1
-            draw[i, 1:DENSE:2] = ~draw[i, :DENSE:2]
-        self.draw = draw
+            halves = (u & 1).astype(bool)
+            halves[1::2] = ~halves[::2]
+            found = np.where(np.arange(SUBSETS) < DENSE, halves, u % np.resize(THIN, SUBSETS) == 0), halves
+            if len(self.outside) >= MEMO // 10:
+                self.outside.clear()
+            self.outside[term] = found
+        return found
 
     def fingerprint(self, text: str | None) -> list[str]:
         found = terms(text)
         index = self.index
         hit = np.array(sorted([index[t] for t in found if t in index]), np.int64)
-        out = [NONE] * SUBSETS
-        few = len(hit) < max(FEW, LEAST_SHARE * len(found))
-        if not few:
-            chosen = np.ascontiguousarray(self.draw[hit].T)
-            rows = np.nonzero(chosen)[1]
-            # the terms of a subset by their hashes, in order of the terms
-            raw, start = self.hashes[hit[rows]].tobytes(), 0
-            for k, n in enumerate(chosen.sum(axis=1).tolist()):
-                if n:
-                    out[k] = xxhash.xxh32_hexdigest(raw[start : start + 8 * n], k)
-                start += 8 * n
+        if len(hit) >= max(FEW, LEAST_SHARE * len(found)):
+            hashes, draw = self.hashes[hit], self.draw[hit]
         else:
-            # too few terms of the lexicon: the sorted distinct terms as a whole
-            whole = xxhash.xxh64_hexdigest("\n".join(sorted(found)))
-            out = [xxhash.xxh32_hexdigest(whole, k) for k in range(SUBSETS)]
+            # too few terms of the lexicon: halves of all terms
+            names = sorted(found)
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
+            draw = np.array([self.rule(t)[1] for t in names], bool).reshape(-1, SUBSETS)
+        out = [NONE] * SUBSETS
+        chosen = np.ascontiguousarray(draw.T)
+        # the terms of a subset by their hashes, in order of the terms
+        raw, start = hashes[np.nonzero(chosen)[1]].tobytes(), 0
+        for k, n in enumerate(chosen.sum(axis=1).tolist()):
+            if n:
+                out[k] = xxhash.xxh32_hexdigest(raw[start : start + 8 * n], k)
+            start += 8 * n
         return out
 
 
@@ -156,7 +166,8 @@ def _in_id_ranges(df: DataFrame, parts: int) -> DataFrame:
     guests = heads.select("doc_id", "tie", "text", before[F.col("range_no")].alias("range_no"), F.lit(False).alias("real"))
     both = rows.withColumn("real", F.lit(True)).unionByName(guests)
     last = F.struct((~F.col("real")).alias("x"), F.col("doc_id").isNotNull().alias("a"), "doc_id", "tie")
-    return both.repartition(parts, "range_no").sortWithinPartitions("range_no", last)
+    # a range is a task: their numbers are the partitions'
+    return both.repartitionById(parts, F.col("range_no")).sortWithinPartitions("range_no", last)
 
 
 def fingerprint_documents(df: DataFrame, lexicon: Lexicon | None = None) -> DataFrame:
@@ -166,10 +177,10 @@ def fingerprint_documents(df: DataFrame, lexicon: Lexicon | None = None) -> Data
     The next document is the one with the next id; equal ids are ordered by
     text hash, null ids come first, and the last one's next is the first. A
     null text counts as empty. A fingerprint is 96 parts of 8 hex digits
-    (``--------``: no term of that subset). A text with fewer than ``FEW``
+    (``--------``: no term of that subset). For a text with fewer than ``FEW``
     terms of the lexicon, or with less than ``LEAST_SHARE`` of its terms there,
-    is fingerprinted by all its terms. Each text is shuffled once, to
-    ranges of ids. An empty table gives no rows.
+    the subsets are random halves of all its terms. Each text is shuffled once,
+    to ranges of ids. An empty table gives no rows.
     """
     spark = df.sparkSession
     lexicon = lexicon or build_lexicon(df)

@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from rollcall.llm import bpe, fingerprints, lm, pii, queries, toxicity
@@ -260,6 +261,32 @@ def test_colliding_draws_are_redrawn(spark, monkeypatch):
     assert not {r.surrogate.lower() for r in got} & {n for _, n in names}
 
 
+def imatch(text, band):
+    """The fingerprint from its definition: per subset, the hashes of its
+    sorted terms, joined and hashed."""
+    found = {x for x in re.findall(r"[^\W_]+", (text or "").lower())}
+    used = sorted(found & band)
+    few = len(used) < max(8, len(found) / 2)
+    if few:
+        used = sorted(found)
+
+    def draws(term, k):
+        raw = hashlib.blake2b(term.encode(), digest_size=64, salt=bytes([8, k // 32])).digest()
+        return int.from_bytes(raw[2 * (k % 32) : 2 * (k % 32) + 2], "big")
+
+    def inside(term, k):
+        if k < 16 or few:  # a random half, and the other half
+            return draws(term, k - k % 2) & 1 == (k + 1) % 2
+        return draws(term, k) % (128, 512, 2048)[k % 3] == 0
+
+    out = []
+    for k in range(96):
+        mine = [x for x in used if inside(x, k)]
+        joined = b"".join(xxhash.xxh64_intdigest(x).to_bytes(8, "little") for x in mine)
+        out.append(xxhash.xxh32_hexdigest(joined, k) if mine else "-" * 8)
+    return out
+
+
 def test_fingerprints_match_brute_force(spark):
     rng = random.Random(4)
     words = [f"term{i}" for i in range(400)]
@@ -276,7 +303,7 @@ def test_fingerprints_match_brute_force(spark):
         t, following = t or "", rows[(k + 1) % len(rows)][1] or ""
         half = len(t) // 2
         other = t[: len(t) - half] + following[:half]
-        mine, theirs, changed = (lexicon.fingerprint(x) for x in (t, following, other))
+        mine, theirs, changed = (imatch(x, set(lexicon.terms)) for x in (t, following, other))
         r = got[i]
         assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(t), sha(other), "".join(mine), "".join(changed))
         assert r.near_edited == fingerprints.likeness(mine, changed) and r.near_next == fingerprints.likeness(mine, theirs)
@@ -298,6 +325,9 @@ def test_every_term_counts_in_some_fingerprint():
     # one shared term of the band does not make texts alike
     a, b = (lexicon.fingerprint("term7 " + " ".join(f"{k}rare{i}" for i in range(20))) for k in "ab")
     assert a != b and fingerprints.likeness(a, b) == 0
+    # a rare term changed in a text without terms of the band leaves some likeness
+    a, b = (lexicon.fingerprint(" ".join(f"rare{i}" for i in range(12)) + f" {k}") for k in "ab")
+    assert 0 < fingerprints.likeness(a, b) < 1
     a, b = (lexicon.fingerprint(" ".join(band[:10]) + " " + " ".join(f"{k}rare{i}" for i in range(40))) for k in "ab")
     assert a != b
 
