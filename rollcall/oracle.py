@@ -200,6 +200,12 @@ def oracle_sql() -> dict[str, str]:
     lvl_la = "geographic_level = 'Local authority' AND school_type = 'Total'"
     out: dict[str, str] = {}
     out["build_fact"] = _with("SELECT * FROM absence")
+    spoilt = f"geographic_level = 'Regional' AND {_years(P.SPOILT_YEAR)}"
+    out["csv_accepted"] = _with(f"SELECT * FROM absence WHERE NOT ({spoilt})")
+    out["csv_rejects"] = _with(
+        "SELECT 'enrolments' AS \"column\", CAST(enrolments AS VARCHAR) || '?' AS text, count(*) AS n "
+        f"FROM absence WHERE {spoilt} GROUP BY enrolments"
+    )
     for name in ("fact_by_periods", "fact_of_stored_star", "fact_of_increments"):
         out[name] = out["build_fact"]
     out["fact_one_per_key"] = _with(

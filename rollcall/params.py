@@ -28,3 +28,5 @@ PAGE_AFTER = (1885, "NATION_15")
 PERIOD_YEARS = [2012, 2013, 2014, 2015, 2016, 2017, 2018]
 # The year that is loaded a second time into a stored table.
 RELOADED_YEAR = 2016
+# The year whose regional enrolments are spoilt in the rough CSV files.
+SPOILT_YEAR = 2015

@@ -29,7 +29,7 @@ from .operators import (
 from .plans import charts, comparison, links, places, regions
 from .schema import FIELD_SETS, GRAIN, LOCAL_AUTHORITY, NATIONAL, REGIONAL, TOTAL
 from .session import scratch_path
-from .sources import absence, derive_fact, increment, load_fact, periods, read_fact, read_fact_csv, read_star, star_store, write_fact, write_fact_csv
+from .sources import absence, derive_fact, increment, load_fact, periods, read_checked, read_fact, read_fact_csv, read_star, star_store, write_fact, write_fact_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,6 +117,30 @@ def fact_one_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.join(out, "geographic_level", "left").select("geographic_level", "stored", F.coalesce("kept_out", F.lit(0)).alias("kept_out"))
 
 
+def _rough_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The table as CSV files of two headers (the second: columns reversed and
+    one more), with a count that is no number in one level and year."""
+    fact = absence(spark, sf_dir)
+    spoilt = (F.col("geographic_level") == REGIONAL) & F.col("time_period").between(P.SPOILT_YEAR * 100, P.SPOILT_YEAR * 100 + 99)
+    rough = fact.withColumn("enrolments", F.when(spoilt, F.concat(F.col("enrolments").cast("string"), F.lit("?"))).otherwise(F.col("enrolments").cast("string")))
+    folder = scratch_path(spark, "rough-csv")
+    national = F.col("geographic_level") == NATIONAL
+    write_fact_csv(rough.where(national), folder)
+    write_fact_csv(rough.where(~national).select(*reversed(rough.columns), F.lit("x").alias("remark")), folder, mode="append")
+    return folder
+
+
+def csv_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of rough CSV files that can be read."""
+    return read_checked(spark, _rough_csv(spark, sf_dir))[0].drop("remark")
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Their rejects: bad cells and their number, by column and text."""
+    rejects = read_checked(spark, _rough_csv(spark, sf_dir))[1]
+    return rejects.groupBy("column", "text").agg(F.count_distinct("file", "row").alias("n"))
+
+
 def _stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     path = star_store.store_star(read_star(spark, sf_dir), scratch_path(spark, "star"), int(spark.conf.get("spark.sql.shuffle.partitions")))
     return star_store.open_star(spark, path)
@@ -208,6 +232,8 @@ def queries() -> dict[str, Query]:
             "chart_heatmap": _on_rates(charts.chart_heatmap),
             "load_roundtrip": load_roundtrip,
             "load_fact": load_fact_stored,
+            "csv_accepted": csv_accepted,
+            "csv_rejects": csv_rejects,
             "fact_by_periods": fact_by_periods,
             "fact_one_per_key": fact_one_per_key,
             "fact_of_stored_star": fact_of_stored_star,

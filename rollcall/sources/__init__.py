@@ -2,6 +2,7 @@
 derivation from the star-schema test tables."""
 
 from . import increment, periods, star_store
+from .csv_checked import read_checked
 from .fact_io import load_fact, read_fact, read_fact_csv, stage_fact, write_fact, write_fact_csv
 from .star import absence, derive_fact, read_star
 
@@ -11,6 +12,7 @@ __all__ = [
     "increment",
     "load_fact",
     "periods",
+    "read_checked",
     "read_fact",
     "read_fact_csv",
     "read_star",

@@ -18,19 +18,23 @@ SUPPRESSION_MARKERS = ("", "x", "c", "z", "k", "u", ":", "..", ".", "-", "~", "l
 GROUPED_NUMBER = r"^[+-]?\d{1,3}(,\d{3})+(\.\d+)?$"
 
 
-def numeric_cell(name: str, kind: T.DataType, markers: Sequence[str] = SUPPRESSION_MARKERS) -> Column:
-    """The number in a text cell. A marker or an empty cell is null; thousands
-    separators and, in a count, a zero fraction are accepted (``1,234``,
-    ``12.0``); any other text raises an error that names column and value."""
-    cell = F.trim(F.col(f"`{name}`"))
+def number_or_null(cell: Column, kind: T.DataType) -> Column:
+    """The number in trimmed text, null where there is none. Thousands
+    separators and, in a count, a zero fraction are accepted (``1,234``, ``12.0``)."""
     plain = F.when(cell.rlike(GROUPED_NUMBER), F.replace(cell, F.lit(","), F.lit(""))).otherwise(cell)
     if isinstance(kind, T.DoubleType):
-        number = plain.try_cast(kind)
-    else:
-        number = F.regexp_replace(plain, r"^([+-]?\d+)\.0*$", "$1").try_cast(kind)
+        return plain.try_cast(kind)
+    return F.regexp_replace(plain, r"^([+-]?\d+)\.0*$", "$1").try_cast(kind)
+
+
+def numeric_cell(name: str, kind: T.DataType, markers: Sequence[str] = SUPPRESSION_MARKERS) -> Column:
+    """The number in a text cell. A marker or an empty cell is null; any other
+    text that is no number (:func:`number_or_null`) raises an error that names
+    column and value."""
+    cell = F.trim(F.col(f"`{name}`"))
     bad = F.raise_error(F.concat(F.lit(f"column {name}: not a number or a known marker: "), cell)).cast(kind)
     empty = cell.isNull() | F.lower(cell).isin([m.lower() for m in markers])
-    return F.when(empty, F.lit(None).cast(kind)).otherwise(F.coalesce(number, bad)).alias(name)
+    return F.when(empty, F.lit(None).cast(kind)).otherwise(F.coalesce(number_or_null(cell, kind), bad)).alias(name)
 
 
 def read_fact_csv(

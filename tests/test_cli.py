@@ -40,3 +40,11 @@ def test_explain_prints_plans(spark, capsys):
     assert main(["--star", SF_SMALL, "--explain", "search_unauth", "--year", "2018", "--by", "la"]) == 0
     out = capsys.readouterr().out
     assert "== page" in out and "TakeOrderedAndProject" in out and "PartitionFilters" in out
+
+
+@pytest.mark.parametrize("rows", [4, 7])
+def test_rows_limits_what_is_printed(spark, capsys, rows):
+    assert main(["--star", SF_SMALL, "--rows", str(rows), "search_unauth", "--year", "2018", "--by", "la", "--page-size", "20"]) == 0
+    page = capsys.readouterr().out.split("== page")[1].split("==")[0]
+    assert sum("NATION_" in line for line in page.splitlines()) == rows  # of 20
+    assert f"only showing top {rows} rows" in page

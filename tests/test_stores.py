@@ -160,3 +160,36 @@ def test_a_delta_without_rows_and_a_known_order(spark, fact, tmp_path):
     assert rows_of(increment.fact(spark, path, tables)) == rows_of(fact)  # the lost load is not seen
     with pytest.raises(ValueError, match="holds a state already"):
         increment.create(tables, path)
+
+
+def test_csv_files_of_different_headers_with_rejects(spark, make_fact, tmp_path):
+    from rollcall.schema import FACT_COLUMNS
+    from rollcall.sources import read_checked
+
+    def line(columns, **cells):
+        return ",".join(str(cells.get(c, "")) for c in columns)
+
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    swapped = ["remark", *reversed(FACT_COLUMNS)]
+    good = [line(FACT_COLUMNS, time_period=201617, la_name="A", enrolments=i) for i in range(4000)]
+    good[1700] = line(FACT_COLUMNS, time_period="2016/17", la_name="A", enrolments="x")  # x is a marker, the period is not
+    good[3999] = line(FACT_COLUMNS, time_period=201617, enrolments="4o", sess_possible="many")
+    (folder / "a.csv").write_text("\n".join([",".join(FACT_COLUMNS), *good]) + "\n")
+    (folder / "b.csv").write_text("\n".join([",".join(swapped), line(swapped, time_period=201718, la_name="B", enrolments="1", remark="seen")]) + "\n")
+    (folder / "c.csv").write_text("\n".join(["﻿" + ",".join(FACT_COLUMNS), line(FACT_COLUMNS, time_period=201819, la_name="C"), "1,2"]) + "\n")
+    (folder / "empty.csv").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")  # several splits a file
+    try:
+        accepted, rejects = read_checked(spark, str(folder))
+        got = sorted((r.file.rsplit("/", 1)[1], r.row, r.column, r.text) for r in rejects.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [("a.csv", 1701, "time_period", "2016/17"), ("a.csv", 4000, "enrolments", "4o"), ("a.csv", 4000, "sess_possible", "many"),
+                   ("c.csv", 2, None, "1,2")]
+    rows = accepted.select("time_period", "la_name", "enrolments", "remark").collect()
+    assert len(rows) == 3998 + 1 + 1
+    assert sorted((tuple(r) for r in rows if r.la_name != "A"), key=repr) == [(201718, "B", 1, "seen"), (201819, "C", None, None)]
+    (folder / "d.csv").write_text("time_period,la_name\n1,2\n")
+    with pytest.raises(ValueError, match="missing"):
+        read_checked(spark, str(folder))
