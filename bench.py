@@ -26,6 +26,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "too
 
 from rollcall import params as P  # noqa: E402
 from rollcall.plans import links, regions, reports  # noqa: E402
+from rollcall.schema import REGIONAL  # noqa: E402
 from rollcall.session import local_session  # noqa: E402
 from rollcall.sources import absence, stage_fact  # noqa: E402
 from shuffle_bytes import actions_by_job_group, shuffle_by_job_group  # noqa: E402
@@ -126,7 +127,8 @@ def main() -> None:
         times,
         errors,
         "e2e_explore_link",
-        lambda: links.key_findings(links.region_type_rates(absence(spark, sf_dir), P.LINK_YEAR)).collect(),
+        # the derivation's scope as the registered query gives it
+        lambda: links.key_findings(links.region_type_rates(absence(spark, sf_dir, [P.LINK_YEAR], [REGIONAL]), P.LINK_YEAR)).collect(),
     )
 
     spark.stop()
