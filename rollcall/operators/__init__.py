@@ -6,6 +6,7 @@ from .filters import filter_fact, filter_members, filter_year
 from .grouped import pick, query, resolve_fields
 from .joins import join_dimension
 from .paging import page, page_after, row_count
+from .pivot_map import map_cells, map_columns, pivot_map
 from .ranking import check_grain, top_k_per_group
 
 __all__ = [
@@ -19,10 +20,13 @@ __all__ = [
     "has_any",
     "join_dimension",
     "lower_wins",
+    "map_cells",
+    "map_columns",
     "members_exist",
     "page",
     "page_after",
     "pick",
+    "pivot_map",
     "query",
     "resolve_fields",
     "row_count",

@@ -232,6 +232,19 @@ def oracle_sql() -> dict[str, str]:
         "SELECT count(DISTINCT la_name) AS n_la_name, count(DISTINCT school_type) AS n_school_type, "
         "count(DISTINCT region_name) AS n_region_name FROM absence"
     )
+    first = (P.RANKED["page_number"] - 1) * P.RANKED["page_size"]
+    out["ranked_page"] = _with(
+        "SELECT * FROM (SELECT la_name, time_period, school_type, sess_overall, enrolments, row_number() OVER "
+        "(ORDER BY sess_overall DESC NULLS LAST, la_name, time_period, school_type) AS rank "
+        "FROM absence WHERE geographic_level = 'Local authority') "
+        f"WHERE rank > {first} AND rank <= {first + P.RANKED['page_size']}"
+    )
+    out["la_enrolment_map"] = _with(
+        "SELECT time_period, school_type, count(*) AS n_las, string_agg(la_name || '=' || CAST(enrolments AS VARCHAR), ';' ORDER BY la_name) "
+        "AS enrolments FROM absence WHERE geographic_level = 'Local authority' GROUP BY time_period, school_type"
+    )
+    out["stored_catalog_la"] = _with("SELECT la_name, count(*) AS rows FROM absence WHERE la_name IS NOT NULL GROUP BY la_name")
+    out["stored_catalog_size"] = out["catalog_size"]
     prefixes = sorted({p.strip().lower() for p in P.PREFIXES})
     out["search_prefix"] = _with(
         "SELECT p.prefix, a.la_name FROM (SELECT DISTINCT la_name FROM absence WHERE la_name IS NOT NULL) a "

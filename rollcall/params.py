@@ -24,6 +24,8 @@ TOP_K = 3
 GRAIN_WITHOUT_TYPE = ["time_period", "geographic_level", "region_name", "la_name"]
 # (absences, name) of the last row seen; the page that follows it.
 PAGE_AFTER = (1885, "NATION_15")
+# A page deep in the sort of all local-authority rows by absence sessions.
+RANKED = {"page_number": 9, "page_size": 25}
 # Start years of the periods in the given tables (oracle columns only).
 PERIOD_YEARS = [2012, 2013, 2014, 2015, 2016, 2017, 2018]
 # The year that is loaded a second time into a stored table.

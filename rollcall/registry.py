@@ -22,6 +22,7 @@ from .operators import (
     filter_members,
     filter_year,
     members_exist,
+    pivot_map,
     query,
     row_count,
     search_prefix,
@@ -29,9 +30,11 @@ from .operators import (
 from .plans import charts, comparison, links, places, regions
 from .schema import FIELD_SETS, GRAIN, LOCAL_AUTHORITY, NATIONAL, REGIONAL, TOTAL
 from .session import scratch_path
-from .sources import absence, derive_fact, increment, load_fact, periods, read_checked, read_fact, read_fact_csv, read_star, star_store, write_fact, write_fact_csv
+from .sources import absence, catalogs, derive_fact, increment, load_fact, periods, rank_index, read_checked, read_fact, read_fact_csv, read_star, star_store, write_fact, write_fact_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: What makes a local-authority row unique, in the order of a sort's ties.
+RANK_KEYS = ["la_name", "time_period", "school_type"]
 
 
 def _on_fact(op: Callable[[DataFrame], DataFrame], year=None, levels=None, types=None) -> Query:
@@ -171,6 +174,45 @@ def fact_of_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return increment.fact(spark, path, tables)
 
 
+def ranked_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page deep in the stored sort of all local-authority rows."""
+    rows = absence(spark, sf_dir, levels=[LOCAL_AUTHORITY]).select(*RANK_KEYS, "sess_overall", "enrolments")
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = rank_index.store_ranked(rows, scratch_path(spark, "fact-ranks"), "sess_overall", RANK_KEYS, ranges)
+    return rank_index.ranked_page(spark, path, **P.RANKED)
+
+
+def la_enrolment_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enrolments of every local authority by period and school type: the
+    pivot over all of them as a map, its cells as text in order of the name."""
+    wide = pivot_map(absence(spark, sf_dir, levels=[LOCAL_AUTHORITY]), "time_period", "school_type", pivot="la_name", fields="enrolments")
+    texts = F.transform(F.map_entries("cells"), lambda e: F.concat_ws("=", e["key"], e["value"]["enrolments"].cast("string")))
+    return wide.select("time_period", "school_type", F.size("cells").cast("bigint").alias("n_las"), F.array_join(texts, ";").alias("enrolments"))
+
+
+def _catalogued(spark: SparkSession, sf_dir: str) -> str:
+    """The whole table stored and catalogued; then one year is replaced by its
+    national rows alone, and by all of its rows again."""
+    table = scratch_path(spark, "fact-catalogs")
+    year = P.RELOADED_YEAR * 100 + (P.RELOADED_YEAR + 1) % 100
+    periods.replace_periods(spark, absence(spark, sf_dir), table)
+    catalogs.refresh_catalogs(spark, table)
+    for levels in ([NATIONAL], None):
+        periods.replace_periods(spark, absence(spark, sf_dir, years=[P.RELOADED_YEAR], levels=levels), table, [year])
+        catalogs.refresh_catalogs(spark, table)
+    return table
+
+
+def stored_catalog_la(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Local authorities and their rows, from the catalogs beside the table."""
+    return catalogs.stored_catalog(spark, _catalogued(spark, sf_dir), "la_name")
+
+
+def stored_catalog_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of the catalogs, from those beside the table."""
+    return catalogs.stored_sizes(spark, _catalogued(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "build_fact": _on_fact(lambda df: df),
@@ -239,6 +281,10 @@ def queries() -> dict[str, Query]:
             "fact_of_stored_star": fact_of_stored_star,
             "year_of_stored_star": year_of_stored_star,
             "fact_of_increments": fact_of_increments,
+            "ranked_page": ranked_page,
+            "la_enrolment_map": la_enrolment_map,
+            "stored_catalog_la": stored_catalog_la,
+            "stored_catalog_size": stored_catalog_size,
         }
     )
     return q
