@@ -119,7 +119,8 @@ def jobs_while(spark, build):
 
 
 STAGED = {"load_roundtrip", "load_fact", "region_overall_pivot", "region_overall_rounded", "fact_by_periods", "fact_one_per_key",
-          "fact_of_stored_star", "year_of_stored_star", "fact_of_increments", "csv_accepted", "csv_rejects"}
+          "fact_of_stored_star", "year_of_stored_star", "fact_of_increments", "csv_accepted", "csv_rejects",
+          "ranked_page", "stored_catalog_la", "stored_catalog_size"}
 
 
 def test_building_a_query_runs_no_job_and_scans_lineitem_once(spark):
