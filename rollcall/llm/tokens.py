@@ -38,12 +38,12 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .staging import shuffle_partitions, worker_state
 
-WORDS_KEPT = 400_000
+WORDS_KEPT = 800_000
 LONGEST_WORD = 64  # characters; longer words are encoded each time
 #: Words given to the tokenizer as one string.
 TOGETHER = 500
 #: Bytes of text that are encoded and handed to Spark together.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
 #: Parts up to which their table is broadcast (24 bytes a row).
 PARTS_BROADCAST = 1_000_000
 
@@ -55,6 +55,9 @@ _ODD = ["  ", *(f for c in _WHITE if c != " " for f in (" " + c, c + " "))]  # s
 _ODD_ASCII = [f for f in _ODD if f.isascii()]
 _CUT = re.compile(f"(?<![{''.join(_WHITE)}]) (?![{''.join(_WHITE)}])(?<!^ )(?!$)")
 _MARKS = ".,;:!?"
+_WHITE_BYTE, _WIDE_LEAD = np.zeros(256, bool), np.zeros(256, bool)
+_WHITE_BYTE[[ord(c) for c in _WHITE if c.isascii()]] = True
+_WIDE_LEAD[[c.encode()[0] for c in _WHITE if len(c.encode()) == 3]] = True
 
 
 class WordEncoder:
@@ -95,69 +98,121 @@ class WordEncoder:
             out |= {w: raw[a:b] for w, a, b in zip(group, edges[:-1], edges[1:], strict=True)}
         return out
 
-    def _tokens(self, words: set[str]) -> dict[str, bytes]:
-        """Tokens of ``words``, each with a space before it. Words of usual
-        length go into the store. When it is full, it becomes the old one,
-        from which words in use are taken over."""
+    def _tokens(self, words: list[str]) -> dict[str, bytes]:
+        """Tokens of distinct ``words``, each with a space before it. Words of
+        usual length go into the store. When it is full, it becomes the old
+        one, from which words in use are taken over."""
         if len(self.known) + len(words) > self.words_kept:
             self.old, self.known = self.known, {}
-        known, old, made = self.known, self.old, {}
-        new, parted = {}, []
-        for w in words:
-            got = old.get(w)
-            if got is not None:
-                made[w] = got
-                continue
-            stem = w.rstrip(_MARKS)
-            # marks behind a letter are a pre-token of their own
-            if len(stem) < len(w) and stem and stem[-1] < "\u0250" and stem[-1].isalpha():
-                parted.append((w, stem))
-                got = known.get(stem) or old.get(stem)
-                if got is not None:
-                    made[stem] = got
-                    continue
-                w = stem
-            new[w] = None
-        made |= self._after_space([w for w in new if " " not in w])
+        made = {w: t for w, t in zip(words, map(self.old.get, words), strict=True) if t is not None}
+        new = [w for w in words if w not in made]
         spaced = [w for w in new if " " in w]
-        made |= dict(zip(spaced, self._whole([" " + w for w in spaced]), strict=True))
-        ends = list({w[len(s) :] for w, s in parted})
-        marks = dict(zip(ends, self._whole(ends), strict=True))
-        for w, stem in parted:
-            made[w] = made[stem] + marks[w[len(stem) :]]
-        known |= {w: t for w, t in made.items() if len(w) <= LONGEST_WORD}
+        if spaced:
+            new = [w for w in new if " " not in w]
+            made |= dict(zip(spaced, self._whole([" " + w for w in spaced]), strict=True))
+        made |= self._after_space(new)
+        self.known |= made
+        for w in [w for w in made if len(w) > LONGEST_WORD]:
+            del self.known[w]
         return made
 
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of all texts in a row, and where each text's begin (and the
+        last one's end). Words are split, numbered and replaced by their tokens
+        as Arrow arrays; only distinct words are looked up."""
+        texts = pa.compute.fill_null(texts, "")
+        strings = texts.to_pylist()
+        if not self.by_word:
+            made = self._whole(strings)
+            return np.frombuffer(b"".join(made), self.kind), np.cumsum([0, *[len(m) // self.kind.itemsize for m in made]])
+        odd = np.zeros(len(strings), bool)
+        doubtful = _spaces_may_meet(texts)
+        odd[doubtful] = [_spaces_meet(strings[i]) for i in doubtful]
+        if not odd.any():
+            return self._of_words(pa.compute.split_pattern(texts, " "))
+        # the others first, then the odd ones, whose tokens go back to their places
+        split = pa.compute.split_pattern(texts.filter(pa.array(~odd)), " ")
+        cut = pa.array([_CUT.split(t) for t in compress(strings, odd)], split.type)
+        tokens, edges = self._of_words(pa.concat_arrays([split, cut]))
+        back = np.argsort(np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)]))
+        lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(tokens)).take(pa.array(back))
+        return lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+
+    def _of_words(self, words: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """``encode_batch`` for the words of each text (one at least)."""
+        edges = words.offsets.to_numpy().astype(np.int64)
+        coded = words.values.dictionary_encode()
+        at, distinct = coded.indices.to_numpy().copy(), coded.dictionary
+        # the first word of a text has no space before it
+        firsts, own = np.unique(at[edges[:-1]], return_inverse=True)
+        at[edges[:-1]] = len(distinct) + own
+        used = np.flatnonzero(np.bincount(at, minlength=len(distinct))[: len(distinct)])
+        named = _strings(distinct.take(pa.array(used)))
+        # marks behind a letter are a pre-token of their own, whose tokens follow the word's
+        marks, mark = {"": 0}, np.zeros(len(named), np.int64)
+        for i, w in enumerate(named):
+            if w and w[-1] in _MARKS:
+                stem = w.rstrip(_MARKS)
+                if stem and stem[-1] < "\u0250" and stem[-1].isalpha():
+                    named[i], mark[i] = stem, marks.setdefault(w[len(stem) :], len(marks))
+        found = list(map(self.known.get, named))
+        new = list(dict.fromkeys(compress(named, map(is_, found, repeat(None)))))
+        if new:
+            made = self._tokens(new)
+            found = [made[w] if t is None else t for w, t in zip(named, found, strict=True)]
+        found += self._whole(distinct.take(pa.array(firsts)).to_pylist()) + self._whole(list(marks))
+        # every word is two lists of tokens: its own, and its marks' (the first ones are none)
+        place = np.full((len(distinct) + len(firsts), 2), len(used) + len(firsts))
+        place[used, 0], place[used, 1] = np.arange(len(used)), place[0, 1] + mark
+        place[len(distinct) :, 0] = len(used) + np.arange(len(firsts))
+        ends = np.cumsum([0, *map(len, found)]) // self.kind.itemsize
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), self.kind)))
+        edges = 2 * edges
+        taken = lists.take(pa.array(place[at].ravel()))
+        return taken.values.to_numpy(), taken.offsets.to_numpy().astype(np.int64)[edges]
+
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """The tokens of each text, as packed unsigned integers."""
-        if not self.by_word:
-            return self._whole([t or "" for t in texts])
-        get = self.known.get
-        new: set[str] = set()
-        rows = []
-        for text in texts:
-            if not text:
-                rows.append(([""], [b""], []))
-                continue
-            words = _CUT.split(text) if _spaces_meet(text) else text.split(" ")
-            found = list(map(get, words))
-            found[0] = b""  # the first word has no space before it
-            at = list(compress(range(len(words)), map(is_, found, repeat(None)))) if None in found else []
-            new.update([words[i] for i in at])
-            rows.append((words, found, at))
-        made = self._tokens(new) if new else {}
-        firsts = list({words[0] for words, _, _ in rows})
-        first = dict(zip(firsts, self._whole(firsts), strict=True))
-        out = []
-        for words, found, at in rows:
-            for i in at:
-                found[i] = made[words[i]]
-            found[0] = first[words[0]]
-            out.append(b"".join(found))
-        return out
+        tokens, edges = self.encode_batch(pa.array(texts, pa.string()))
+        return [tokens[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
     def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(self.encode_all([text])[0], self.kind)
+        return self.encode_batch(pa.array([text], pa.string()))[0]
+
+
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 of all texts (none null) in a row, and where each one begins."""
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    edges = np.frombuffer(texts.buffers()[1], width)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return raw[edges[0] : edges[-1]], edges - edges[0]
+
+
+def _strings(texts: pa.Array) -> list[str]:
+    """``to_pylist`` for many short texts."""
+    raw, edges = _bytes(texts)
+    joined = raw.tobytes().decode()
+    if len(joined) < len(raw):  # places in characters, not bytes
+        edges = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[edges]
+    at = edges.tolist()
+    return [joined[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def _spaces_may_meet(texts: pa.Array) -> np.ndarray:
+    """Numbers of the texts that hold a space at an end, or next to a byte that
+    white space can begin or end with."""
+    raw, edges = _bytes(texts)
+    if not len(raw):
+        return np.empty(0, np.int64)
+    near = np.concatenate([np.full(3, 32, np.uint8), raw, np.full(1, 32, np.uint8)])
+    at = np.flatnonzero(raw == 32)
+    before, after = near[at + 2], near[at + 4]
+    wide = (before >= 0x80) & ((near[at + 1] == 0xC2) | _WIDE_LEAD[near[at]])
+    doubt = at[_WHITE_BYTE[before] | wide | _WHITE_BYTE[after] | _WIDE_LEAD[after] | (after == 0xC2)]
+    ends = np.flatnonzero(np.diff(edges))
+    ends = ends[(raw[edges[ends]] == 32) | (raw[edges[ends + 1] - 1] == 32)]
+    return np.union1d(np.searchsorted(edges, doubt, "right") - 1, ends)
 
 
 def _spaces_meet(text: str) -> bool:
@@ -197,14 +252,15 @@ def encode_in_order(ordered: DataFrame, tokenizer_path: str, end_id: int | None)
         # one encoder a worker process: later tasks go on with the words that it knows
         name = f"tokens-{zlib.crc32(spec.encode())}-{len(spec)}"
         encoder = worker_state().get(name) or worker_state().setdefault(name, WordEncoder(spec))
-        end = b"" if end_id is None else np.array([end_id], encoder.kind).tobytes()
         position = 0
         for batch in batches:
             texts = batch.column(2)
             for begin, stop in _groups(texts):
-                made = [m + end for m in encoder.encode_all(texts.slice(begin, stop - begin).to_pylist())]
-                edges = np.cumsum([0, *[len(m) // encoder.kind.itemsize for m in made]], dtype=np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.frombuffer(b"".join(made), encoder.kind).astype(np.int32)))
+                made, edges = encoder.encode_batch(texts.slice(begin, stop - begin))
+                if end_id is not None:
+                    made = np.insert(made.astype(np.int32), edges[1:], end_id)
+                    edges = edges + np.arange(len(edges))
+                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(made.astype(np.int32, copy=False)))
                 columns = [*(batch.column(c).slice(begin, stop - begin) for c in (0, 1)), pa.array(position + edges[:-1]), pa.array(np.diff(edges)), lists]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
                 position += int(edges[-1])
