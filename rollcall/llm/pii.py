@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import free_name, staged
+from .staging import LARGE_SHARE, free_name, staged
 
 # Names that surrogates are made of, first names by (script, gender)
 # and family names by script. What is detected does not depend on them alone.
@@ -64,6 +64,8 @@ CHINESE_FAMILY_NAMES = "王李张刘陈杨赵黄周吴徐孙胡朱高林何郭
 CHINESE_NAMES_ALONE = "李刘赵吴郭邓蒋蔡魏薛"
 SELF_NAMING = ["my name is", "full name:", "ich heiße", "je m'appelle", "me llamo", "mi chiamo", "меня зовут", "με λένε"]
 
+#: Keys over which the rows of a very frequent text are dealt.
+SALTS = 64
 _KIND_OF_NAME = {n.lower(): kind for table in (MORE_FIRST_NAMES, FIRST_NAMES) for kind, names in table.items() for n in names}
 _RUSSIAN = {n.lower() for n in RUSSIAN_FAMILY_NAMES}
 _NAMING = re.compile("(?i)(?<!\\w)(?:" + "|".join(re.escape(cue) for cue in SELF_NAMING) + r")\s+(?=\w)")
@@ -377,11 +379,15 @@ def replace_personal_data(df: DataFrame, key: bytes = b"rollcall", text_column:
         found = [sorted({(kind, entity) for _, _, kind, entity in find_entities(t)}) for t in texts]
         return pd.Series([[{"type": k, "entity": e} for k, e in f] for f in found])
 
-    mentions = df.select(F.md5(text).alias(digest), F.explode(entities(text)).alias("m")).select(digest, "m.*")
-    mentions = staged(mentions.distinct(), "pii-mentions")
-    table = assign_surrogates(mentions.select("type", "entity").distinct(), key)
+    # a row without entities is a mention of nothing, so that every text has its number of rows
+    mark = F.coalesce(F.md5(text), F.lit("")).alias(digest)
+    mentions = df.select(mark, F.explode_outer(entities(text)).alias("m")).select(digest, "m.*")
+    mentions = staged(mentions.groupBy(digest, "type", "entity").agg(F.count(F.lit(1)).alias("n")), "pii-mentions")
+    table = assign_surrogates(mentions.where("type is not null").select("type", "entity").distinct(), key)
     entry = F.struct("type", "entity", "surrogate")
-    lists = mentions.join(table, ["type", "entity"]).groupBy(digest).agg(F.collect_list(entry).alias(work))
+    lists = mentions.where("type is not null").join(table, ["type", "entity"]).groupBy(digest).agg(F.collect_list(entry).alias(work))
+    share = mentions.groupBy(digest).agg(F.max("n").alias("n"))
+    large = share.where(F.col("n") > max(1000, LARGE_SHARE * (share.agg(F.sum("n")).first()[0] or 0))).select(digest)
 
     @F.pandas_udf("text string, n long")
     def replaced(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
@@ -394,7 +400,14 @@ def replace_personal_data(df: DataFrame, key: bytes = b"rollcall", text_column:
                 out.append((replace_entities(t, table), len(find_entities(t))))
         return pd.DataFrame(out, columns=["text", "n"])
 
-    joined = df.withColumn(digest, F.md5(text)).join(lists, digest, "left")
+    # the rows of a text with more than LARGE_SHARE of them go to SALTS keys, each with a list of its own
+    salt, hot = free_name(df, "salt"), free_name(df, "hot")
+    hot_texts = F.broadcast(large.withColumn(hot, F.lit(True)))  # 1 / LARGE_SHARE texts at most, 32 bytes each
+    place = F.when(F.col(hot), F.monotonically_increasing_id() % SALTS).otherwise(0).cast("int").alias(salt)
+    rows = df.withColumn(digest, mark).join(hot_texts, digest, "left").select("*", place).drop(hot)
+    places = F.when(F.col(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    lists = lists.join(hot_texts, digest, "left").select(digest, work, F.explode(places).alias(salt))
+    joined = rows.join(lists, [digest, salt], "left")
     # a text without entities goes round Python as a null
     found, new = F.col(work).isNotNull(), free_name(df, "replaced")
     joined = joined.withColumn(new, replaced(F.when(found, text), F.col(work)))

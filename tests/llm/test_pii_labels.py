@@ -5,8 +5,10 @@ from __future__ import annotations
 
 import ipaddress
 import re
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from rollcall.llm import pii
 
@@ -80,3 +82,24 @@ def test_very_long_and_empty_texts():
     assert pii.find_entities(None) == pii.find_entities("") == []
     long = "Wort " * 200_000 + "call 020 7946 0958 " + "x" * 1_000_000
     assert [k for _, _, k, _ in pii.find_entities(long)] == ["phone"]
+
+
+def test_a_very_frequent_text_is_in_many_tasks(spark):
+    rows = [(i, "write to ann.lee@mail.com") for i in range(1500)] + [(2000 + i, None) for i in range(1500)]
+    rows += [(5000 + i, f"text {i} by ann.lee@mail.com") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = pii.replace_personal_data(df).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
+    made = {r.text.removeprefix("write to ") for r in got if r.doc_id < 1500}
+    assert len(made) == 1 and all(r.text.endswith(f"by {min(made)}") and r.n_entities == 1 for r in got if r.doc_id >= 5000)
+    assert all(r.text is None and r.n_entities == 0 for r in got if 2000 <= r.doc_id < 5000)
+    for low, high in ((0, 1500), (2000, 3500)):
+        tasks = Counter(r.task for r in got if low <= r.doc_id < high)
+        assert len(tasks) > 1 and max(tasks.values()) < 750  # half of them; by text alone it is all
