@@ -64,6 +64,40 @@ def test_shared_chunks_are_encoded_once():
     assert enc.encoded_chunks - first <= 4 < first
 
 
+def test_long_texts_do_not_meet_by_their_length():
+    rng = random.Random(3)
+    chunker = bpe.Chunker()
+    long = [" ".join(f"w{rng.random()}" for _ in range(2000)) for _ in range(40)]
+    assert 8 <= sum(chunker.key(t) < 2**62 for t in long) <= 32  # half of them, about
+    assert chunker.key("a start " + long[0]) == chunker.key(long[0])
+
+
+def test_bpe_learns_new_words_of_many_texts_together(odd_texts, monkeypatch):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(TOKENIZER)
+    enc = bpe.ChunkEncoder(open(TOKENIZER, encoding="utf-8").read(), 32, 4)
+    letters = "azAZÀÖØöøßıĳǅǰɏÅ" + "\u0130\u0250\u00aa\u0301ſ\u212a"
+    rng = random.Random(8)
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 6))) + rng.choice(["", "", ".", "!?", "'", "'s", "#&*|", "|>", "</w>", "_", "3", "é,", "。"]) for _ in range(3000)]
+    texts = [*odd_texts, *[" ".join(words[i : i + 50]) for i in range(0, len(words), 50)], "<|ENDOFTEXT|> <|endoftext|>, endoftext|> <|endoftext|>x"]
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    learned = []
+    monkeypatch.setattr(enc, "_learn", lambda pieces, f=enc._learn: learned.append(len(pieces)) or f(pieces))
+    for _ in range(2):
+        ids, edges = enc.encode_batch(texts)
+        assert [ids[a:b].tolist() for a, b in zip(edges[:-1], edges[1:], strict=True)] == want
+    assert len(learned) <= 1 + enc.repairs * 4  # once for all texts; the joins inside words look at windows
+    decoded = [plain.decode(i, skip_special_tokens=False) for i in want]
+    assert [bytes(x).decode() for x in enc.joined(enc.spaced, ids, edges)] == decoded
+    assert [bytes(x).decode() for x in enc.joined(enc.numbers, ids, edges)] == [" ".join(map(str, i)) for i in want]
+    none = enc.encode_batch([None, ""])
+    assert none[0].tolist() == [] and none[1].tolist() == [0, 0, 0]
+    assert enc.encode_batch([])[1].tolist() == [0]
+    whole = bpe.ChunkEncoder(open(queries.tokenizer_path("byte_bpe_50k.json"), encoding="utf-8").read())
+    assert not whole.by_word and whole.encode("A  b,") == whole.plain("A  b,")
+
+
 def test_bpe_store_turns_over(monkeypatch):
     monkeypatch.setattr(bpe, "WORDS_KEPT", 30)
     monkeypatch.setattr(bpe, "CHUNKS_KEPT", 3)
