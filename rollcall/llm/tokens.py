@@ -36,12 +36,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .letters import TOGETHER, LetterWords, letters_stay, of_letters, stems_and_marks, strings, utf8
 from .staging import shuffle_partitions, worker_state
 
 WORDS_KEPT = 400_000
 LONGEST_WORD = 64  # characters; longer words are encoded each time
-#: Words given to the tokenizer as one string.
-TOGETHER = 500
 #: Bytes of text that are encoded and handed to Spark together.
 BATCH_BYTES = 4 << 20
 #: Parts up to which their table is broadcast (24 bytes a row).
@@ -54,7 +53,6 @@ _WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace() or c == 0x180E]  # (
 _ODD = ["  ", *(f for c in _WHITE if c != " " for f in (" " + c, c + " "))]  # spaces where a pre-token need not begin
 _ODD_ASCII = [f for f in _ODD if f.isascii()]
 _CUT = re.compile(f"(?<![{''.join(_WHITE)}]) (?![{''.join(_WHITE)}])(?<!^ )(?!$)")
-_MARKS = ".,;:!?"
 _WHITE_BYTE, _WIDE_LEAD = np.zeros(256, bool), np.zeros(256, bool)
 _WHITE_BYTE[[ord(c) for c in _WHITE if c.isascii()]] = True
 _WIDE_LEAD[[c.encode()[0] for c in _WHITE if len(c.encode()) == 3]] = True
@@ -81,21 +79,22 @@ class WordEncoder:
         self.opens = np.zeros(top + 1, bool)  # tokens that begin with the space
         for name, i in vocabulary.items():
             self.opens[i] = name.startswith("Ġ")
+        self.letters = LetterWords(self.tokenizer, "Ġ", self.opens, self.kind) if self.by_word and letters_stay(spec) else None
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
-    def _after_space(self, words: list[str]) -> dict[str, bytes]:
+    def _after_space(self, words: list[str]) -> list[tuple[str, bytes]]:
         """Tokens of each word with a space before it; no word has one in it."""
         groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
-        out = {}
+        out = []
         for group, raw in zip(groups, self._whole([" " + " ".join(g) for g in groups]), strict=True):
             at = np.flatnonzero(self.opens[np.frombuffer(raw, self.kind)])
             if len(at) != len(group) or at[0]:
                 raise ValueError("a word's tokens do not begin with its space")
             edges = [*(at * self.kind.itemsize).tolist(), len(raw)]
-            out |= {w: raw[a:b] for w, a, b in zip(group, edges[:-1], edges[1:], strict=True)}
+            out += [(w, raw[a:b]) for w, a, b in zip(group, edges[:-1], edges[1:], strict=True)]
         return out
 
     def _tokens(self, words: list[str]) -> dict[str, bytes]:
@@ -105,11 +104,14 @@ class WordEncoder:
         if len(self.known) + len(words) > self.words_kept:
             self.old, self.known = self.known, {}
         made = {w: t for w, t in zip(words, map(self.old.get, words), strict=True) if t is not None}
-        new = [w for w in words if w not in made]
+        new = [w for w in words if w not in made] if made else words
+        if self.letters:
+            made |= self.letters.ids(list(filter(of_letters, new)))
+            new = [w for w in new if w not in made]
         spaced = [w for w in new if " " in w]
         if spaced:
             new = [w for w in new if " " not in w]
-            made |= dict(zip(spaced, self._whole([" " + w for w in spaced]), strict=True))
+            made |= zip(spaced, self._whole([" " + w for w in spaced]), strict=True)
         made |= self._after_space(new)
         self.known |= made
         for w in [w for w in made if len(w) > LONGEST_WORD]:
@@ -121,18 +123,18 @@ class WordEncoder:
         last one's end). Words are split, numbered and replaced by their tokens
         as Arrow arrays; only distinct words are looked up."""
         texts = pa.compute.fill_null(texts, "")
-        strings = texts.to_pylist()
+        given = texts.to_pylist()
         if not self.by_word:
-            made = self._whole(strings)
+            made = self._whole(given)
             return np.frombuffer(b"".join(made), self.kind), np.cumsum([0, *[len(m) // self.kind.itemsize for m in made]])
-        odd = np.zeros(len(strings), bool)
+        odd = np.zeros(len(given), bool)
         doubtful = _spaces_may_meet(texts)
-        odd[doubtful] = [_spaces_meet(strings[i]) for i in doubtful]
+        odd[doubtful] = [_spaces_meet(given[i]) for i in doubtful]
         if not odd.any():
             return self._of_words(pa.compute.split_pattern(texts, " "))
         # the others first, then the odd ones, whose tokens go back to their places
         split = pa.compute.split_pattern(texts.filter(pa.array(~odd)), " ")
-        cut = pa.array([_CUT.split(t) for t in compress(strings, odd)], split.type)
+        cut = pa.array([_CUT.split(t) for t in compress(given, odd)], split.type)
         tokens, edges = self._of_words(pa.concat_arrays([split, cut]))
         back = np.argsort(np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)]))
         lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(tokens)).take(pa.array(back))
@@ -147,24 +149,19 @@ class WordEncoder:
         firsts, own = np.unique(at[edges[:-1]], return_inverse=True)
         at[edges[:-1]] = len(distinct) + own
         used = np.flatnonzero(np.bincount(at, minlength=len(distinct))[: len(distinct)])
-        named = _strings(distinct.take(pa.array(used)))
-        # marks behind a letter are a pre-token of their own, whose tokens follow the word's
-        marks, mark = {"": 0}, np.zeros(len(named), np.int64)
-        for i, w in enumerate(named):
-            if w and w[-1] in _MARKS:
-                stem = w.rstrip(_MARKS)
-                if stem and stem[-1] < "\u0250" and stem[-1].isalpha():
-                    named[i], mark[i] = stem, marks.setdefault(w[len(stem) :], len(marks))
+        # marks behind letters are a pre-token of their own, whose tokens follow the word's
+        stems, marks = (x.dictionary_encode() for x in stems_and_marks(distinct.take(pa.array(used)), False))
+        named, stem, mark = strings(stems.dictionary), stems.indices.to_numpy(), marks.indices.to_numpy()
         found = list(map(self.known.get, named))
         new = list(dict.fromkeys(compress(named, map(is_, found, repeat(None)))))
         if new:
             made = self._tokens(new)
             found = [made[w] if t is None else t for w, t in zip(named, found, strict=True)]
-        found += self._whole(distinct.take(pa.array(firsts)).to_pylist()) + self._whole(list(marks))
-        # every word is two lists of tokens: its own, and its marks' (the first ones are none)
-        place = np.full((len(distinct) + len(firsts), 2), len(used) + len(firsts))
-        place[used, 0], place[used, 1] = np.arange(len(used)), place[0, 1] + mark
-        place[len(distinct) :, 0] = len(used) + np.arange(len(firsts))
+        found += self._whole(distinct.take(pa.array(firsts)).to_pylist()) + self._whole(marks.dictionary.to_pylist()) + [b""]
+        # every word is two lists of tokens: its own, and its marks' (the last ones are none)
+        place = np.full((len(distinct) + len(firsts), 2), len(found) - 1)
+        place[used, 0], place[used, 1] = stem, len(named) + len(firsts) + mark
+        place[len(distinct) :, 0] = len(named) + np.arange(len(firsts))
         ends = np.cumsum([0, *map(len, found)]) // self.kind.itemsize
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), self.kind)))
         edges = 2 * edges
@@ -180,29 +177,10 @@ class WordEncoder:
         return self.encode_batch(pa.array([text], pa.string()))[0]
 
 
-def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 of all texts (none null) in a row, and where each one begins."""
-    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
-    edges = np.frombuffer(texts.buffers()[1], width)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-    data = texts.buffers()[2]
-    raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    return raw[edges[0] : edges[-1]], edges - edges[0]
-
-
-def _strings(texts: pa.Array) -> list[str]:
-    """``to_pylist`` for many short texts."""
-    raw, edges = _bytes(texts)
-    joined = raw.tobytes().decode()
-    if len(joined) < len(raw):  # places in characters, not bytes
-        edges = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[edges]
-    at = edges.tolist()
-    return [joined[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-
-
 def _spaces_may_meet(texts: pa.Array) -> np.ndarray:
     """Numbers of the texts that hold a space at an end, or next to a byte that
     white space can begin or end with."""
-    raw, edges = _bytes(texts)
+    raw, edges = utf8(texts)
     if not len(raw):
         return np.empty(0, np.int64)
     near = np.concatenate([np.full(3, 32, np.uint8), raw, np.full(1, 32, np.uint8)])

@@ -47,6 +47,18 @@ def test_words_give_the_tokens_of_the_whole_text(plain, kept):
         assert [np.frombuffer(m, encoder.kind).tolist() for m in made] == [plain(t) for t in texts()]
 
 
+def test_words_of_letters_go_straight_to_the_model(plain, monkeypatch):
+    encoder = tokens.WordEncoder(open(PATH, encoding="utf-8").read())
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcXYZéÜßıÅøñĳ", k=rng.randint(1, 9))) + rng.choice(["", ".", "%%%", ",&&&", "|>", "!?"]) for _ in range(2000)]
+    given = [" ".join(words[i : i + 40]) for i in range(0, len(words), 40)]
+    whole = []
+    monkeypatch.setattr(encoder, "_whole", lambda some, f=encoder._whole: whole.extend(some) or f(some))
+    made = encoder.encode_all(given)
+    assert [np.frombuffer(m, encoder.kind).tolist() for m in made] == [plain(t) for t in given]
+    assert len(whole) <= len(given) + 10  # first words, and marks
+
+
 def test_other_tokenizers_encode_texts_whole():
     from tokenizers import Tokenizer
 
