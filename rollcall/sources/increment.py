@@ -28,6 +28,8 @@ from .star import MEASURES, STAR_SCHEMAS, compact_sums, pupils, schools, compact
 from .star_store import LINES_SCHEMA
 
 COMMIT_SCHEMA = "load int"
+#: Stored lines whose orders are summed in one task.
+TASK_BYTES = 4 << 20
 SUMS = ["pupils", "pa_pupils", *MEASURES]
 SCHOOLS_SCHEMA = "school bigint, time_period int, " + ", ".join(f"{c} bigint" for c in SUMS)
 ORDER_COLUMNS = [c.split()[0] for c in STAR_SCHEMAS["orders"].split(", ")]
@@ -50,16 +52,22 @@ def _new_only(orders: DataFrame, known: DataFrame) -> DataFrame:
     return both.withColumn("o_orderkey", F.when(F.col("_seen"), again).otherwise(F.col("o_orderkey"))).select(*ORDER_COLUMNS)
 
 
-def changes(state: Sums, lineitem: DataFrame, orders: DataFrame) -> Sums:
+def changes(state: Sums, lineitem: DataFrame, orders: DataFrame, parts: int | None = None) -> Sums:
     """What new ``lineitem`` and ``orders`` rows add: their compact lines, the
-    orders, and the change of each (school, period)'s sums."""
+    orders, and the change of each (school, period)'s sums.
+
+    ``parts``: tasks that the touched orders are summed in (:func:`_parts`). It
+    is not left to adaptive execution, which goes by compressed bytes: rows of
+    sums are mostly zeros, and take many times that.
+    """
+    parts = parts or _parts(lineitem.sparkSession, "", [])
     lines = compact_lines(lineitem)
     touched = lines.select("orderkey").union(orders.select("o_orderkey")).where(F.col("orderkey").isNotNull()).distinct()
     old_lines = state.lines.join(touched, "orderkey", "left_semi")
     old_orders = state.orders.join(touched, F.col("o_orderkey") == F.col("orderkey"), "left_semi")
     orders = _new_only(orders.select(*ORDER_COLUMNS), old_orders)
-    before = pupils(compact_sums(old_lines), old_orders).withColumn("sign", F.lit(-1))
-    after = pupils(compact_sums(old_lines.unionByName(lines)), old_orders.unionByName(orders)).withColumn("sign", F.lit(1))
+    before = pupils(compact_sums(old_lines.repartition(parts, "orderkey")), old_orders).withColumn("sign", F.lit(-1))
+    after = pupils(compact_sums(old_lines.unionByName(lines).repartition(parts, "orderkey")), old_orders.unionByName(orders)).withColumn("sign", F.lit(1))
     moved = before.unionByName(after).groupBy("school", "time_period").agg(
         F.sum("sign").alias("pupils"), F.sum(F.col("sign") * F.col("is_pa")).alias("pa_pupils"),
         *[F.sum(F.col("sign") * F.col(m)).alias(m) for m in MEASURES])
@@ -91,6 +99,17 @@ def open_sums(spark: SparkSession, path: str, version: int | None = None) -> Sum
     return Sums(table("lines", LINES_SCHEMA, loads), table("orders", STAR_SCHEMAS["orders"], loads), table("schools", SCHOOLS_SCHEMA, loads[-1:]))
 
 
+def _parts(spark: SparkSession, path: str, loads: Sequence[int]) -> int:
+    """Tasks for the lines of ``loads``: one for each ``TASK_BYTES`` of their
+    files, and more than the number of shuffle partitions (Spark drops a
+    repartition of rows that are dealt to the same number already)."""
+    stored = 0
+    for n in loads:
+        p, fs = commits.located(spark, f"{path}/lines/load={n}")
+        stored += fs.getContentSummary(p).getLength()
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")) + 1, -(-stored // TASK_BYTES))
+
+
 def create(tables: dict[str, DataFrame], path: str) -> int:
     """Store the state of a whole star at ``path``; returns version 1."""
     spark = tables["orders"].sparkSession
@@ -116,7 +135,7 @@ def add(spark: SparkSession, path: str, lineitem: DataFrame, orders: DataFrame)
     loads = _loads(spark, path, None)
     state = open_sums(spark, path)
     load = commits.next_load(spark, f"{path}/lines")
-    change = changes(state, lineitem, orders)
+    change = changes(state, lineitem, orders, _parts(spark, path, loads))
     _write(change.lines, change.orders, path, load)
     merged(state.schools, change.schools).write.parquet(f"{path}/schools/load={load}")
     return commits.commit(spark, path, [(n,) for n in (*loads, load)], COMMIT_SCHEMA)

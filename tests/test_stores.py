@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.schema import GRAIN
 from rollcall.sources import absence, commits, derive_fact, increment, periods, read_star, star_store
+from rollcall.sources.star import STAR_SCHEMAS
 
 from .conftest import SF_SMALL
 
@@ -162,6 +163,22 @@ def test_a_delta_without_rows_and_a_known_order(spark, fact, tmp_path):
         increment.create(tables, path)
 
 
+def test_touched_orders_are_summed_in_a_set_number_of_tasks(spark, tmp_path, monkeypatch):
+    """Adaptive execution joins partitions by compressed bytes, of which sums take many times as much in memory."""
+    lines = spark.createDataFrame([(o, 5.0, "A", "F") for o in range(60)], STAR_SCHEMAS["lineitem"])
+    orders = spark.sql("SELECT id AS o_orderkey, id % 4 AS o_custkey, TIMESTAMP_NTZ'1995-03-01' AS o_orderdate, '1-URGENT' AS o_orderpriority FROM range(60)")
+    path = str(tmp_path / "state")
+    increment.create({"lineitem": lines.where("l_orderkey < 40"), "orders": orders.where("o_orderkey < 40")}, path)
+    monkeypatch.setattr(increment, "TASK_BYTES", 100)
+    parts = increment._parts(spark, path, [1])
+    assert parts > int(spark.conf.get("spark.sql.shuffle.partitions"))  # by the bytes that are stored
+    change = increment.changes(increment.open_sums(spark, path), lines, orders.where("o_orderkey >= 40"), parts)
+    assert change.schools.groupBy().sum("pupils", "sess_possible").first()[:] == (20, 300)
+    plan = change.schools._jdf.queryExecution().toString()
+    assert plan.count(f"hashpartitioning(orderkey#") and plan.count(f", {parts}), REPARTITION_BY_NUM") >= 2
+
+
+
 def test_csv_files_of_different_headers_with_rejects(spark, make_fact, tmp_path):
     from rollcall.schema import FACT_COLUMNS
     from rollcall.sources import read_checked
