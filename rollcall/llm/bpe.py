@@ -31,16 +31,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .letters import LetterWords, letters_stay, of_letters, stems_and_marks, strings
-from .staging import free_name, shuffle_partitions, worker_state
+from .staging import free_name, give_back, shuffle_partitions, worker_state
 
 WINDOW = 24  # bytes under the rolling hash
 MEAN_CHUNK = 512  # one cut per so many bytes, about
 NEAR = 64  # a cut moves at most so many bytes to white space
 BLOCK = 1 << 16  # bytes hashed at a time
-CHUNKS_KEPT = 40_000
-WORDS_KEPT = 400_000
+CHUNKS_KEPT = 20_000
+WORDS_KEPT = 150_000
 #: Characters of text that are encoded together.
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 1 << 20
 _SPACE = re.compile(r"[ \t-\r]+")
 _SPACES = b" \t\n\x0b\x0c\r"  # iterates as byte values
 _GAP = re.compile(rb"[ \t-\r]")
@@ -309,7 +309,11 @@ def _over_texts(tokenizer_json: str, make: Callable[[ChunkEncoder, list[str | No
         encoder = worker_state().setdefault(name, None) or ChunkEncoder(tokenizer_json)
         worker_state()[name] = encoder
         for texts in batches:
-            yield pd.concat([make(encoder, some) for some in _groups(texts.tolist())], ignore_index=True)
+            made = []
+            for some in _groups(texts.tolist()):
+                made.append(make(encoder, some))
+                give_back()
+            yield pd.concat(made, ignore_index=True)
 
     return run(text)
 

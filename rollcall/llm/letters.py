@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ import pyarrow.compute  # noqa: F401 - used as pa.compute
 
 #: Words given to the tokenizer as one string.
 TOGETHER = 500
+#: Strings given to the tokenizer in one call; what it returns takes some hundred bytes a token.
+CALLED = 20
 #: Letters that have the same lower case and normal form everywhere, and that no
 #: pattern tells apart.
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
@@ -33,6 +36,8 @@ def _byte_chars() -> dict[int, str]:
 
 
 _BYTE_CHARS = _byte_chars()
+#: The character of every byte, as UTF-16.
+_BYTE_UTF16 = np.array([ord(_BYTE_CHARS.get(b, chr(b))) for b in range(256)], "<u2")
 
 
 def of_letters(word: str) -> bool:
@@ -86,22 +91,22 @@ class LetterWords:
 
     def ids(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         """Each word and its ids, as packed numbers."""
-        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
-        found = self.model.encode_batch_fast([self._chars(g) for g in groups], add_special_tokens=False)
         size = self.kind.itemsize
-        for group, e in zip(groups, found, strict=True):
-            ids = np.array(e.ids, self.kind)
-            at = np.flatnonzero(self.edges[ids])
-            bounds = [*at.tolist(), len(ids)] if self.lead else [0, *(at + 1).tolist()]
-            if len(at) != len(group) or bounds[0] or bounds[-1] != len(ids):
-                raise ValueError("a word's tokens are not where it begins or ends")
-            raw = ids.tobytes()
-            yield from ((w, raw[size * a : size * b]) for w, a, b in zip(group, bounds[:-1], bounds[1:], strict=True))
+        for groups in batched((words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)), CALLED):
+            found = self.model.encode_batch_fast([self._chars(g) for g in groups], add_special_tokens=False)
+            for group, e in zip(groups, found, strict=True):
+                ids = np.array(e.ids, self.kind)
+                at = np.flatnonzero(self.edges[ids])
+                bounds = [*at.tolist(), len(ids)] if self.lead else [0, *(at + 1).tolist()]
+                if len(at) != len(group) or bounds[0] or bounds[-1] != len(ids):
+                    raise ValueError("a word's tokens are not where it begins or ends")
+                raw = ids.tobytes()
+                yield from ((w, raw[size * a : size * b]) for w, a, b in zip(group, bounds[:-1], bounds[1:], strict=True))
 
     def _chars(self, words: list[str]) -> str:
         joined = " ".join(words)
         if not joined.isascii():
-            joined = joined.encode().decode("latin-1").translate(_BYTE_CHARS)
+            joined = _BYTE_UTF16[np.frombuffer(joined.encode(), np.uint8)].tobytes().decode("utf-16-le")
         return self.lead + joined.replace(" ", " " + self.lead) if self.lead else joined
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +76,12 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str)
     return out.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.coalesce(F.col(f"{large}.{v}"), F.col(f"{rest}.{v}")).alias(v) for v in values])
 
 
+def give_back() -> None:
+    """Return memory that Arrow's pool has kept of freed arrays to the system: a
+    Python worker stays for later tasks and stages beside others of its executor."""
+    pa.default_memory_pool().release_unused()
+
+
 def worker_state() -> dict:
     """A dictionary that lives as long as the Python worker process. (Functions
     here are pickled by value, so their module globals last for one task.)"""
