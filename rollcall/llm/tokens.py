@@ -37,12 +37,12 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .letters import TOGETHER, LetterWords, letters_stay, of_letters, stems_and_marks, strings, utf8
-from .staging import shuffle_partitions, worker_state
+from .staging import give_back, shuffle_partitions, worker_state
 
-WORDS_KEPT = 400_000
+WORDS_KEPT = 300_000
 LONGEST_WORD = 64  # characters; longer words are encoded each time
 #: Bytes of text that are encoded and handed to Spark together.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Parts up to which their table is broadcast (24 bytes a row).
 PARTS_BROADCAST = 1_000_000
 
@@ -242,6 +242,8 @@ def encode_in_order(ordered: DataFrame, tokenizer_path: str, end_id: int | None)
                 columns = [*(batch.column(c).slice(begin, stop - begin) for c in (0, 1)), pa.array(position + edges[:-1]), pa.array(np.diff(edges)), lists]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
                 position += int(edges[-1])
+                del made, edges, lists, columns
+                give_back()
 
     return ordered.select("doc_id", F.spark_partition_id().alias("part"), "text").mapInArrow(run, TOKENS_SCHEMA)
 

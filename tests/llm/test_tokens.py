@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -59,6 +60,41 @@ def test_words_of_letters_go_straight_to_the_model(plain, monkeypatch):
     assert len(whole) <= len(given) + 10  # first words, and marks
 
 
+def test_new_words_reach_the_model_a_few_groups_at_a_time(plain):
+    encoder = tokens.WordEncoder(open(PATH, encoding="utf-8").read())
+    model, calls = encoder.letters.model, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return model.encode_batch_fast(texts, **options)
+
+    encoder.letters.model = Counted()
+    letters = "abcdefghijéü"
+    words = ["".join(letters[int(d)] for d in str(n)) + letters[n % 12] for n in range(25_000)]
+    found = dict(encoder.letters.ids(words))
+    assert sum(calls) == 25_000 // 500 and max(calls) <= 20
+    assert [np.frombuffer(found[w], encoder.kind).tolist() for w in words[::97]] == [plain(" " + w) for w in words[::97]]
+
+
+def test_memory_of_encoded_texts_is_given_back(spark, monkeypatch):
+    # where the tasks' function runs in this process, so that what it frees can be seen
+    seen = []
+    monkeypatch.setattr(tokens, "give_back", lambda: seen.append(1))
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 100)
+
+    class Rows:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([0, 0, 0], pa.int32()), pa.array(["a b " * 30, None, "c " * 60])], ["doc_id", "part", "text"])
+            return list(run(iter([batch])))
+
+    made = tokens.encode_in_order(Rows(), PATH, 2)
+    assert sum(b.num_rows for b in made) == 3 and len(seen) == len(made) == 2
+
+
 def test_other_tokenizers_encode_texts_whole():
     from tokenizers import Tokenizer
 
