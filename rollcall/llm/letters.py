@@ -8,7 +8,7 @@ the characters that byte-level BPE has for bytes, many in one string.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import batched
 
 import numpy as np
@@ -25,6 +25,7 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 #: ASCII punctuation without the apostrophe of contractions.
 MARKS = r"!-&(-/:-@\[-`{-~"
 _WORD = f"^(?P<stem>[{LETTERS}]+)(?P<marks>[{MARKS}]*)$"
+_LINES = f"^(?P<stem>[{LETTERS}]+)(?P<marks>[{MARKS}]*)(?:(?P<next>\n[{LETTERS}]+)(?P<more>[{MARKS}]*))?$"
 _STEM = re.compile(f"[{LETTERS}]+")
 
 
@@ -57,6 +58,19 @@ def stems_and_marks(words: pa.Array, lower: bool) -> tuple[pa.Array, pa.Array]:
     return pa.compute.utf8_lower(stems) if lower else stems, marks
 
 
+def pieces(words: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array, pa.Array]:
+    """``words`` as the pieces of them that are pre-tokens whatever is around
+    them: letters, the punctuation behind them, and of a word that a line feed
+    parts also the line feed with the letters behind it, and their punctuation.
+    Other words are left as they are, with empty pieces."""
+    found = pa.compute.extract_regex(words, _LINES)
+    stem, *more = (found.field(n) for n in ("stem", "marks", "next", "more"))
+    if found.null_count:
+        known = found.is_valid()
+        return pa.compute.if_else(known, stem, words), *(pa.compute.if_else(known, x, "") for x in more)
+    return stem, *more
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 of all texts (none null) in a row, and where each one begins."""
     width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
@@ -91,23 +105,41 @@ class LetterWords:
 
     def ids(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         """Each word and its ids, as packed numbers."""
-        size = self.kind.itemsize
-        for groups in batched((words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)), CALLED):
-            found = self.model.encode_batch_fast([self._chars(g) for g in groups], add_special_tokens=False)
-            for group, e in zip(groups, found, strict=True):
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        for group, (ids, bounds) in zip(groups, self._found(map(" ".join, groups), map(len, groups), " "), strict=True):
+            raw, at = ids.tobytes(), (bounds * self.kind.itemsize).tolist()
+            yield from ((w, raw[a:b]) for w, a, b in zip(group, at[:-1], at[1:], strict=True))
+
+    def arrays(self, words: pa.Array, first: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and how many each one has. The words
+        are given with the one character ``first`` before each of them, which
+        ``lead`` stands for."""
+        raw, edges = utf8(words)
+        begins = range(0, len(words), TOGETHER)
+        stops = [min(i + TOGETHER, len(words)) for i in begins]
+        texts = (raw[edges[a] + 1 : edges[b]].tobytes().decode() for a, b in zip(begins, stops, strict=True))
+        found = list(self._found(texts, (b - a for a, b in zip(begins, stops, strict=True)), first))
+        if not found:
+            return np.empty(0, self.kind), np.empty(0, np.int64)
+        return np.concatenate([ids for ids, _ in found]), np.concatenate([np.diff(bounds) for _, bounds in found])
+
+    def _found(self, texts: Iterable[str], counts: Iterable[int], between: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each text of so many words, with ``between`` between them: its
+        ids, and where each word's begin (and the last one's end)."""
+        for given in batched(zip(texts, counts, strict=True), CALLED):
+            found = self.model.encode_batch_fast([self._chars(t, between) for t, _ in given], add_special_tokens=False)
+            for (_, count), e in zip(given, found, strict=True):
                 ids = np.array(e.ids, self.kind)
                 at = np.flatnonzero(self.edges[ids])
-                bounds = [*at.tolist(), len(ids)] if self.lead else [0, *(at + 1).tolist()]
-                if len(at) != len(group) or bounds[0] or bounds[-1] != len(ids):
+                bounds = np.append(at, len(ids)) if self.lead else np.insert(at + 1, 0, 0)
+                if len(at) != count or bounds[0] or bounds[-1] != len(ids):
                     raise ValueError("a word's tokens are not where it begins or ends")
-                raw = ids.tobytes()
-                yield from ((w, raw[size * a : size * b]) for w, a, b in zip(group, bounds[:-1], bounds[1:], strict=True))
+                yield ids, bounds
 
-    def _chars(self, words: list[str]) -> str:
-        joined = " ".join(words)
+    def _chars(self, joined: str, between: str) -> str:
         if not joined.isascii():
             joined = _BYTE_UTF16[np.frombuffer(joined.encode(), np.uint8)].tobytes().decode("utf-16-le")
-        return self.lead + joined.replace(" ", " " + self.lead) if self.lead else joined
+        return self.lead + joined.replace(between, " " + self.lead)
 
 
 def letters_stay(spec: dict) -> bool:

@@ -26,8 +26,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import compress, repeat
-from operator import is_
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .letters import TOGETHER, LetterWords, letters_stay, of_letters, stems_and_marks, strings, utf8
+from .letters import LETTERS, TOGETHER, LetterWords, letters_stay, pieces, utf8
 from .staging import give_back, shuffle_partitions, worker_state
+from .word_store import WordStore, word_hashes
 
 WORDS_KEPT = 300_000
-LONGEST_WORD = 64  # characters; longer words are encoded each time
+LONGEST_WORD = 64  # bytes; longer words are encoded each time
 #: Bytes of text that are encoded and handed to Spark together.
 BATCH_BYTES = 2 << 20
 #: Parts up to which their table is broadcast (24 bytes a row).
@@ -70,58 +70,72 @@ class WordEncoder:
         spec["truncation"] = spec["padding"] = None
         self.tokenizer = Tokenizer.from_str(json.dumps(spec))
         self.words_kept = words_kept
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         top = max(vocabulary.values(), default=0)
         self.kind = np.dtype(np.uint16 if top < 1 << 16 else np.uint32)
         self.by_word = _parts_at_space(spec)
+        self.store = WordStore(self.kind)
         self.opens = np.zeros(top + 1, bool)  # tokens that begin with the space
         for name, i in vocabulary.items():
             self.opens[i] = name.startswith("Ġ")
         self.letters = LetterWords(self.tokenizer, "Ġ", self.opens, self.kind) if self.by_word and letters_stay(spec) else None
+        feed = np.zeros(top + 1, bool)
+        feed[vocabulary.get("Ċ", 0)] = True
+        self.lines = LetterWords(self.tokenizer, "Ċ ", feed, self.kind) if self.letters and "Ċ" in vocabulary else None
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
-    def _after_space(self, words: list[str]) -> list[tuple[str, bytes]]:
-        """Tokens of each word with a space before it; no word has one in it."""
-        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+    def _after_space(self, words: list[str]) -> list[bytes]:
+        """Tokens of each word, given with a space before it and none in it."""
         out = []
-        for group, raw in zip(groups, self._whole([" " + " ".join(g) for g in groups]), strict=True):
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        for group, raw in zip(groups, self._whole(list(map("".join, groups))), strict=True):
             at = np.flatnonzero(self.opens[np.frombuffer(raw, self.kind)])
             if len(at) != len(group) or at[0]:
                 raise ValueError("a word's tokens do not begin with its space")
             edges = [*(at * self.kind.itemsize).tolist(), len(raw)]
-            out += [(w, raw[a:b]) for w, a, b in zip(group, edges[:-1], edges[1:], strict=True)]
+            out += [raw[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
         return out
 
-    def _tokens(self, words: list[str]) -> dict[str, bytes]:
-        """Tokens of distinct ``words``, each with a space before it. Words of
-        usual length go into the store. When it is full, it becomes the old
-        one, from which words in use are taken over."""
-        if len(self.known) + len(words) > self.words_kept:
-            self.old, self.known = self.known, {}
-        made = {w: t for w, t in zip(words, map(self.old.get, words), strict=True) if t is not None}
-        new = [w for w in words if w not in made] if made else words
-        if self.letters:
-            made |= self.letters.ids(list(filter(of_letters, new)))
-            new = [w for w in new if w not in made]
-        spaced = [w for w in new if " " in w]
-        if spaced:
-            new = [w for w in new if " " not in w]
-            made |= zip(spaced, self._whole([" " + w for w in spaced]), strict=True)
-        made |= self._after_space(new)
-        self.known |= made
-        for w in [w for w in made if len(w) > LONGEST_WORD]:
-            del self.known[w]
-        return made
+    def _tokens(self, words: pa.Array, spaced: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of all ``words`` in a row, how many each one has, and the
+        order of the words in that. ``spaced``: each has a space before it that
+        begins a pre-token, and no space around it would change its tokens."""
+        rest, order, tokens, sizes = np.ones(len(words), bool), [], [], []
+        for model, first in ((self.letters, " "), (self.lines, "\n")):
+            if model:
+                fits = pa.compute.match_substring_regex(words, f"^{first}[{LETTERS}]+$").to_numpy(zero_copy_only=False)
+                rest &= ~fits
+                order.append(np.flatnonzero(fits))
+                made, size = model.arrays(words.take(pa.array(order[-1])), first)
+                tokens.append(made)
+                sizes.append(size)
+        at = np.flatnonzero(rest)
+        given = words.take(pa.array(at)).to_pylist()
+        single = np.array([spaced and " " not in w[1:] for w in given], bool)
+        order += [at[single], at[~single]]
+        raw = self._after_space(list(compress(given, single))) + self._whole(list(compress(given, ~single)))
+        tokens.append(np.frombuffer(b"".join(raw), self.kind))
+        sizes.append(np.array([len(r) for r in raw], np.int64) // self.kind.itemsize)
+        return np.concatenate(tokens), np.concatenate(sizes), np.concatenate(order)
+
+    def _rows(self, words: pa.Array, spaced: bool) -> np.ndarray:
+        """Rows of distinct ``words`` in the store, which learns the new ones."""
+        hashes = word_hashes(words)
+        rows = self.store.find(words, hashes)
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            tokens, sizes, order = self._tokens(words.take(pa.array(new)), spaced)
+            new = new[order]
+            rows[new] = self.store.add(words.take(pa.array(new)), hashes[new], tokens, sizes)
+        return rows
 
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of all texts in a row, and where each text's begin (and the
-        last one's end). Words are split, numbered and replaced by their tokens
-        as Arrow arrays; only distinct words are looked up."""
+        last one's end). Words are split, numbered, looked up and replaced by
+        their tokens as Arrow arrays; only distinct pieces of them are looked up."""
         texts = pa.compute.fill_null(texts, "")
         given = texts.to_pylist()
         if not self.by_word:
@@ -149,23 +163,21 @@ class WordEncoder:
         firsts, own = np.unique(at[edges[:-1]], return_inverse=True)
         at[edges[:-1]] = len(distinct) + own
         used = np.flatnonzero(np.bincount(at, minlength=len(distinct))[: len(distinct)])
-        # marks behind letters are a pre-token of their own, whose tokens follow the word's
-        stems, marks = (x.dictionary_encode() for x in stems_and_marks(distinct.take(pa.array(used)), False))
-        named, stem, mark = strings(stems.dictionary), stems.indices.to_numpy(), marks.indices.to_numpy()
-        found = list(map(self.known.get, named))
-        new = list(dict.fromkeys(compress(named, map(is_, found, repeat(None)))))
-        if new:
-            made = self._tokens(new)
-            found = [made[w] if t is None else t for w, t in zip(named, found, strict=True)]
-        found += self._whole(distinct.take(pa.array(firsts)).to_pylist()) + self._whole(marks.dictionary.to_pylist()) + [b""]
-        # every word is two lists of tokens: its own, and its marks' (the last ones are none)
-        place = np.full((len(distinct) + len(firsts), 2), len(found) - 1)
-        place[used, 0], place[used, 1] = stem, len(named) + len(firsts) + mark
-        place[len(distinct) :, 0] = len(named) + np.arange(len(firsts))
-        ends = np.cumsum([0, *map(len, found)]) // self.kind.itemsize
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), self.kind)))
-        edges = 2 * edges
-        taken = lists.take(pa.array(place[at].ravel()))
+        stems, others = distinct.take(pa.array(used)), []
+        if self.letters:
+            stems, *others = pieces(stems)
+        stems = stems.dictionary_encode()
+        loose = pa.concat_arrays([pa.array([""], pa.string()), *others, distinct.take(pa.array(firsts))]).dictionary_encode()
+        stem = self._rows(pa.compute.binary_join_element_wise(" ", stems.dictionary, ""), True)[stems.indices.to_numpy()]
+        rows = self._rows(loose.dictionary, False)[loose.indices.to_numpy()]
+        # every word is the tokens of so many pieces (row 0 of the loose ones has none)
+        place = np.full((len(distinct) + len(firsts), 1 + len(others)), rows[0])
+        place[used] = np.column_stack([stem, *np.split(rows[1 : len(rows) - len(firsts)], len(others) or 1)][: 1 + len(others)])
+        place[len(distinct) :, 0] = rows[len(rows) - len(firsts) :]
+        parts = self.store.tokens.take(pa.array(place.ravel()))
+        lists = pa.ListArray.from_arrays(parts.offsets.take(pa.array(np.arange(0, place.size + 1, place.shape[1]))), parts.values)
+        self.store.trim(self.words_kept, LONGEST_WORD)
+        taken = lists.take(pa.array(at))
         return taken.values.to_numpy(), taken.offsets.to_numpy().astype(np.int64)[edges]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:

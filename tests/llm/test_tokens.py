@@ -12,7 +12,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.llm import queries, tokens
+from rollcall.llm import queries, tokens, word_store
 
 PATH = queries.tokenizer_path("byte_bpe_50k.json")
 DOCS = "doc_id long, text string, tokens string, part int, start int"
@@ -60,6 +60,57 @@ def test_words_of_letters_go_straight_to_the_model(plain, monkeypatch):
     assert len(whole) <= len(given) + 10  # first words, and marks
 
 
+def test_words_parted_by_a_line_feed_go_straight_to_the_model(plain, monkeypatch):
+    encoder = tokens.WordEncoder(open(PATH, encoding="utf-8").read())
+    rng = random.Random(5)
+    words = ["\n".join("".join(rng.choices("abcXYZéÜßı", k=rng.randint(1, 9))) + rng.choice(["", ".", "!?"]) for _ in range(rng.randint(1, 2))) for _ in range(4000)]
+    given = ["a " + " ".join(words[i : i + 40]) for i in range(0, len(words), 40)]
+    whole = []
+    monkeypatch.setattr(encoder, "_whole", lambda some, f=encoder._whole: whole.extend(some) or f(some))
+    for _ in range(2):
+        assert [np.frombuffer(m, encoder.kind).tolist() for m in encoder.encode_all(given)] == [plain(t) for t in given]
+    assert sorted(whole) == ["", "!?", ".", "a"]  # marks, and the first word; no word twice
+
+
+def test_word_parts_next_to_other_white_space_and_signs(plain):
+    rng = random.Random(6)
+    pieces = ["a.\nB", "a\nB.", "a.\n\nB", "a\n'll", "x's\nY", "ab.\n", "\nab", "Éa!\nÜb?", "a\nb\nc", "日本\nAb", "a.\r\nB", "1\nA", "A\n1", "x\n<|endoftext|>", "<|endoftext|>\nx",
+              "w" * 70 + "\n" + "v" * 70, "", "ĊA", "Ċ\nA", "a\nĠ", "İ\nİ", "word", "Word"]
+    given = [rng.choice([" ", " ", "  ", "\n"]).join(rng.choices(pieces, k=rng.randint(1, 30))) for _ in range(600)]
+    for kept in (0, 3, 400_000):
+        encoder = tokens.WordEncoder(open(PATH, encoding="utf-8").read(), kept)
+        for i in range(0, len(given), 150):
+            assert [np.frombuffer(m, encoder.kind).tolist() for m in encoder.encode_all(given[i : i + 150])] == [plain(t) for t in given[i : i + 150]]
+
+
+@pytest.mark.parametrize("alike", [False, True])
+def test_store_of_words(monkeypatch, alike):
+    if alike:  # words with one hash are still told apart
+        monkeypatch.setattr(word_store, "word_hashes", lambda words: np.full(len(words), 7, np.uint64))
+    store = word_store.WordStore(np.dtype(np.uint16))
+
+    def add(*words):
+        found = pa.array(words, pa.string())
+        return store.add(found, word_store.word_hashes(found), np.arange(len(words), dtype=np.uint16), np.ones(len(words), np.int64))
+
+    def find(*words):
+        found = pa.array(words, pa.string())
+        return store.find(found, word_store.word_hashes(found)).tolist()
+
+    assert find("a") == [-1]
+    assert add("a", "", "é", "x" * 65, "b").tolist() == [0, 1, 2, 3, 4]
+    assert store.tokens.to_pylist() == [[0], [1], [2], [3], [4]]
+    assert find("c") == [-1] and find("x" * 64 + "y") == [-1]
+    assert find("a", "c", "") == [0, -1, -1 if alike else 1]
+    store.trim(10, 64)  # the long one
+    assert store.words.to_pylist() == ["a", "", "é", "b"] and find("a", "x" * 65) == [0, -1]
+    store.trim(10, 64)
+    add("d")
+    store.trim(4, 64)  # all but the half of four that was used last
+    assert store.words.to_pylist() == ["a", "d"] and store.tokens.to_pylist() == [[0], [0]]
+    assert find("d", "é") == [1, -1]
+
+
 def test_new_words_reach_the_model_a_few_groups_at_a_time(plain):
     encoder = tokens.WordEncoder(open(PATH, encoding="utf-8").read())
     model, calls = encoder.letters.model, []
