@@ -117,22 +117,24 @@ def fingerprint_links(fps: DataFrame, distance: int = 4) -> DataFrame:
         seg, place, rest = parts
         return F.shiftleft(seg.cast("bigint"), 58) + F.shiftleft(place.cast("bigint"), 52) + rest
 
+    # merge joins of what is exploded: the planner's estimate is that of the rows before, and it
+    # would build and broadcast up to 64 rows per fingerprint in the driver
     # the same value: place 63 stands for "no wildcard"
     same = sparse.select("fp", key(F.col("seg"), F.lit(63), F.col("val")).alias("k"))
-    equal = same.alias("x").join(same.alias("y"), (F.col("x.k") == F.col("y.k")) & (F.col("x.fp") < F.col("y.fp")) & verified)
+    equal = same.alias("x").join(same.alias("y").hint("merge"), (F.col("x.k") == F.col("y.k")) & (F.col("x.fp") < F.col("y.fp")) & verified)
     # one bit deleted: a pair differs there, so 0 on one side meets 1 on the other
     wild = sparse.withColumn("place", F.explode(F.sequence(F.lit(0), width - 1)))
     bit = F.expr("shiftrightunsigned(val, place) & 1L")
     wild = wild.select("fp", bit.alias("bit"), key(F.col("seg"), F.col("place"), F.expr("val & ~shiftleft(1L, place)")).alias("k"))
     zero, one = wild.where("bit = 0").select("fp", "k"), wild.where("bit = 1").select("fp", "k")
-    apart = zero.alias("x").join(one.alias("y"), (F.col("x.k") == F.col("y.k")) & verified)
+    apart = zero.alias("x").join(one.alias("y").hint("merge"), (F.col("x.k") == F.col("y.k")) & verified)
     pairs = equal.unionAll(apart).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
 
     # dense cells with their one-bit neighbours, in tiles
     flips = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(F.sequence(F.lit(0), width - 1), lambda p: F.call_function("shiftleft", F.lit(1).cast("bigint"), p)))
     around = dense.select("seg", F.col("val").alias("home"), F.explode(flips).alias("flip"))
     around = around.select("seg", "home", F.col("home").bitwiseXOR(F.col("flip")).alias("val"))
-    members = staged(cells.join(around, ["seg", "val"]).select("seg", "home", "fp"), "simhash-members")
+    members = staged(cells.join(around.hint("merge"), ["seg", "val"]).select("seg", "home", "fp"), "simhash-members")
     chunks = members.groupBy("seg", "home").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("chunks"))
     cut = members.join(chunks, ["seg", "home"]).withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
     tiles = cut.select("seg", "home", "fp", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rollcall.llm import components, embeddings, simhash
+from rollcall.llm import components, embeddings, simhash, staging
 
 
 def classes(n, linked):
@@ -92,6 +93,23 @@ def test_simhash_links_at_every_distance(spark):
     assert [got.get(m, m) for m in marks] == [marks[r] for r in root]
 
 
+def test_exploded_rows_are_not_broadcast(spark, monkeypatch):
+    # a small table by its estimate: its cells and their variants are 3 and 64 times as many
+    plans = {}
+
+    def spy(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return staging.staged(df, name)
+
+    monkeypatch.setattr(simhash, "staged", spy)
+    links = simhash.fingerprint_links(spark.range(500).select(F.xxhash64("id").alias("fp")), 4)
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"SortMergeJoin \[k#\d+L\], \[k#\d+L\], Inner", plan)) == 2, plan
+    assert not re.search(r"Broadcast\w+Join \[k#", plan), plan
+    assert "SortMergeJoin [seg#" in plans["simhash-members"] and "Broadcast" not in plans["simhash-members"], plans
+    assert links.count() == 0
+
+
 def test_one_of_each_class_stays(spark):
     t = " ".join(f"w{i}" for i in range(200))
     rows = [(5, t, "a"), (3, t, "b"), (3, t, "b"), (9, "other words entirely here", "c"), (None, "null id text stands alone", "d")]
